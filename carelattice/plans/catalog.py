@@ -1,0 +1,426 @@
+"""Every operator as a query over the given parquet tables, with its SQL counterpart."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from carelattice import functions as fn
+from carelattice.operators import incremental, quality
+from carelattice.operators.flatten import flatten
+from carelattice.plans import bindings, bundle_text, checks, enrichment, marts, oracle, refresh
+from carelattice.schemas import TABLES
+from carelattice.session import work_path
+from carelattice.sources import bundles, landing
+from carelattice.sources.snapshots import SnapshotTable
+from carelattice.streaming import ingest
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(query: Query) -> Query:
+        QUERIES[name] = query
+        if sql is not None:
+            ORACLE[name] = sql
+        return query
+
+    return add
+
+
+def _staged(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+    return [bindings.staged(spark, sf_dir, n) for n in names]
+
+
+# ---- raw tables and staging
+
+def _raw_query(name: str) -> Query:
+    return lambda spark, sf_dir: bindings.raw(spark, sf_dir, name)
+
+
+def _stage_query(name: str) -> Query:
+    return lambda spark, sf_dir: bindings.staged(spark, sf_dir, name)
+
+
+for _name in TABLES:
+    register(f"raw_{_name}", oracle.rows_of(f"raw_{_name}"))(_raw_query(_name))
+    register(f"stage_{_name}", oracle.rows_of(_name))(_stage_query(_name))
+
+
+# ---- enrichment
+
+_ENRICHMENTS = {
+    "condition_patient": (enrichment.condition_patient, "condition", "patient"),
+    "encounter_claim": (enrichment.encounter_claim, "encounter", "claim", "procedure"),
+    "encounter_condition": (enrichment.encounter_condition, "encounter", "condition"),
+    "encounter_patient": (enrichment.encounter_patient, "encounter", "patient"),
+    "medication_condition": (enrichment.medication_condition, "medication_request", "condition"),
+}
+
+
+def _enrich_query(name: str) -> Query:
+    model, *inputs = _ENRICHMENTS[name]
+    return lambda spark, sf_dir: model(*_staged(spark, sf_dir, *inputs))
+
+
+for _name in _ENRICHMENTS:
+    register(f"enrich_{_name}", oracle.rows_of(_name))(_enrich_query(_name))
+
+
+# ---- marts
+
+@register("readmissions", oracle.READMISSIONS)
+def readmissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.readmissions(*_staged(spark, sf_dir, "encounter"))
+
+
+@register("readmissions_inpatient", oracle.READMISSIONS_INPATIENT)
+def readmissions_inpatient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.readmissions(
+        *_staged(spark, sf_dir, "encounter"), inclusive=True, class_code="IMP"
+    )
+
+
+@register("readmissions_literal", oracle.READMISSIONS_PER_BILLED_ROW)
+def readmissions_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.readmissions_per_billed_row(
+        *_staged(spark, sf_dir, "encounter", "claim", "procedure")
+    )
+
+
+@register("readmission_flag", oracle.READMISSION_FLAG)
+def readmission_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.readmission_flags(*_staged(spark, sf_dir, "encounter"))
+
+
+@register("fn_re_admission", oracle.READMISSION_FLAG)
+def fn_re_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (encounter,) = _staged(spark, sf_dir, "encounter")
+    flag = fn.re_admission("start_date", "patient_id", 30, ["encounter_id"])
+    return encounter.select(
+        "patient_id", "encounter_id", "encounter_type", "start_date", flag.alias("is_readmission")
+    )
+
+
+@register("prevalence", oracle.prevalence("diagnosed", 100, "prevalence_percentage"))
+def prevalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.prevalence(*_staged(spark, sf_dir, "condition", "patient"))
+
+
+@register("prevalence_per_1000_population", oracle.prevalence("demographics", 1000, "prevalence_rate"))
+def prevalence_per_1000_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.prevalence(
+        *_staged(spark, sf_dir, "condition", "patient"), scale=1000, denominator="population"
+    )
+
+
+@register("length_of_stay", oracle.length_of_stay("DESC", "ASC NULLS LAST"))
+def length_of_stay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.length_of_stay(*_staged(spark, sf_dir, "encounter", "condition"))
+
+
+@register("length_of_stay_literal_mode", oracle.length_of_stay("ASC", "ASC NULLS LAST"))
+def length_of_stay_literal_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.length_of_stay(*_staged(spark, sf_dir, "encounter", "condition"), mode_order="asc")
+
+
+@register("medication_patterns", oracle.MEDICATION_PATTERNS)
+def medication_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.medication_patterns(*_staged(spark, sf_dir, "medication_request", "condition"))
+
+
+@register("medication_patterns_top3", oracle.MEDICATION_PATTERNS_TOP3)
+def medication_patterns_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.medication_patterns(
+        *_staged(spark, sf_dir, "medication_request", "condition"), top_k=3
+    )
+
+
+@register("prevalence_keyed", oracle.PREVALENCE_KEYED)
+def prevalence_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.with_surrogate_key(
+        prevalence(spark, sf_dir), ["condition_name", *marts.DEMOGRAPHICS]
+    )
+
+
+# ---- incremental loads
+
+def _claim_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Claims up to the end of 1999, and claims since June 1999 with a raised amount."""
+    (claim,) = _staged(spark, sf_dir, "claim")
+    created = F.col("created_date")
+    early = claim.where(created <= F.lit("1999-12-31").cast("timestamp_ntz"))
+    late = claim.where(created >= F.lit("1999-06-01").cast("timestamp_ntz"))
+    return early, late.withColumn("total_amount", F.col("total_amount") + 1)
+
+
+_CLAIM_ORDER = ["patient_id", "total_amount"]
+
+
+@register("incremental_filter", oracle.INCREMENTAL_FILTER)
+def incremental_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    early, late = _claim_batches(spark, sf_dir)
+    return incremental.incremental_filter(late, early, "created_date")
+
+
+@register("incremental_filter_lookback", oracle.INCREMENTAL_LOOKBACK)
+def incremental_filter_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    early, late = _claim_batches(spark, sf_dir)
+    return incremental.incremental_filter(late, early, "created_date", lookback="90 days")
+
+
+@register("incremental_merge", oracle.INCREMENTAL_MERGE)
+def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    early, late = _claim_batches(spark, sf_dir)
+    order = incremental.newest_first("created_date", _CLAIM_ORDER)
+    return incremental.upsert(early, late, "claim_id", order)
+
+
+@register("merge_dedup", oracle.MERGE_DEDUP)
+def merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (condition,) = _staged(spark, sf_dir, "condition")
+    order = incremental.newest_first(
+        "recorded_date", ["patient_id", "condition_code", "condition_name", "clinical_status"]
+    )
+    return incremental.deduplicate(condition, "condition_id", order)
+
+
+def _raw_claim_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The raw rows behind :func:`_claim_batches`."""
+    claim = bindings.raw(spark, sf_dir, "claim")
+    raised = (F.col("total_amount").try_cast("double") + 1).cast("string")
+    return (
+        claim.where(F.col("created_date") <= "1999-12-31 00:00:00"),
+        claim.where(F.col("created_date") >= "1999-06-01 00:00:00").withColumn("total_amount", raised),
+    )
+
+
+@register("incremental_load", oracle.INCREMENTAL_LOAD)
+def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the staging load into a written snapshot: full, then beyond the mark."""
+    snapshot = SnapshotTable(spark, work_path(spark, "incremental_load"), "claim")
+    for batch in _raw_claim_batches(spark, sf_dir):
+        result = refresh.load_increment(
+            snapshot, refresh.stage(batch, "claim", bindings.AS_OF), "claim"
+        )
+    return result
+
+
+# ---- column functions
+
+_LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@register("fn_surrogate_key", oracle.FN["fn_surrogate_key"])
+def fn_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (claim,) = _staged(spark, sf_dir, "claim")
+    key = fn.surrogate_key(["claim_id", F.nullif("status", F.lit("F")), "service_desc"])
+    return claim.select("claim_id", key.alias("claim_key"))
+
+
+@register("fn_age", oracle.FN["fn_age"])
+def fn_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (patient,) = _staged(spark, sf_dir, "patient")
+    return patient.select(
+        "patient_id",
+        fn.age_by_calendar_year("birth_date", bindings.AS_OF).alias("age_by_calendar_year"),
+        fn.age_in_years("birth_date", bindings.AS_OF).alias("age_in_years"),
+    )
+
+
+@register("fn_age_bucket", oracle.FN["fn_age_bucket"])
+def fn_age_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (patient,) = _staged(spark, sf_dir, "patient")
+    some_missing = F.nullif("age", F.lit(50))
+    return patient.select(
+        "patient_id",
+        fn.age_bucket("age").alias("age_group"),
+        fn.age_bucket(some_missing, null_label="unknown").alias("age_group_labelled"),
+    )
+
+
+@register("fn_safe_divide", oracle.FN["fn_safe_divide"])
+def fn_safe_divide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = bindings.table(spark, sf_dir, "lineitem")
+    return line.select(*_LINE, fn.safe_divide("l_extendedprice", "l_tax").alias("price_per_tax"))
+
+
+@register("fn_nullif_zero", oracle.FN["fn_nullif_zero"])
+def fn_nullif_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = bindings.table(spark, sf_dir, "lineitem")
+    return line.select(*_LINE, fn.nullif_zero("l_discount").alias("discount"))
+
+
+@register("fn_days_between", oracle.FN["fn_days_between"])
+def fn_days_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = bindings.table(spark, sf_dir, "lineitem")
+    orders = bindings.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    end = F.expr("l_shipdate + make_dt_interval(0, 0, cast(l_quantity as int))")
+    return line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        *_LINE,
+        fn.days_between("o_orderdate", "l_shipdate").cast("bigint").alias("days_to_ship"),
+        fn.minute_boundaries("o_orderdate", end).alias("minutes_to_ship"),
+    )
+
+
+@register("fn_round", oracle.FN["fn_round"])
+def fn_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = bindings.table(spark, sf_dir, "lineitem")
+    return line.select(*_LINE, fn.round_to("l_extendedprice", 1).alias("rounded"))
+
+
+# ---- FHIR bundles
+
+def _fhir_query(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        text = bundle_text.bundles(bindings.raw(spark, sf_dir, name), name)
+        return flatten(bundles.explode_bundles(text), name)
+
+    return query
+
+
+for _name in TABLES:
+    register(f"fhir_{_name}", oracle.FHIR[_name])(_fhir_query(_name))
+
+
+@register("fhir_quarantine", oracle.FHIR_QUARANTINE)
+def fhir_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents are no bundles and are set aside; event properties are JSON without entries."""
+    prose = bindings.table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("document/"), "doc_id").alias("bundle_id"), F.col("text").alias("value")
+    )
+    props = bindings.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("event/"), "event_id").alias("bundle_id"), F.col("props").alias("value")
+    )
+    return bundles.quarantine(prose.unionByName(props)).select("bundle_id", "reason")
+
+
+@register("fhir_landed_resources", oracle.FHIR_LANDED)
+def fhir_landed_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bundles of three types exploded once, landed by type, then flattened from there."""
+    names = ("encounter", "claim", "observation")
+    texts = [bundle_text.bundles(bindings.raw(spark, sf_dir, n), n) for n in names]
+    exploded = bundles.explode_bundles(texts[0].unionByName(texts[1]).unionByName(texts[2]))
+    landed = bundles.land_resources(exploded, work_path(spark, "resources"))
+    parts = [
+        flatten(landed, n).select(
+            F.lit(n).alias("table_name"), F.col(TABLES[n].key).alias("row_id"), "patient_id", "encounter_id", "status"
+        )
+        for n in names
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# ---- quality
+
+def _checked(spark: SparkSession, sf_dir: str, wanted: list[quality.Check]) -> DataFrame:
+    raw = {n: bindings.raw(spark, sf_dir, n) for n in TABLES}
+    staged = {n: bindings.staged(spark, sf_dir, n) for n in TABLES}
+    enriched = refresh.enrichment_layer(staged, balance=False)
+    return quality.run_checks(checks.named_tables(raw, staged, enriched), wanted)
+
+
+def _quality_query(wanted: list[quality.Check]) -> Query:
+    return lambda spark, sf_dir: _checked(spark, sf_dir, wanted)
+
+
+for _name, _checks in {
+    "quality_not_null": checks.of_kind(checks.ALL_CHECKS, "not_null"),
+    "quality_unique": checks.of_kind(checks.ALL_CHECKS, "unique"),
+    "quality_accepted_values": checks.of_kind(checks.ALL_CHECKS, "accepted_values"),
+    "quality_relationship": checks.RELATIONSHIPS,
+    "quality_staging": checks.STAGING_CHECKS,
+}.items():
+    register(_name, oracle.checks(_checks))(_quality_query(_checks))
+
+
+# ---- landing, whole refresh and streams
+
+@register("land_roundtrip", oracle.LAND_ROUNDTRIP)
+def land_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of claims landed as CSV, the first landed twice, all read back."""
+    root = work_path(spark, "landing")
+    early, late = _raw_claim_batches(spark, sf_dir)
+    for df, day in ((late, 7), (early, 7), (late, 8)):
+        landing.land(df, root, "claim", date(2024, 6, day))
+    return landing.read_landed(spark, root, "claim")
+
+
+@register("land_one_day", oracle.rows_of("raw_encounter"))
+def land_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encounters landed as CSV on one of two days, that day read alone."""
+    root = work_path(spark, "landing")
+    encounter = bindings.raw(spark, sf_dir, "encounter")
+    landing.land(encounter, root, "encounter", date(2024, 6, 7))
+    landing.land(encounter, root, "encounter", date(2024, 6, 8))
+    return landing.read_landed(spark, root, "encounter", date(2024, 6, 7))
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> refresh.Refreshed:
+    raw = {n: bindings.raw(spark, sf_dir, n) for n in TABLES}
+    return refresh.refresh(spark, raw, work_path(spark, "refresh"), bindings.AS_OF)
+
+
+@register("refresh_medication_patterns", oracle.REFRESH_MEDICATION_PATTERNS)
+def refresh_medication_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The medication mart after a whole refresh, whose staging tables are unique by key."""
+    return _refreshed(spark, sf_dir).marts["medication_patterns"]
+
+
+@register("stream_upsert", oracle.STREAM_UPSERT)
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings of claims merged by two runs of the stream over one checkpoint."""
+    root = work_path(spark, "stream")
+    snapshot = SnapshotTable(spark, f"{root}/staging", "claim")
+    for number, batch in enumerate(_raw_claim_batches(spark, sf_dir)):
+        landing.land(batch, f"{root}/landed", "claim", date(2024, 6, 7 + number), fmt="parquet")
+        ingest.upsert_available(
+            ingest.landed_stream(spark, f"{root}/landed", "claim"),
+            snapshot, "claim", f"{root}/checkpoint", bindings.AS_OF,
+        )
+    return snapshot.read()
+
+
+@register("stream_readmission_flag", oracle.READMISSION_FLAG)
+def stream_readmission_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encounters that arrive in two landings by date, flagged as they come."""
+    root = work_path(spark, "stream")
+    encounter = bindings.raw(spark, sf_dir, "encounter")
+    later = F.col("start_date") >= "1999-01-01"
+    last_visits = SnapshotTable(spark, f"{root}/state", "last_visit")
+    for number, batch in enumerate((encounter.where(~later), encounter.where(later))):
+        landing.land(batch, f"{root}/landed", "encounter", date(2024, 6, 7 + number), fmt="parquet")
+        ingest.flag_readmissions_available(
+            ingest.landed_stream(spark, f"{root}/landed", "encounter"),
+            last_visits, f"{root}/flags", f"{root}/checkpoint", bindings.AS_OF,
+        )
+    return spark.read.parquet(f"{root}/flags").drop("batch")
+
+
+@register("stream_unique", oracle.STREAM_UNIQUE)
+def stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations landed twice, the stream keeping one row per key."""
+    root = work_path(spark, "stream")
+    observation = bindings.raw(spark, sf_dir, "observation")
+    for day in (7, 8):
+        landing.land(observation, f"{root}/landed", "observation", date(2024, 6, day), fmt="parquet")
+    stream = refresh.stage(
+        ingest.landed_stream(spark, f"{root}/landed", "observation"), "observation", bindings.AS_OF
+    )
+    query = (
+        ingest.unique_within(stream, "observation_id", "effective_date", "60 days")
+        .select("observation_id", "patient_id", "effective_date", "value")
+        .writeStream.format("parquet")
+        .option("path", f"{root}/unique")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{root}/unique")
