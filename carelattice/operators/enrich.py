@@ -37,24 +37,32 @@ def enrich(base: DataFrame, specs: Sequence[JoinSpec], balance: bool = True,
     if repeated:
         raise ValueError(f"duplicate output columns: {', '.join(repeated)}")
 
+    heavy = _heavy(base, specs, share, min_rows) if balance else {}
     # Joining can only multiply a key's rows where the key repeats on the right,
     # so a key heavy in any earlier table is treated as heavy in the result.
     carried: dict[tuple[str, ...], frozenset[int]] = {}
     result = base
-    for spec in specs:
+    for i, spec in enumerate(specs):
         on = tuple(spec.on)
         right = spec.table.select(
             *on,
             *[F.col(c).alias(spec.rename.get(c, c)) for c in spec.columns],
             F.xxhash64(*spec.table.columns).alias(skew.SALT),
         )
-        left_heavy = right_heavy = frozenset()
-        if balance:
-            if on not in carried:
-                carried[on] = skew.heavy_key_hashes(base, on, share, min_rows)
-            keyed = spec.table.select(*on).na.drop(subset=list(on))
-            right_heavy = skew.heavy_key_hashes(keyed, on, share, min_rows)
-            left_heavy = carried[on]
-            carried[on] = left_heavy | right_heavy
+        left_heavy = carried.get(on, heavy.get(f"base {on}", frozenset()))
+        right_heavy = heavy.get(f"spec {i}", frozenset())
+        carried[on] = left_heavy | right_heavy
         result = skew.balanced_left_join(result, right, on, left_heavy, right_heavy)
     return result.select(*names)
+
+
+def _heavy(base: DataFrame, specs: Sequence[JoinSpec], share: float,
+           min_rows: int) -> dict[str, frozenset[int]]:
+    """Heavy keys of the base per join key, and of every joined table, in one job.
+
+    NULL keys match nothing, so they count on the base side only.
+    """
+    inputs = {f"base {tuple(s.on)}": (base, s.on) for s in specs}
+    for i, s in enumerate(specs):
+        inputs[f"spec {i}"] = (s.table.select(*s.on).na.drop(subset=list(s.on)), s.on)
+    return skew.heavy_keys(inputs, share, min_rows)

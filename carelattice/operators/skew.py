@@ -9,7 +9,7 @@ their rows take a salted route. Without heavy keys the plan is the plain join.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -34,35 +34,45 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k).cast("string") for k in keys])
 
 
-def heavy_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE,
-                     min_rows: int = MIN_ROWS) -> frozenset[int]:
-    """Hashes of the keys that hold more than ``share`` of the rows of ``df``.
+def heavy_keys(inputs: Mapping[str, tuple[DataFrame, Sequence[str]]], share: float = HEAVY_SHARE,
+               min_rows: int = MIN_ROWS) -> dict[str, frozenset[int]]:
+    """Per named input (DataFrame, key columns): hashes of the keys with more than ``share`` of its rows.
 
-    One pass over the key columns with a frequent-item sketch: tasks send a
-    sketch each, no row is shuffled, and sketches are merged in two steps. The
-    answer, at most ``1 / share`` numbers, only decides how rows are routed;
-    results are the same for any answer.
+    One job over the key columns of all inputs with a frequent-item sketch: tasks
+    send a sketch per input, no row is shuffled, and sketches are merged in two
+    steps. The answer, at most ``1 / share`` numbers per input, only decides how
+    rows are routed; results are the same for any answer.
     """
     limit = int(1 / share)
-    sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("g")).agg(
-        F.call_function("approx_top_k_accumulate", key_hash(keys), F.lit(_TRACKED)).alias("sketch"),
-        F.count(F.lit(1)).alias("n"),
+    hashes = reduce(
+        DataFrame.unionAll,
+        [df.select(F.lit(name).alias("input"), key_hash(keys).alias("h"))
+         for name, (df, keys) in inputs.items()],
     )
+    group = F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("part")
     found = (
-        sketches.agg(
+        hashes.groupBy("input", group)
+        .agg(
+            F.call_function("approx_top_k_accumulate", F.col("h"), F.lit(_TRACKED)).alias("sketch"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        .groupBy("input")
+        .agg(
             F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(_TRACKED)).alias("sketch"),
             F.sum("n").alias("n"),
         )
+        .where(F.col("n") >= min_rows)
         .select(
-            "n",
+            "input", "n",
             F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(limit)).alias("top"),
         )
-        .first()
+        .collect()
     )
-    if found is None or not found["n"] or found["n"] < min_rows:
-        return frozenset()
-    floor = found["n"] * share
-    return frozenset(t["item"] for t in found["top"] if t["count"] > floor)
+    answer = {name: frozenset() for name in inputs}
+    for row in found:
+        floor = row["n"] * share
+        answer[row["input"]] = frozenset(t["item"] for t in row["top"] if t["count"] > floor)
+    return answer
 
 
 def _in(keys: Sequence[str], hashes: Collection[int]) -> Column:

@@ -22,7 +22,7 @@ def with_visit_gap(visits: DataFrame, patient: str, start: str, tie_break: Seque
     for a visit without a start. One shuffle on the patient and a LAG; patients
     with a large share of all visits go through :func:`_gap_by_day` instead.
     """
-    heavy = skew.heavy_key_hashes(visits, [patient], share, min_rows) if balance else frozenset()
+    heavy = balance and skew.heavy_keys({"visits": (visits, [patient])}, share, min_rows)["visits"]
     if not heavy:
         return _gap_by_lag(visits, patient, start, tie_break)
     is_heavy = skew.key_hash([patient]).isin(*sorted(heavy))

@@ -18,7 +18,6 @@ from carelattice.functions import (
 from carelattice.operators import skew
 from carelattice.operators.histogram import describe, histogram
 from carelattice.operators.visits import GAP, with_visit_gap
-from carelattice.plans.enrichment import encounter_condition
 
 DEMOGRAPHICS = ("age_group", "gender", "race")
 _VISIT = ("patient_id", "encounter_id", "encounter_type", "start_date")
@@ -118,13 +117,27 @@ def prevalence(condition: DataFrame, patient: DataFrame, scale: int = 100,
     )
 
 
+_VISIT_KEY = ["encounter_id", "patient_id"]
+
+
+def _named_per_visit(df: DataFrame, name: str, count: str) -> DataFrame:
+    """How often each name occurs within an encounter of a patient."""
+    return df.groupBy(*_VISIT_KEY, name).agg(F.count(F.lit(1)).alias(count))
+
+
 def length_of_stay(encounter: DataFrame, condition: DataFrame, unit: str = "minute",
-                   mode_order: str = "desc", with_total: bool = False, **options) -> DataFrame:
-    """Stay statistics per encounter type and condition, over encounters joined to conditions."""
+                   mode_order: str = "desc", with_total: bool = False) -> DataFrame:
+    """Stay statistics per encounter type and condition, over encounters joined to conditions.
+
+    Equal conditions of an encounter are counted before the join, so an
+    encounter with very many of them brings only its distinct names to one task.
+    """
     stay = {"minute": minute_boundaries, "day": day_boundaries}[unit]("start_date", "end_date")
     group = ["encounter_type", "condition_name"]
-    stays = encounter_condition(encounter, condition, **options)
-    stats = describe(histogram(stays, group, stay.cast("bigint")), group, mode_order=mode_order)
+    stays = encounter.select("encounter_id", "patient_id", "encounter_type", stay.cast("bigint").alias("stay"))
+    joined = stays.join(_named_per_visit(condition, "condition_name", "_diagnoses"), _VISIT_KEY, "left")
+    weight = F.coalesce("_diagnoses", F.lit(1))
+    stats = describe(histogram(joined, group, F.col("stay"), weight=weight), group, mode_order=mode_order)
     return stats.select(
         *group,
         F.col("mode").alias("mode_stay"),
@@ -147,10 +160,9 @@ def medication_patterns(medication: DataFrame, condition: DataFrame,
     first and the counts multiplied, so an encounter with very many rows brings
     only its distinct names to the join.
     """
-    visit = ["encounter_id", "patient_id"]
-    requests = medication.groupBy(*visit, "medication_name").agg(F.count(F.lit(1)).alias("_requests"))
-    diagnoses = condition.groupBy(*visit, "condition_name").agg(F.count(F.lit(1)).alias("_diagnoses"))
-    counts = requests.join(diagnoses, visit, "left").groupBy("medication_name", "condition_name").agg(
+    requests = _named_per_visit(medication, "medication_name", "_requests")
+    diagnoses = _named_per_visit(condition, "condition_name", "_diagnoses")
+    counts = requests.join(diagnoses, _VISIT_KEY, "left").groupBy("medication_name", "condition_name").agg(
         F.count_distinct("patient_id").alias("patients_count"),
         F.sum(F.col("_requests") * F.coalesce("_diagnoses", F.lit(1))).alias("total_prescriptions"),
     )

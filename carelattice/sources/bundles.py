@@ -35,8 +35,12 @@ def explode_bundles(bundles: DataFrame) -> DataFrame:
     ``bundle_patient_id`` is the id of the bundle's first patient. It is taken
     from the entry array before the explode, so no join or shuffle is needed.
     """
+    # The outer explode matters: for a plain one Spark adds a filter on the array
+    # and evaluates the whole parse again inside it. Bundles without entries
+    # give one row without a type, which every consumer filters out.
+    readable = F.when(F.col("bundle._broken").isNull(), F.col("bundle.entry"))
     entries = F.transform(
-        F.coalesce(F.col("bundle.entry"), F.array()),
+        readable,
         lambda e: F.struct(
             F.get_json_object(e["resource"], "$.resourceType").alias("resource_type"),
             e["resource"].alias("resource"),
@@ -45,13 +49,13 @@ def explode_bundles(bundles: DataFrame) -> DataFrame:
     patient = F.get(F.filter("entries", lambda e: e["resource_type"] == "Patient"), F.lit(0))
     return (
         _parsed(bundles)
-        .where(F.col("bundle._broken").isNull())
         .select("bundle_id", entries.alias("entries"))
         .select(
             "bundle_id",
+            "entries",
             F.get_json_object(patient["resource"], "$.id").alias("bundle_patient_id"),
-            F.posexplode("entries").alias("position", "entry"),
         )
+        .select("bundle_id", "bundle_patient_id", F.posexplode_outer("entries").alias("position", "entry"))
         .select("bundle_id", "bundle_patient_id", "position", "entry.resource_type", "entry.resource")
     )
 
