@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -37,23 +36,27 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
+_local_root: str | None = None
+
+
 def work_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates: the session's ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a temporary folder of its own. A
-    cluster session without it is refused, since executors on other machines
-    could not read what is written to one machine's disk.
+    Only a local session without that setting gets a temporary folder of its
+    own. A cluster session without it is refused, since executors on other
+    machines could not read what is written to one machine's disk.
     """
+    global _local_root
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="carelattice-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if _local_root is None:
+        _local_root = tempfile.mkdtemp(prefix="carelattice-")
+    return _local_root
 
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below :func:`work_root`."""
-    return os.path.join(work_root(spark), "carelattice", f"{name}-{uuid.uuid4().hex}")
+    return f"{work_root(spark)}/carelattice/{name}-{uuid.uuid4().hex}"
