@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelattice.schemas import RESOURCE_DDL, TABLES
+
 _ENTRY_DDL = "entry array<struct<resource:string>>, _broken string"
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
 
@@ -15,12 +17,8 @@ def read_bundles(spark: SparkSession, folder: str) -> DataFrame:
     An empty folder gives an empty DataFrame. A bundle is one string value, so
     one file may hold up to 2 GB.
     """
-    return (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", "*.json")
-        .text(folder)
-        .select(F.col("_metadata.file_path").alias("bundle_id"), "value")
-    )
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json")
+    return files.select(F.col("_metadata.file_path").alias("bundle_id"), "value")
 
 
 def _parsed(bundles: DataFrame) -> DataFrame:
@@ -69,6 +67,19 @@ def quarantine(bundles: DataFrame) -> DataFrame:
     )
 
 
+def misshapen(resources: DataFrame) -> DataFrame:
+    """Resources in which a field read by the flattener has another shape than declared.
+
+    The flattener keeps such a row with NULL in the field; this lists them for review.
+    """
+    broken = F.lit(None).cast("string")
+    for spec in TABLES.values():
+        ddl = f"{RESOURCE_DDL[spec.resource_type]}, _broken string"
+        parsed = F.from_json("resource", ddl, _OPTIONS)["_broken"]
+        broken = F.when(F.col("resource_type") == spec.resource_type, parsed).otherwise(broken)
+    return resources.where(broken.isNotNull()).withColumn("reason", F.lit("field of another shape"))
+
+
 def land_resources(resources: DataFrame, path: str) -> DataFrame:
     """Write the exploded resources once, split by type, and read them back.
 

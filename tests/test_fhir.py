@@ -1,0 +1,167 @@
+"""Hand-written bundles with the awkward cases."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from carelattice.operators.flatten import flatten
+from carelattice.schemas import TABLES
+from carelattice.sources import bundles
+
+RACE = "http://hl7.org/fhir/us/core/StructureDefinition/us-core-race"
+ETHNICITY = "http://hl7.org/fhir/us/core/StructureDefinition/us-core-ethnicity"
+BORN = "http://hl7.org/fhir/StructureDefinition/patient-birthPlace"
+
+FULL_PATIENT = {
+    "resourceType": "Patient", "id": "p1", "gender": "female", "birthDate": "1980-02-03",
+    "name": [{"given": ["Ann12", "Bob34"], "family": "Doe56"}, {"given": ["Other"], "family": "Name"}],
+    "extension": [
+        {"url": RACE, "extension": [{"url": "text", "valueString": "First"}]},
+        {"url": RACE, "extension": [{"url": "ombCategory", "valueString": "x"},
+                                    {"url": "text", "valueString": "Second"}]},
+        {"url": RACE, "extension": [{"url": "ombCategory", "valueString": "y"}]},
+        {"url": ETHNICITY, "extension": [{"url": "text", "valueString": "Nonhispanic"}]},
+        {"url": BORN, "valueAddress": {"state": "MA"}},
+        {"url": "http://else", "valueString": "z"},
+    ],
+    "address": [{"city": "Boston", "state": "MA", "postalCode": "02101", "country": "US"}],
+    "maritalStatus": {"text": "Married"},
+    "communication": [{"language": {"text": "English"}}],
+}
+
+BUNDLES = {
+    "full": [
+        FULL_PATIENT,
+        {"resourceType": "Patient", "id": "p2", "name": [], "address": []},
+        {"resourceType": "Immunization", "id": "i1"},
+        {"resourceType": "Encounter", "id": "e1", "status": "finished", "class": {"code": "AMB"},
+         "type": [{"text": "Checkup"}], "period": {"start": "2024-01-01T10:00:00-05:00", "end": "2024-01-01T10:15:00-05:00"},
+         "participant": [{"individual": {"display": "Dr. Jo1"}}], "serviceProvider": {"display": "Clinic, \"A\""}},
+        {"resourceType": "Claim", "id": "c1", "status": "active", "type": {"coding": [{"code": "institutional"}]},
+         "created": "2024-01-02", "provider": {"display": "Clinic"}, "insurance": [{"coverage": {"display": "Payer"}}],
+         "total": {"value": 12.50, "currency": "USD"},
+         "item": [{"encounter": [{"reference": "urn:uuid:e0"}, {"reference": "urn:uuid:e1"}],
+                   "productOrService": {"text": "Exam", "coding": [{"code": "185"}]}}]},
+        {"resourceType": "Claim", "id": "c2"},
+        {"resourceType": "Condition", "id": "d1", "clinicalStatus": {"coding": [{"code": "active"}]},
+         "code": {"text": "Cold", "coding": [{"code": "82", "system": "sct"}]},
+         "encounter": {"reference": "Encounter/e1"}, "onsetDateTime": "2024-01-01", "recordedDate": "2024-01-02"},
+        {"resourceType": "Condition", "id": "d2", "code": {"text": "Flu"}},
+        {"resourceType": "Procedure", "id": "r1", "status": "completed",
+         "code": {"text": "X-ray", "coding": [{"code": "39", "system": "sct"}]},
+         "encounter": {"reference": "urn:uuid:e1"}, "performedPeriod": {"start": "s", "end": "t"}},
+        {"resourceType": "Observation", "id": "o1", "status": "final", "code": {"text": "Pain", "coding": [{"code": "72-1", "system": "ln"}]},
+         "encounter": {"reference": "urn:uuid:e1"}, "effectiveDateTime": "2024-01-01", "valueQuantity": {"value": 0, "unit": "{score}"}},
+        {"resourceType": "Observation", "id": "o2", "code": {"coding": []}, "valueCodeableConcept": {"text": "Never smoker"}},
+        {"resourceType": "Observation", "id": "o3"},
+        {"resourceType": "MedicationRequest", "id": "m1", "status": "active", "intent": "order",
+         "medicationCodeableConcept": {"text": "Aspirin", "coding": [{"code": "11"}]},
+         "encounter": {"reference": "urn:uuid:e1"}, "authoredOn": "2024-01-03", "requester": {"display": "Dr. Jo1"}},
+    ],
+    "orphan": [{"resourceType": "Encounter", "id": "e9", "type": {"text": "not a list"}, "status": "x"}],
+    "nothing": [],
+}
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory):
+    path = tmp_path_factory.mktemp("bundles")
+    for name, resources in BUNDLES.items():
+        text = json.dumps({"resourceType": "Bundle", "entry": [{"resource": r} for r in resources]}, indent=1)
+        (path / f"{name}.json").write_text(text, encoding="utf-8")
+    (path / "cut.json").write_text('{"resourceType": "Bundle", "entry": [{"resource": {"resourceType": "Pat', encoding="utf-8")
+    (path / "notes.txt").write_text("{}", encoding="utf-8")
+    return str(path)
+
+
+@pytest.fixture(scope="module")
+def resources(spark, folder):
+    return bundles.explode_bundles(bundles.read_bundles(spark, folder)).cache()
+
+
+def flat(resources, table, **options):
+    df = flatten(resources, table, **options)
+    assert tuple(df.columns) == TABLES[table].columns
+    return {r[0]: r.asDict() for r in df.collect()}
+
+
+def test_entries_keep_order_and_first_patient(resources):
+    found = resources.where(F.col("bundle_id").endswith("full.json")).orderBy("position").collect()
+    assert [r["resource_type"] for r in found] == [r["resourceType"] for r in BUNDLES["full"]]
+    assert {r["bundle_patient_id"] for r in found} == {"p1"}
+
+
+def test_patient(resources):
+    found = flat(resources, "patient")
+    assert found["p1"] == {
+        "patient_id": "p1", "first_name": "Ann12 Bob34", "last_name": "Doe56", "gender": "female",
+        "birth_date": "1980-02-03", "race": "Second", "ethnicity": "Nonhispanic", "birth_place": ", MA",
+        "city": "Boston", "state": "MA", "postal_code": "02101", "country": "US",
+        "marital_status": "Married", "language": "English",
+    }
+    assert found["p2"] == {c: ("p2" if c == "patient_id" else None) for c in TABLES["patient"].columns}
+
+
+def test_encounter(resources):
+    found = flat(resources, "encounter")
+    assert found["e1"] == {
+        "encounter_id": "e1", "patient_id": "p1", "status": "finished", "class_code": "AMB",
+        "encounter_type": "Checkup", "start_date": "2024-01-01T10:00:00-05:00",
+        "end_date": "2024-01-01T10:15:00-05:00", "provider_name": 'Clinic, "A"', "practitioner": "Dr. Jo1",
+    }
+    # No patient in the bundle, and a type of the wrong shape.
+    assert found["e9"]["patient_id"] is None and found["e9"]["encounter_type"] is None
+    assert found["e9"]["status"] == "x"
+
+
+def test_claim_takes_last_encounter_reference(resources):
+    found = flat(resources, "claim")
+    assert found["c1"] == {
+        "claim_id": "c1", "patient_id": "p1", "encounter_id": "e1", "status": "active",
+        "claim_type": "institutional", "created_date": "2024-01-02", "provider_name": "Clinic",
+        "payer": "Payer", "total_amount": "12.5", "currency": "USD", "service_code": "185", "service_desc": "Exam",
+    }
+    assert found["c2"]["encounter_id"] is None and found["c2"]["patient_id"] == "p1"
+
+
+def test_condition_references(resources):
+    found = flat(resources, "condition")
+    assert found["d1"]["encounter_id"] == "Encounter/e1"
+    assert (found["d1"]["condition_code"], found["d1"]["condition_system"]) == ("82", "sct")
+    assert found["d2"]["encounter_id"] is None and found["d2"]["condition_name"] == "Flu"
+
+
+def test_procedure_and_medication(resources):
+    assert list(flat(resources, "procedure")["r1"].values()) == [
+        "r1", "p1", "e1", "completed", "39", "sct", "X-ray", "s", "t"]
+    assert list(flat(resources, "medication_request")["m1"].values()) == [
+        "m1", "p1", "e1", "active", "order", "11", "Aspirin", "2024-01-03", "Dr. Jo1"]
+
+
+def test_observation_values(resources):
+    found = flat(resources, "observation")
+    assert found["o1"]["value"] == "0" and found["o1"]["unit"] == "{score}"
+    assert found["o2"]["value"] == "Never smoker" and found["o2"]["obs_code"] is None
+    assert found["o3"]["value"] is None
+    assert flat(resources, "observation", zero_as_missing=True)["o1"]["value"] is None
+
+
+def test_truncated_file_is_set_aside(spark, folder):
+    found = bundles.quarantine(bundles.read_bundles(spark, folder)).collect()
+    assert [(r["bundle_id"].rsplit("/", 1)[1], r["reason"]) for r in found] == [("cut.json", "malformed bundle")]
+
+
+def test_resource_of_wrong_shape_is_reported(resources):
+    found = bundles.misshapen(resources).collect()
+    assert [(r["resource_type"], json.loads(r["resource"])["id"]) for r in found] == [("Encounter", "e9")]
+
+
+def test_empty_folder(spark, tmp_path):
+    assert bundles.explode_bundles(bundles.read_bundles(spark, str(tmp_path))).isEmpty()
+
+
+def test_landed_resources_flatten_the_same(resources, rows, tmp_path):
+    landed = bundles.land_resources(resources, str(tmp_path / "resources"))
+    for table in TABLES:
+        assert rows(flatten(landed, table)) == rows(flatten(resources, table))
