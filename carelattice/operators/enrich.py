@@ -40,7 +40,7 @@ def enrich(base: DataFrame, specs: Sequence[JoinSpec], balance: bool = True,
     heavy = _heavy(base, specs, share, min_rows) if balance else {}
     # Joining can only multiply a key's rows where the key repeats on the right,
     # so a key heavy in any earlier table is treated as heavy in the result.
-    carried: dict[tuple[str, ...], frozenset[int]] = {}
+    carried: dict[tuple[str, ...], skew.Heavy] = {}
     result = base
     for i, spec in enumerate(specs):
         on = tuple(spec.on)
@@ -49,15 +49,15 @@ def enrich(base: DataFrame, specs: Sequence[JoinSpec], balance: bool = True,
             *[F.col(c).alias(spec.rename.get(c, c)) for c in spec.columns],
             F.xxhash64(*spec.table.columns).alias(skew.SALT),
         )
-        left_heavy = carried.get(on, heavy.get(f"base {on}", frozenset()))
-        right_heavy = heavy.get(f"spec {i}", frozenset())
+        left_heavy = carried.get(on, heavy.get(f"base {on}", skew.NONE))
+        right_heavy = heavy.get(f"spec {i}", skew.NONE)
         carried[on] = left_heavy | right_heavy
         result = skew.balanced_left_join(result, right, on, left_heavy, right_heavy)
     return result.select(*names)
 
 
 def _heavy(base: DataFrame, specs: Sequence[JoinSpec], share: float,
-           min_rows: int) -> dict[str, frozenset[int]]:
+           min_rows: int) -> dict[str, skew.Heavy]:
     """Heavy keys of the base per join key, and of every joined table, in one job.
 
     NULL keys match nothing, so they count on the base side only.

@@ -36,16 +36,17 @@ def deduplicate(df: DataFrame, key: str, order_by: Sequence[Column]) -> DataFram
     """One row per key, the first by ``order_by``; rows without a key are all kept.
 
     The ``rank = 1`` filter lets Spark drop the losers of a key before the
-    shuffle, so a key with very many copies does not gather in one task.
+    shuffle, so a key with very many copies does not gather in one task. Rows
+    without a key get a number of their own and spread over all tasks.
     """
-    order = Window.partitionBy(key).orderBy(*order_by)
-    keyed = (
-        df.where(F.col(key).isNotNull())
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    order = Window.partitionBy(key, "_own").orderBy(*order_by)
+    return (
+        df.withColumn("_own", own)
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") == 1)
-        .drop("_rank")
+        .drop("_own", "_rank")
     )
-    return keyed.unionByName(df.where(F.col(key).isNull()))
 
 
 def newest_first(watermark: str, tie_break: Sequence[str]) -> list[Column]:
@@ -72,11 +73,16 @@ def upsert(old: DataFrame | None, new: DataFrame, key: str, order_by: Sequence[C
         example = duplicate_keys(new, key).first()
         if example is not None:
             raise ValueError(f"batch holds {example['n']} rows for {key} = {example[key]!r}")
+        winners = new
     elif order_by:
-        new = deduplicate(new, key, order_by)
+        winners = deduplicate(new, key, order_by)
     else:
         raise ValueError("give order_by, or on_duplicate='error'")
     if old is None:
-        return new
-    kept = old.join(new.select(key), key, "left_anti").select(*old.columns)
-    return kept.unionByName(new)
+        return winners
+    return without_keys(old, new, key).unionByName(winners)
+
+
+def without_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Rows of ``old`` whose key ``new`` does not bring."""
+    return old.join(new.select(key), key, "left_anti").select(*old.columns)

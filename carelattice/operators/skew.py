@@ -9,7 +9,9 @@ their rows take a salted route. Without heavy keys the plan is the plain join.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping, Sequence
+import math
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,8 +22,6 @@ from pyspark.sql import functions as F
 HEAVY_SHARE = 1 / 1000
 # Tables below this size are never worth splitting.
 MIN_ROWS = 1_000_000
-# Rows of a heavy key are spread over this many join tasks per side.
-FAN = 64
 # Frequent-item sketch size: its error (3.5 / size) stays below HEAVY_SHARE / 4.
 _TRACKED = 16_384
 # Optional column with a hash of the whole source row, for a pruned right side.
@@ -29,19 +29,47 @@ SALT = "_salt"
 _MERGE_GROUPS = 128
 
 
+@dataclass(frozen=True)
+class Heavy:
+    """Hashes of the heavy keys of one table, and over how many cells to spread each."""
+
+    hashes: frozenset[int] = frozenset()
+    fan: int = 1
+
+    def __bool__(self) -> bool:
+        return bool(self.hashes)
+
+    def __or__(self, other: Heavy) -> Heavy:
+        return Heavy(self.hashes | other.hashes, max(self.fan, other.fan))
+
+    def restricted(self, hashes: frozenset[int]) -> Heavy:
+        return Heavy(self.hashes & hashes, self.fan)
+
+    def without(self, hashes: frozenset[int]) -> Heavy:
+        return Heavy(self.hashes - hashes, self.fan)
+
+    def holds(self, keys: Sequence[str]) -> Column:
+        """Whether a row's key is one of them."""
+        return key_hash(keys).isin(*sorted(self.hashes)) if self.hashes else F.lit(False)
+
+
+NONE = Heavy()
+
+
 def key_hash(keys: Sequence[str]) -> Column:
     """64-bit hash of the key columns; NULL keys share one hash value."""
     return F.xxhash64(*[F.col(k).cast("string") for k in keys])
 
 
 def heavy_keys(inputs: Mapping[str, tuple[DataFrame, Sequence[str]]], share: float = HEAVY_SHARE,
-               min_rows: int = MIN_ROWS) -> dict[str, frozenset[int]]:
-    """Per named input (DataFrame, key columns): hashes of the keys with more than ``share`` of its rows.
+               min_rows: int = MIN_ROWS) -> dict[str, Heavy]:
+    """Per named input (DataFrame, key columns): the keys with more than ``share`` of its rows.
 
     One job over the key columns of all inputs with a frequent-item sketch: tasks
     send a sketch per input, no row is shuffled, and sketches are merged in two
     steps. The answer, at most ``1 / share`` numbers per input, only decides how
-    rows are routed; results are the same for any answer.
+    rows are routed; results are the same for any answer. A key is to be spread
+    over so many cells that each holds about ``share`` of the rows.
     """
     limit = int(1 / share)
     hashes = reduce(
@@ -68,44 +96,44 @@ def heavy_keys(inputs: Mapping[str, tuple[DataFrame, Sequence[str]]], share: flo
         )
         .collect()
     )
-    answer = {name: frozenset() for name in inputs}
+    answer = dict.fromkeys(inputs, NONE)
     for row in found:
         floor = row["n"] * share
-        answer[row["input"]] = frozenset(t["item"] for t in row["top"] if t["count"] > floor)
+        counts = {t["item"]: t["count"] for t in row["top"] if t["count"] > floor}
+        if counts:
+            answer[row["input"]] = Heavy(frozenset(counts), math.ceil(max(counts.values()) / floor))
     return answer
 
 
-def _in(keys: Sequence[str], hashes: Collection[int]) -> Column:
-    return key_hash(keys).isin(*sorted(hashes)) if hashes else F.lit(False)
-
-
-def _spread(df: DataFrame, keys: Sequence[str], heavy: Collection[int], fan: int, name: str) -> DataFrame:
-    """Give each row of a heavy key one of ``fan`` cells, chosen by row content.
+def _spread(df: DataFrame, keys: Sequence[str], heavy: Heavy, name: str) -> DataFrame:
+    """Give each row of a heavy key one of its cells, chosen by row content.
 
     Content, not a random number: a recomputed task must place its rows as before.
     """
     salt = F.col(SALT) if SALT in df.columns else F.xxhash64(*df.columns)
-    cell = F.pmod(salt, F.lit(fan)).cast("int")
-    return df.withColumn(name, F.when(_in(keys, heavy), cell).otherwise(F.lit(0)))
+    cell = F.pmod(salt, F.lit(heavy.fan)).cast("int")
+    return df.withColumn(name, F.when(heavy.holds(keys), cell).otherwise(F.lit(0)))
 
 
-def _repeat(df: DataFrame, keys: Sequence[str], heavy: Collection[int], fan: int, name: str) -> DataFrame:
+def _repeat(df: DataFrame, keys: Sequence[str], heavy: Heavy, name: str) -> DataFrame:
     """Copy each row of a key the other side spreads into every cell."""
     if not heavy:
         return df.withColumn(name, F.lit(0))
-    cells = F.when(_in(keys, heavy), F.sequence(F.lit(0), F.lit(fan - 1))).otherwise(F.array(F.lit(0)))
-    return df.withColumn(name, F.explode(cells))
+    cells = F.sequence(F.lit(0), F.lit(heavy.fan - 1))
+    return df.withColumn(
+        name, F.explode(F.when(heavy.holds(keys), cells).otherwise(F.array(F.lit(0))))
+    )
 
 
 def balanced_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                       left_heavy: Collection[int] = (), right_heavy: Collection[int] = (),
-                       fan: int = FAN) -> DataFrame:
+                       left_heavy: Heavy = NONE, right_heavy: Heavy = NONE) -> DataFrame:
     """``left.join(right, keys, "left")`` with the rows of heavy keys split.
 
     Keys heavy on the left only: left rows are spread, the few right rows
     repeated. Keys heavy on the right: both sides form a grid under an inner
     join, and left rows whose key has no partner are added back through an anti
     join against the heavy right keys, which are bounded by the sketch answer.
+    Repeated rows never outnumber the join's own output.
     """
     keys = list(keys)
     if not left_heavy and not right_heavy:
@@ -115,22 +143,22 @@ def balanced_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
     calm_left, calm_right = left, right
     if right_heavy:
-        calm_left = left.where(~_in(keys, right_heavy))
-        calm_right = right.where(~_in(keys, right_heavy))
-    left_only = set(left_heavy) - set(right_heavy)
+        calm_left = left.where(~right_heavy.holds(keys))
+        calm_right = right.where(~right_heavy.holds(keys))
+    left_only = left_heavy.without(right_heavy.hashes)
     result = (
-        _spread(calm_left, keys, left_only, fan, a)
-        .join(_repeat(calm_right, keys, left_only, fan, a), [*keys, a], "left")
+        _spread(calm_left, keys, left_only, a)
+        .join(_repeat(calm_right, keys, left_only, a), [*keys, a], "left")
         .select(*out)
     )
     if not right_heavy:
         return result
 
-    both = set(left_heavy) & set(right_heavy)
-    hot_left = left.where(_in(keys, right_heavy))
-    hot_right = right.where(_in(keys, right_heavy))
-    grid_left = _repeat(_spread(hot_left, keys, both, fan, a), keys, right_heavy, fan, b)
-    grid_right = _repeat(_spread(hot_right, keys, right_heavy, fan, b), keys, both, fan, a)
+    both = left_heavy.restricted(right_heavy.hashes)
+    hot_left = left.where(right_heavy.holds(keys))
+    hot_right = right.where(right_heavy.holds(keys))
+    grid_left = _repeat(_spread(hot_left, keys, both, a), keys, right_heavy, b)
+    grid_right = _repeat(_spread(hot_right, keys, right_heavy, b), keys, both, a)
     pairs = grid_left.join(grid_right, [*keys, a, b], "inner").select(*out)
     partners = hot_right.select(*keys).distinct()
     alone = hot_left.join(F.broadcast(partners), keys, "left_anti")

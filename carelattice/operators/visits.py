@@ -14,18 +14,22 @@ GAP = "days_since_last_visit"
 
 def with_visit_gap(visits: DataFrame, patient: str, start: str, tie_break: Sequence[str],
                    balance: bool = True, share: float = skew.HEAVY_SHARE,
-                   min_rows: int = skew.MIN_ROWS) -> DataFrame:
+                   min_rows: int = skew.MIN_ROWS, counted: DataFrame | None = None) -> DataFrame:
     """Add ``days_since_last_visit``: day boundaries since the patient's previous visit.
 
     Visits are ordered by ``start`` (missing last), then ``tie_break``, which
     together with the patient must identify a row. NULL for a first visit and
     for a visit without a start. One shuffle on the patient and a LAG; patients
     with a large share of all visits go through :func:`_gap_by_day` instead.
+    ``counted`` is a cheaper DataFrame with the same patients to look for them in.
     """
-    heavy = balance and skew.heavy_keys({"visits": (visits, [patient])}, share, min_rows)["visits"]
+    heavy = skew.NONE
+    if balance:
+        counted = visits if counted is None else counted
+        heavy = skew.heavy_keys({"visits": (counted, [patient])}, share, min_rows)["visits"]
     if not heavy:
         return _gap_by_lag(visits, patient, start, tie_break)
-    is_heavy = skew.key_hash([patient]).isin(*sorted(heavy))
+    is_heavy = heavy.holds([patient])
     return _gap_by_lag(visits.where(~is_heavy), patient, start, tie_break).unionByName(
         _gap_by_day(visits.where(is_heavy), patient, start, tie_break)
     )

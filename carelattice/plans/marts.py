@@ -66,7 +66,9 @@ def readmissions_per_billed_row(encounter: DataFrame, claim: DataFrame, procedur
             (F.coalesce("_claims", F.lit(1)) * F.coalesce("_procedures", F.lit(1))).alias("_rows"),
         )
     )
-    gaps = with_visit_gap(billed, "patient_id", "start_date", ["encounter_id"], **options)
+    gaps = with_visit_gap(
+        billed, "patient_id", "start_date", ["encounter_id"], counted=encounter, **options
+    )
     repeated = F.when(F.col("start_date").isNotNull(), F.lit(0)).cast("bigint")
     kinds = F.array(
         F.struct(F.col(GAP).alias(GAP), F.lit(1).cast("bigint").alias("copies")),

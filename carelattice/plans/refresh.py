@@ -12,7 +12,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelattice.operators.incremental import incremental_filter, newest_first, upsert
+from carelattice.operators.incremental import incremental_filter, newest_first
 from carelattice.operators.quality import run_checks
 from carelattice.plans import checks, enrichment, marts
 from carelattice.plans.staging import stage
@@ -27,19 +27,24 @@ class Refreshed:
     report: DataFrame
 
 
+def staging_snapshot(spark: SparkSession, root: str, table: str) -> SnapshotTable:
+    """The staging table of ``table``, split by the month of its watermark."""
+    return SnapshotTable(spark, f"{root}/staging", table, dated_by=TABLES[table].watermark)
+
+
 def load_increment(snapshot: SnapshotTable, staged: DataFrame, table: str,
                    lookback: str | None = None) -> DataFrame:
     """Merge the rows beyond the snapshot's high-water mark into it; returns the current version.
 
-    Without new rows nothing is rewritten.
+    The mark is read from the latest month alone. Without new rows nothing is
+    written.
     """
     spec = TABLES[table]
-    old = snapshot.read()
-    fresh = incremental_filter(staged, old, spec.watermark, lookback)
-    if old is not None and fresh.isEmpty():
-        return old
-    others = [c for c in staged.columns if c not in (spec.key, spec.watermark)]
-    snapshot.commit(upsert(old, fresh, spec.key, newest_first(spec.watermark, others)))
+    newest = snapshot.newest()
+    fresh = incremental_filter(staged, newest, spec.watermark, lookback)
+    if newest is None or not fresh.isEmpty():
+        others = [c for c in staged.columns if c not in (spec.key, spec.watermark)]
+        snapshot.merge(fresh, spec.key, newest_first(spec.watermark, others))
     return snapshot.read()
 
 
@@ -51,7 +56,7 @@ def staging_layer(spark: SparkSession, raw: Mapping[str, DataFrame], root: str,
         if TABLES[name].watermark is None:
             staged[name] = cleaned
         else:
-            staged[name] = load_increment(SnapshotTable(spark, f"{root}/staging", name), cleaned, name)
+            staged[name] = load_increment(staging_snapshot(spark, root, name), cleaned, name)
     return staged
 
 

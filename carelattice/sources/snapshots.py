@@ -1,28 +1,45 @@
-"""A keyed table kept as versioned parquet folders.
+"""A keyed table kept as versioned parquet folders, split by month.
 
 Plain parquet cannot be overwritten while it is read, nor merged in place. A
-merge therefore writes the next version beside the current one, and a row in
-the commit log makes it the one readers see. A job that dies half way leaves no
-commit, and its leftovers are overwritten by the next attempt.
+merge writes the months it changes beside the current ones, and a row in the
+commit log makes them the ones readers see; months without a replaced key stay
+where they are. A job that dies half way leaves no commit, and its leftovers are
+overwritten by the next attempt.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from carelattice.operators.incremental import deduplicate, without_keys
 
-_LOG_DDL = "version bigint, path string, batch bigint"
+_LOG_DDL = "version bigint, batch bigint, pieces array<struct<part:string,path:string>>"
+_VERSION, _PART = "snapshot_version", "snapshot_part"
+_UNDATED = "none"
+# A month held in this many pieces is rewritten as one by the next merge.
+_MAX_PIECES = 8
 
 
 class SnapshotTable:
-    """One table with a single writer at a time and any number of readers."""
+    """One table with a single writer at a time and any number of readers.
+
+    ``dated_by`` is the timestamp column whose month splits the table; without
+    it the table is one part.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, name: str):
+    def __init__(self, spark: SparkSession, root: str, name: str, dated_by: str | None = None):
         self.spark = spark
         self.name = name
-        self._base = f"{root}/{name}"
-        self._log = f"{self._base}/commits"
+        self._dated_by = dated_by
+        self._data = f"{root}/{name}/data"
+        self._log = f"{root}/{name}/commits"
+
+    # ---- reading
 
     def _commits(self) -> DataFrame | None:
         try:
@@ -42,21 +59,77 @@ class SnapshotTable:
         latest = self._latest()
         return latest["version"] if latest else 0
 
-    def read(self) -> DataFrame | None:
-        """The current version, or None before the first commit."""
-        latest = self._latest()
-        return self.spark.read.parquet(latest["path"]) if latest else None
-
     def has_batch(self, batch: int) -> bool:
         """Whether a commit already carries this batch number."""
         log = self._commits()
         return log is not None and not log.where(F.col("batch") == batch).isEmpty()
 
-    def commit(self, df: DataFrame, batch: int | None = None) -> int:
-        """Write ``df`` as the next version and make it current."""
-        version = self.version + 1
-        path = f"{self._base}/data/v{version:06d}"
-        df.write.mode("overwrite").parquet(path)
-        entry = self.spark.createDataFrame([(version, path, batch)], _LOG_DDL)
+    def _load(self, pieces: Sequence) -> DataFrame:
+        paths = [p["path"] for p in pieces]
+        fields = self.spark.read.parquet(paths[0]).schema.fields
+        folders = [T.StructField(c, T.StringType()) for c in (_VERSION, _PART)]
+        reader = self.spark.read.schema(T.StructType([*fields, *folders]))
+        return reader.option("basePath", self._data).parquet(*paths).drop(_VERSION)
+
+    def read(self) -> DataFrame | None:
+        """The current version, or None before the first commit."""
+        latest = self._latest()
+        return self._load(latest["pieces"]).drop(_PART) if latest else None
+
+    def newest(self) -> DataFrame | None:
+        """The rows of the latest month only: where the largest ``dated_by`` is found."""
+        latest = self._latest()
+        if not latest:
+            return None
+        dated = [p for p in latest["pieces"] if p["part"] != _UNDATED] or latest["pieces"]
+        last = max(p["part"] for p in dated)
+        return self._load([p for p in dated if p["part"] == last]).drop(_PART)
+
+    # ---- writing
+
+    def _part(self) -> Column:
+        if self._dated_by is None:
+            return F.lit("all")
+        month = F.substring(F.col(self._dated_by).cast("string"), 1, 7)
+        return F.coalesce(F.concat(F.lit("m"), month), F.lit(_UNDATED))
+
+    def _write(self, df: DataFrame, kept: Sequence, batch: int | None, version: int) -> int:
+        path = f"{self._data}/{_VERSION}={version:06d}"
+        df = df.withColumn(_PART, self._part())
+        df.write.mode("overwrite").partitionBy(_PART).parquet(path)
+        # At most one row per calendar month.
+        written = self.spark.read.schema(df.schema).parquet(path).select(_PART).distinct().collect()
+        pieces = [(p["part"], p["path"]) for p in kept]
+        pieces += [(r[_PART], f"{path}/{_PART}={r[_PART]}") for r in written]
+        if not pieces:
+            # An empty table still has a schema to read.
+            df.drop(_PART).write.mode("overwrite").parquet(f"{path}/{_PART}={_UNDATED}")
+            pieces = [(_UNDATED, f"{path}/{_PART}={_UNDATED}")]
+        entry = self.spark.createDataFrame([(version, batch, pieces)], _LOG_DDL)
         entry.coalesce(1).write.mode("append").json(self._log)
         return version
+
+    def commit(self, df: DataFrame, batch: int | None = None) -> int:
+        """Make ``df`` the whole content of the next version."""
+        return self._write(df, [], batch, self.version + 1)
+
+    def merge(self, new: DataFrame, key: str, order_by: Sequence[Column], batch: int | None = None) -> int:
+        """Commit the table with ``new`` upserted by ``key``.
+
+        The months that hold a replaced key are found through a semi join on the
+        keys alone and rewritten; the new rows land beside all others.
+        """
+        winners = deduplicate(new, key, order_by)
+        latest = self._latest()
+        if latest is None:
+            return self.commit(winners, batch)
+        pieces = latest["pieces"]
+        old = self._load(pieces)
+        replaced = old.join(new.select(key), key, "left_semi").select(_PART).distinct().collect()
+        parts = [p["part"] for p in pieces]
+        touched = {r[_PART] for r in replaced} | {p for p in parts if parts.count(p) >= _MAX_PIECES}
+        if touched:
+            changed = self._load([p for p in pieces if p["part"] in touched]).drop(_PART)
+            winners = without_keys(changed, new, key).unionByName(winners)
+        kept = [p for p in pieces if p["part"] not in touched]
+        return self._write(winners, kept, batch, latest["version"] + 1)

@@ -73,22 +73,58 @@ def test_dedup_drops_copies_before_the_shuffle(spark):
 
 
 def test_snapshot_versions(spark, old, new, rows, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path), "t")
-    assert table.version == 0 and table.read() is None and not table.has_batch(0)
-    assert table.commit(old, batch=0) == 1
-    first = table.read()
+    table = SnapshotTable(spark, str(tmp_path), "t", dated_by="w")
     order = incremental.newest_first("w", ["v"])
-    assert table.commit(incremental.upsert(first, new, "k", order), batch=1) == 2
+    assert table.version == 0 and table.read() is None and table.newest() is None and not table.has_batch(0)
+    assert table.merge(old, "k", order, batch=0) == 1
+    first = table.read()
+    assert rows(first) == rows(old)
+    assert table.merge(new, "k", order, batch=1) == 2
     assert table.version == 2 and table.has_batch(1) and not table.has_batch(2)
-    assert table.read().count() == 8
+    assert rows(table.read()) == rows(incremental.upsert(old, new, "k", order))
     assert rows(first) == rows(old)
 
 
+def test_merge_rewrites_only_months_with_replaced_keys(spark, rows, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path), "t", dated_by="w")
+    order = incremental.newest_first("w", ["v"])
+    start = [(f"{m}{i}", datetime(2024, m, 1 + i), m) for m in range(1, 5) for i in range(3)] + [("u", None, 0)]
+    model = {k: (k, w, v) for k, w, v in start}
+    table.merge(spark.createDataFrame(start, DDL), "k", order)
+    batch = [("20", datetime(2024, 4, 9), 99), ("x", datetime(2024, 1, 5), 98), ("y", datetime(2024, 6, 5), 97)]
+    model |= {k: (k, w, v) for k, w, v in batch}
+    table.merge(spark.createDataFrame(batch, DDL), "k", order)
+    assert rows(table.read()) == sorted(model.values(), key=repr)
+    assert rows(table.newest(), "v") == [(97,)]
+    written = sorted(p.name.split("=")[1] for p in (tmp_path / "t" / "data" / "snapshot_version=000002").glob("snapshot_part=*"))
+    # February lost a key; the others only gained rows.
+    assert written == ["m2024-01", "m2024-02", "m2024-04", "m2024-06"]
+    pieces = [p["path"] for p in table._latest()["pieces"]]
+    assert sum("=000001" in p for p in pieces) == 4 and sum("m2024-02" in p for p in pieces) == 1
+
+
+def test_many_pieces_are_gathered(spark, rows, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path), "t", dated_by="w")
+    order = incremental.newest_first("w", ["v"])
+    for i in range(10):
+        table.merge(spark.createDataFrame([(f"k{i}", day(3), i)], DDL), "k", order)
+    assert len(table._latest()["pieces"]) < 8
+    assert rows(table.read(), "v") == [(i,) for i in range(10)]
+
+
+def test_empty_table(spark, old, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path), "t", dated_by="w")
+    table.commit(old.where("false"))
+    assert table.read().columns == ["k", "w", "v"] and table.read().count() == 0
+    table.merge(old, "k", incremental.newest_first("w", ["v"]))
+    assert table.read().count() == 3
+
+
 def test_unfinished_version_is_not_seen(spark, old, new, rows, tmp_path):
     table = SnapshotTable(spark, str(tmp_path), "t")
     table.commit(old)
     # A writer that died before its commit row.
-    new.write.parquet(str(tmp_path / "t" / "data" / "v000002"))
+    new.write.parquet(str(tmp_path / "t" / "data" / "snapshot_version=000002"))
     assert rows(table.read()) == rows(old)
     table.commit(old.limit(1))
     assert table.read().count() == 1

@@ -22,9 +22,9 @@ def sides(spark):
     )
 
 
-def hashes(spark, *keys):
+def heavy(spark, *keys):
     df = spark.createDataFrame([(k,) for k in keys], "k string")
-    return {r[0] for r in df.select(skew.key_hash(["k"])).collect()}
+    return skew.Heavy(frozenset(r[0] for r in df.select(skew.key_hash(["k"])).collect()), 4)
 
 
 @pytest.mark.parametrize("left_heavy, right_heavy", [
@@ -35,7 +35,7 @@ def test_any_routing_gives_the_left_join(spark, sides, rows, left_heavy, right_h
     left, right = sides
     expected = rows(left.join(right, "k", "left"), "k", "l", "r")
     found = skew.balanced_left_join(
-        left, right, ["k"], hashes(spark, *left_heavy), hashes(spark, *right_heavy), fan=4
+        left, right, ["k"], heavy(spark, *left_heavy), heavy(spark, *right_heavy)
     )
     assert rows(found, "k", "l", "r") == expected
 
@@ -43,9 +43,9 @@ def test_any_routing_gives_the_left_join(spark, sides, rows, left_heavy, right_h
 def test_heavy_keys_are_found(spark, sides):
     left, right = sides
     found = skew.heavy_keys({"l": (left, ["k"]), "r": (right, ["k"])}, share=0.2, min_rows=1)
-    assert found["l"] == hashes(spark, "a")
-    assert found["r"] == hashes(spark, "b")
-    assert skew.heavy_keys({"l": (left, ["k"])}, share=0.2, min_rows=601) == {"l": frozenset()}
+    assert found["l"].hashes == heavy(spark, "a").hashes and found["l"].fan == 2
+    assert found["r"].hashes == heavy(spark, "b").hashes
+    assert skew.heavy_keys({"l": (left, ["k"])}, share=0.2, min_rows=601) == {"l": skew.NONE}
 
 
 def test_enrich_chain_with_heavy_keys(spark, sides, rows):
