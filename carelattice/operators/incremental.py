@@ -84,5 +84,9 @@ def upsert(old: DataFrame | None, new: DataFrame, key: str, order_by: Sequence[C
 
 
 def without_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Rows of ``old`` whose key ``new`` does not bring."""
-    return old.join(new.select(key), key, "left_anti").select(*old.columns)
+    """Rows of ``old`` whose key ``new`` does not bring.
+
+    The keys are reduced to distinct ones on the way into the shuffle the join
+    needs anyway, so many copies of one key travel as one row per task.
+    """
+    return old.join(new.select(key).distinct(), key, "left_anti").select(*old.columns)

@@ -73,7 +73,7 @@ def _relationship(child: DataFrame, parent: DataFrame, check: Check) -> DataFram
         .groupBy(F.col(check.column).alias("_ref"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    keys = parent.select(F.col(check.parent_column).alias("_ref"))
+    keys = parent.select(F.col(check.parent_column).alias("_ref")).distinct()
     counts = refs.join(keys, "_ref", "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("c0"))
     return _report(counts, [check])
 

@@ -19,14 +19,16 @@ from pyspark.sql import functions as F
 
 # A key is heavy when it holds more than this share of the rows. At most
 # 1 / HEAVY_SHARE keys can, which bounds what reaches the driver and the plan.
-HEAVY_SHARE = 1 / 1000
+HEAVY_SHARE = 1 / 500
 # Tables below this size are never worth splitting.
 MIN_ROWS = 1_000_000
-# Frequent-item sketch size: its error (3.5 / size) stays below HEAVY_SHARE / 4.
-_TRACKED = 16_384
+# Frequent-item sketch size. Twice its error (3.5 / size) stays below HEAVY_SHARE,
+# so no heavy key is missed.
+_TRACKED = 4_096
 # Optional column with a hash of the whole source row, for a pruned right side.
 SALT = "_salt"
-_MERGE_GROUPS = 128
+# Cores whose sketches are merged in one task before the last merge.
+_CORES_PER_MERGE = 64
 
 
 @dataclass(frozen=True)
@@ -62,12 +64,12 @@ def key_hash(keys: Sequence[str]) -> Column:
 
 
 def heavy_keys(inputs: Mapping[str, tuple[DataFrame, Sequence[str]]], share: float = HEAVY_SHARE,
-               min_rows: int = MIN_ROWS) -> dict[str, Heavy]:
+               min_rows: int = MIN_ROWS, merges: int | None = None) -> dict[str, Heavy]:
     """Per named input (DataFrame, key columns): the keys with more than ``share`` of its rows.
 
     One job over the key columns of all inputs with a frequent-item sketch: tasks
-    send a sketch per input, no row is shuffled, and sketches are merged in two
-    steps. The answer, at most ``1 / share`` numbers per input, only decides how
+    send a sketch per input, no row is shuffled, and on a large cluster sketches
+    are merged in two steps. The answer, at most ``1 / share`` numbers per input, only decides how
     rows are routed; results are the same for any answer. A key is to be spread
     over so many cells that each holds about ``share`` of the rows.
     """
@@ -77,9 +79,13 @@ def heavy_keys(inputs: Mapping[str, tuple[DataFrame, Sequence[str]]], share: flo
         [df.select(F.lit(name).alias("input"), key_hash(keys).alias("h"))
          for name, (df, keys) in inputs.items()],
     )
-    group = F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("part")
+    spark = hashes.sparkSession
+    merges = merges or spark.sparkContext.defaultParallelism // _CORES_PER_MERGE
+    by = ["input"]
+    if merges > 1:
+        by.append(F.pmod(F.spark_partition_id(), F.lit(merges)).alias("part"))
     found = (
-        hashes.groupBy("input", group)
+        hashes.groupBy(*by)
         .agg(
             F.call_function("approx_top_k_accumulate", F.col("h"), F.lit(_TRACKED)).alias("sketch"),
             F.count(F.lit(1)).alias("n"),

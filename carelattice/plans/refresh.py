@@ -40,11 +40,9 @@ def load_increment(snapshot: SnapshotTable, staged: DataFrame, table: str,
     written.
     """
     spec = TABLES[table]
-    newest = snapshot.newest()
-    fresh = incremental_filter(staged, newest, spec.watermark, lookback)
-    if newest is None or not fresh.isEmpty():
-        others = [c for c in staged.columns if c not in (spec.key, spec.watermark)]
-        snapshot.merge(fresh, spec.key, newest_first(spec.watermark, others))
+    fresh = incremental_filter(staged, snapshot.newest(), spec.watermark, lookback)
+    others = [c for c in staged.columns if c not in (spec.key, spec.watermark)]
+    snapshot.merge(fresh, spec.key, newest_first(spec.watermark, others))
     return snapshot.read()
 
 

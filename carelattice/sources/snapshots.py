@@ -38,6 +38,7 @@ class SnapshotTable:
         self._dated_by = dated_by
         self._data = f"{root}/{name}/data"
         self._log = f"{root}/{name}/commits"
+        self._incoming = f"{root}/{name}/incoming"
 
     # ---- reading
 
@@ -114,22 +115,29 @@ class SnapshotTable:
         return self._write(df, [], batch, self.version + 1)
 
     def merge(self, new: DataFrame, key: str, order_by: Sequence[Column], batch: int | None = None) -> int:
-        """Commit the table with ``new`` upserted by ``key``.
+        """Commit the table with ``new`` upserted by ``key``; returns the current version.
 
-        The months that hold a replaced key are found through a semi join on the
-        keys alone and rewritten; the new rows land beside all others.
+        The batch is computed once and written aside. Its keys then find the
+        months that hold a replaced row; those are rewritten, and the new rows
+        land beside all others. An unnumbered empty batch commits nothing.
         """
         winners = deduplicate(new, key, order_by)
         latest = self._latest()
         if latest is None:
             return self.commit(winners, batch)
+        winners.write.mode("overwrite").parquet(self._incoming)
+        winners = self.spark.read.schema(new.schema).parquet(self._incoming)
+        if batch is None and winners.isEmpty():
+            return latest["version"]
         pieces = latest["pieces"]
-        old = self._load(pieces)
-        replaced = old.join(new.select(key), key, "left_semi").select(_PART).distinct().collect()
+        # At most one row per calendar month.
+        replaced = (
+            self._load(pieces).join(winners.select(key), key, "left_semi").select(_PART).distinct().collect()
+        )
         parts = [p["part"] for p in pieces]
         touched = {r[_PART] for r in replaced} | {p for p in parts if parts.count(p) >= _MAX_PIECES}
         if touched:
             changed = self._load([p for p in pieces if p["part"] in touched]).drop(_PART)
-            winners = without_keys(changed, new, key).unionByName(winners)
+            winners = without_keys(changed, winners, key).unionByName(winners)
         kept = [p for p in pieces if p["part"] not in touched]
         return self._write(winners, kept, batch, latest["version"] + 1)

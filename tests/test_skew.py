@@ -42,9 +42,11 @@ def test_any_routing_gives_the_left_join(spark, sides, rows, left_heavy, right_h
 
 def test_heavy_keys_are_found(spark, sides):
     left, right = sides
-    found = skew.heavy_keys({"l": (left, ["k"]), "r": (right, ["k"])}, share=0.2, min_rows=1)
-    assert found["l"].hashes == heavy(spark, "a").hashes and found["l"].fan == 2
-    assert found["r"].hashes == heavy(spark, "b").hashes
+    inputs = {"l": (left, ["k"]), "r": (right, ["k"])}
+    for merges in (None, 3):
+        found = skew.heavy_keys(inputs, share=0.2, min_rows=1, merges=merges)
+        assert found["l"].hashes == heavy(spark, "a").hashes and found["l"].fan == 2
+        assert found["r"].hashes == heavy(spark, "b").hashes
     assert skew.heavy_keys({"l": (left, ["k"])}, share=0.2, min_rows=601) == {"l": skew.NONE}
 
 
