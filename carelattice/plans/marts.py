@@ -99,18 +99,32 @@ def prevalence(condition: DataFrame, patient: DataFrame, scale: int = 100,
     """
     if denominator not in ("conditioned", "population"):
         raise ValueError("denominator is 'conditioned' or 'population'")
-    people = patient.select("patient_id", age_bucket("age").alias("age_group"), "gender", "race")
+    people = patient.select(
+        "patient_id", age_bucket("age").alias("age_group"), "gender", "race"
+    ).na.drop(subset=["patient_id", *DEMOGRAPHICS])
     pairs = condition.select("patient_id", "condition_name").distinct()
-    known = pairs.join(people, "patient_id", "left")
-    with_condition = known.groupBy("condition_name", *DEMOGRAPHICS).agg(
-        F.count_distinct("patient_id").alias("patients_with_condition")
-    )
-    base = known if denominator == "conditioned" else people
-    groups = base.groupBy(*DEMOGRAPHICS).agg(
-        F.count_distinct("patient_id").alias("total_group_patients")
+    known = pairs.join(people, "patient_id", "inner").distinct()
+    # A patient is marked on one of their conditions, so one pass yields both
+    # counts: all rows per condition, and the marked ones per group.
+    one_of = Window.partitionBy("patient_id", *DEMOGRAPHICS).orderBy("condition_name")
+    counts = (
+        known.withColumn("_first", F.row_number().over(one_of) == 1)
+        .groupBy("condition_name", *DEMOGRAPHICS)
+        .agg(
+            F.count(F.lit(1)).alias("patients_with_condition"),
+            F.count_if("_first").alias("_firsts"),
+        )
     )
+    if denominator == "conditioned":
+        in_group = F.sum("_firsts").over(Window.partitionBy(*DEMOGRAPHICS))
+        counts = counts.withColumn("total_group_patients", in_group)
+    else:
+        groups = people.groupBy(*DEMOGRAPHICS).agg(
+            F.count_distinct("patient_id").alias("total_group_patients")
+        )
+        counts = counts.join(groups, list(DEMOGRAPHICS), "inner")
     share = safe_divide("patients_with_condition", "total_group_patients") * scale
-    return with_condition.join(groups, list(DEMOGRAPHICS), "inner").select(
+    return counts.select(
         "condition_name",
         *DEMOGRAPHICS,
         "patients_with_condition",

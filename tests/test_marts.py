@@ -131,6 +131,22 @@ def test_readmissions_per_billed_row_brute_force(spark, rows):
         assert rows(found) == sorted(expected, key=repr)
 
 
+def test_prevalence_brute_force(spark, rows):
+    patients = [("p1", 30, "f", "r"), ("p2", 30, "f", "r"), ("p2", 30, "f", "r"), ("p3", 30, None, "r"),
+                ("p4", None, "m", "r"), ("p5", 80, "m", "r"), ("p6", 31, "f", "r")]
+    conditions = [("p1", "A"), ("p1", "A"), ("p1", "B"), ("p2", "A"), ("p2", None), ("p3", "A"), ("p4", "A"),
+                  ("p5", "B"), (None, "A"), ("p9", "A")]
+    patient = spark.createDataFrame(patients, "patient_id string, age int, gender string, race string")
+    condition = spark.createDataFrame(conditions, "patient_id string, condition_name string")
+    expected = {("A", "18-34", "f", 2): 2, ("B", "18-34", "f", 1): 2, (None, "18-34", "f", 1): 2,
+                ("A", "75+", "m", 1): 2, ("B", "75+", "m", 1): 2}
+    for denominator, more in (("conditioned", 0), ("population", 1)):
+        found = marts.prevalence(condition, patient, denominator=denominator)
+        assert rows(found) == sorted(
+            ((n, a, g, "r", k, t + (more if g == "f" else 0), round(100 * k / (t + (more if g == "f" else 0)), 2))
+             for (n, a, g, k), t in expected.items()), key=repr)
+
+
 def test_prevalence_is_a_share(spark, sf_dir):
     patient, condition = (bindings.staged(spark, sf_dir, n) for n in ("patient", "condition"))
     worst = marts.prevalence(condition, patient).agg(
