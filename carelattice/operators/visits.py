@@ -17,9 +17,9 @@ def with_visit_gap(visits: DataFrame, patient: str, start: str, tie_break: Seque
                    min_rows: int = skew.MIN_ROWS, counted: DataFrame | None = None) -> DataFrame:
     """Add ``days_since_last_visit``: day boundaries since the patient's previous visit.
 
-    Visits are ordered by ``start`` (missing last), then ``tie_break``, which
-    together with the patient must identify a row. NULL for a first visit and
-    for a visit without a start. One shuffle on the patient and a LAG; patients
+    Visits are ordered by ``start`` (missing last), then ``tie_break``; of rows
+    equal in all of these any one counts as the earlier. NULL for a first visit
+    and for a visit without a start. One shuffle on the patient and a LAG; patients
     with a large share of all visits go through :func:`_gap_by_day` instead.
     ``counted`` is a cheaper DataFrame with the same patients to look for them in.
     """
@@ -70,5 +70,9 @@ def _gap_by_day(visits: DataFrame, patient: str, start: str, tie_break: Sequence
     same = F.col(patient).eqNullSafe(F.col("_patient"))
     for c in order:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    gap = F.when(F.col("_is_first"), F.col("_gap")).when(F.col(start).isNotNull(), F.lit(0))
-    return visits.join(firsts, same, "left").select(*visits.columns, gap.cast("bigint").alias(GAP))
+    # Of rows equal in patient and order only one is the first.
+    copies = Window.partitionBy(patient, *order).orderBy(F.lit(0))
+    numbered = visits.withColumn("_copy", F.row_number().over(copies))
+    is_first = F.col("_is_first") & (F.col("_copy") == 1)
+    gap = F.when(is_first, F.col("_gap")).when(F.col(start).isNotNull(), F.lit(0))
+    return numbered.join(firsts, same, "left").select(*visits.columns, gap.cast("bigint").alias(GAP))

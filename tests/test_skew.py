@@ -79,7 +79,8 @@ def test_visit_gap_of_heavy_patients(spark, rows):
     for i in range(900):
         patient = "hot" if i % 3 == 0 else None if i % 10 == 0 else f"p{rng.randrange(30)}"
         start = None if i % 50 == 0 else datetime(2020, 1, 1) + timedelta(hours=rng.randrange(24 * 60))
-        data.append((patient, f"e{i:04d}", start))
+        # Some visits come twice.
+        data += [(patient, f"e{i:04d}", start)] * (1 + (i % 13 == 0))
     visits = spark.createDataFrame(data, "p string, e string, s timestamp_ntz").repartition(4)
     plain = with_visit_gap(visits, "p", "s", ["e"], balance=False)
     split = with_visit_gap(visits, "p", "s", ["e"], share=0.001, min_rows=1)
