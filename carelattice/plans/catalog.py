@@ -204,7 +204,7 @@ def _raw_claim_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
 @register("incremental_load", oracle.INCREMENTAL_LOAD)
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of the staging load into a written snapshot: full, then beyond the mark."""
-    snapshot = refresh.staging_snapshot(spark, work_path(spark, "incremental_load"), "claim")
+    snapshot = refresh.staging_snapshot(spark, work_path(spark, "incremental_load"), "claim", "year")
     for batch in _raw_claim_batches(spark, sf_dir):
         result = refresh.load_increment(
             snapshot, refresh.stage(batch, "claim", bindings.AS_OF), "claim"
@@ -364,7 +364,7 @@ def land_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _refreshed(spark: SparkSession, sf_dir: str) -> refresh.Refreshed:
     raw = {n: bindings.raw(spark, sf_dir, n) for n in TABLES}
-    return refresh.refresh(spark, raw, work_path(spark, "refresh"), bindings.AS_OF)
+    return refresh.refresh(spark, raw, work_path(spark, "refresh"), bindings.AS_OF, "year")
 
 
 @register("refresh_medication_patterns", oracle.REFRESH_MEDICATION_PATTERNS)
@@ -377,7 +377,7 @@ def refresh_medication_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landings of claims merged by two runs of the stream over one checkpoint."""
     root = work_path(spark, "stream")
-    snapshot = refresh.staging_snapshot(spark, root, "claim")
+    snapshot = refresh.staging_snapshot(spark, root, "claim", "year")
     for number, batch in enumerate(_raw_claim_batches(spark, sf_dir)):
         landing.land(batch, f"{root}/landed", "claim", date(2024, 6, 7 + number), fmt="parquet")
         ingest.upsert_available(

@@ -27,9 +27,9 @@ class Refreshed:
     report: DataFrame
 
 
-def staging_snapshot(spark: SparkSession, root: str, table: str) -> SnapshotTable:
-    """The staging table of ``table``, split by the month of its watermark."""
-    return SnapshotTable(spark, f"{root}/staging", table, dated_by=TABLES[table].watermark)
+def staging_snapshot(spark: SparkSession, root: str, table: str, split: str = "month") -> SnapshotTable:
+    """The staging table of ``table``, split by the month (or year) of its watermark."""
+    return SnapshotTable(spark, f"{root}/staging", table, TABLES[table].watermark, split)
 
 
 def load_increment(snapshot: SnapshotTable, staged: DataFrame, table: str,
@@ -47,14 +47,14 @@ def load_increment(snapshot: SnapshotTable, staged: DataFrame, table: str,
 
 
 def staging_layer(spark: SparkSession, raw: Mapping[str, DataFrame], root: str,
-                  as_of: date | str) -> dict[str, DataFrame]:
+                  as_of: date | str, split: str = "month") -> dict[str, DataFrame]:
     staged = {}
     for name, df in raw.items():
         cleaned = stage(df, name, as_of)
         if TABLES[name].watermark is None:
             staged[name] = cleaned
         else:
-            staged[name] = load_increment(staging_snapshot(spark, root, name), cleaned, name)
+            staged[name] = load_increment(staging_snapshot(spark, root, name, split), cleaned, name)
     return staged
 
 
@@ -89,9 +89,9 @@ def enrichment_layer(staged: Mapping[str, DataFrame], **options) -> dict[str, Da
 
 
 def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], root: str,
-            as_of: date | str) -> Refreshed:
+            as_of: date | str, split: str = "month") -> Refreshed:
     """Run every layer below ``root``; safe to run again after a failure."""
-    staged = staging_layer(spark, raw, root, as_of)
+    staged = staging_layer(spark, raw, root, as_of, split)
     written = {}
     for name, mart in mart_layer(staged).items():
         path = f"{root}/marts/{name}"

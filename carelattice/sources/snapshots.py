@@ -28,14 +28,17 @@ _MAX_PIECES = 8
 class SnapshotTable:
     """One table with a single writer at a time and any number of readers.
 
-    ``dated_by`` is the timestamp column whose month splits the table; without
-    it the table is one part.
+    ``dated_by`` is the timestamp column whose month, or year with
+    ``split="year"`` for small tables, splits the table; without it the table is
+    one part.
     """
 
-    def __init__(self, spark: SparkSession, root: str, name: str, dated_by: str | None = None):
+    def __init__(self, spark: SparkSession, root: str, name: str, dated_by: str | None = None,
+                 split: str = "month"):
         self.spark = spark
         self.name = name
         self._dated_by = dated_by
+        self._digits = {"month": len("2024-01"), "year": len("2024")}[split]
         self._data = f"{root}/{name}/data"
         self._log = f"{root}/{name}/commits"
         self._incoming = f"{root}/{name}/incoming"
@@ -91,12 +94,14 @@ class SnapshotTable:
     def _part(self) -> Column:
         if self._dated_by is None:
             return F.lit("all")
-        month = F.substring(F.col(self._dated_by).cast("string"), 1, 7)
-        return F.coalesce(F.concat(F.lit("m"), month), F.lit(_UNDATED))
+        period = F.substring(F.col(self._dated_by).cast("string"), 1, self._digits)
+        return F.coalesce(F.concat(F.lit("p"), period), F.lit(_UNDATED))
 
     def _write(self, df: DataFrame, kept: Sequence, batch: int | None, version: int) -> int:
         path = f"{self._data}/{_VERSION}={version:06d}"
-        df = df.withColumn(_PART, self._part())
+        # Rows of a month meet before the write, so months do not multiply with
+        # tasks into small files; AQE splits a large month and joins small ones.
+        df = df.withColumn(_PART, self._part()).hint("rebalance", _PART)
         df.write.mode("overwrite").partitionBy(_PART).parquet(path)
         # At most one row per calendar month.
         written = self.spark.read.schema(df.schema).parquet(path).select(_PART).distinct().collect()

@@ -98,9 +98,18 @@ def test_merge_rewrites_only_months_with_replaced_keys(spark, rows, tmp_path):
     assert rows(table.newest(), "v") == [(97,)]
     written = sorted(p.name.split("=")[1] for p in (tmp_path / "t" / "data" / "snapshot_version=000002").glob("snapshot_part=*"))
     # February lost a key; the others only gained rows.
-    assert written == ["m2024-01", "m2024-02", "m2024-04", "m2024-06"]
+    assert written == ["p2024-01", "p2024-02", "p2024-04", "p2024-06"]
     pieces = [p["path"] for p in table._latest()["pieces"]]
-    assert sum("=000001" in p for p in pieces) == 4 and sum("m2024-02" in p for p in pieces) == 1
+    assert sum("=000001" in p for p in pieces) == 4 and sum("p2024-02" in p for p in pieces) == 1
+
+
+def test_split_by_year(spark, old, new, rows, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path), "t", dated_by="w", split="year")
+    order = incremental.newest_first("w", ["v"])
+    table.merge(old, "k", order)
+    table.merge(new, "k", order)
+    assert rows(table.read()) == rows(incremental.upsert(old, new, "k", order))
+    assert {p["part"] for p in table._latest()["pieces"]} == {"p2024", "none"}
 
 
 def test_many_pieces_are_gathered(spark, rows, tmp_path):

@@ -87,9 +87,9 @@ def test_registry(spark, rows, tmp_path):
 
 def test_refresh_twice(spark, sf_dir, rows, tmp_path):
     raw = {n: bindings.raw(spark, sf_dir, n) for n in TABLES}
-    first = refresh.refresh(spark, raw, str(tmp_path), bindings.AS_OF)
+    first = refresh.refresh(spark, raw, str(tmp_path), bindings.AS_OF, "year")
     marts = {n: rows(df) for n, df in first.marts.items()}
-    second = refresh.refresh(spark, raw, str(tmp_path), bindings.AS_OF)
+    second = refresh.refresh(spark, raw, str(tmp_path), bindings.AS_OF, "year")
     assert {n: rows(df) for n, df in second.marts.items()} == marts
     unique = [r for r in second.report.collect() if r["check_name"] == "unique"]
     assert {r["table_name"] for r in unique if r["failures"]} == {
