@@ -50,6 +50,9 @@ def _extension_text(extensions: Column, matches: Callable[[Column], Column]) ->
     return _last(nested)["valueString"]
 
 
+# The path each column is read from, per resource type.
+
+
 def _patient(r: Column) -> dict[str, Column]:
     race = lambda u: u.contains(RACE_URL)
     ethnicity = lambda u: u.contains(ETHNICITY_URL) & ~race(u)
