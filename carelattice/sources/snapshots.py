@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from carelattice.operators.incremental import deduplicate, without_keys
 
-_LOG_DDL = "version bigint, batch bigint, pieces array<struct<part:string,path:string>>"
+_LOG_DDL = "version bigint, batch string, pieces array<struct<part:string,path:string>>"
 _VERSION, _PART = "snapshot_version", "snapshot_part"
 _UNDATED = "none"
 # A month held in this many pieces is rewritten as one by the next merge.
@@ -63,8 +63,8 @@ class SnapshotTable:
         latest = self._latest()
         return latest["version"] if latest else 0
 
-    def has_batch(self, batch: int) -> bool:
-        """Whether a commit already carries this batch number."""
+    def has_batch(self, batch: str) -> bool:
+        """Whether a commit already carries this batch name."""
         log = self._commits()
         return log is not None and not log.where(F.col("batch") == batch).isEmpty()
 
@@ -97,7 +97,7 @@ class SnapshotTable:
         period = F.substring(F.col(self._dated_by).cast("string"), 1, self._digits)
         return F.coalesce(F.concat(F.lit("p"), period), F.lit(_UNDATED))
 
-    def _write(self, df: DataFrame, kept: Sequence, batch: int | None, version: int) -> int:
+    def _write(self, df: DataFrame, kept: Sequence, batch: str | None, version: int) -> int:
         path = f"{self._data}/{_VERSION}={version:06d}"
         # Rows of a month meet before the write, so months do not multiply with
         # tasks into small files; AQE splits a large month and joins small ones.
@@ -115,16 +115,16 @@ class SnapshotTable:
         entry.coalesce(1).write.mode("append").json(self._log)
         return version
 
-    def commit(self, df: DataFrame, batch: int | None = None) -> int:
+    def commit(self, df: DataFrame, batch: str | None = None) -> int:
         """Make ``df`` the whole content of the next version."""
         return self._write(df, [], batch, self.version + 1)
 
-    def merge(self, new: DataFrame, key: str, order_by: Sequence[Column], batch: int | None = None) -> int:
+    def merge(self, new: DataFrame, key: str, order_by: Sequence[Column], batch: str | None = None) -> int:
         """Commit the table with ``new`` upserted by ``key``; returns the current version.
 
         The batch is computed once and written aside. Its keys then find the
         months that hold a replaced row; those are rewritten, and the new rows
-        land beside all others. An unnumbered empty batch commits nothing.
+        land beside all others. An unnamed empty batch commits nothing.
         """
         winners = deduplicate(new, key, order_by)
         latest = self._latest()

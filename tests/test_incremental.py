@@ -75,12 +75,12 @@ def test_dedup_drops_copies_before_the_shuffle(spark):
 def test_snapshot_versions(spark, old, new, rows, tmp_path):
     table = SnapshotTable(spark, str(tmp_path), "t", dated_by="w")
     order = incremental.newest_first("w", ["v"])
-    assert table.version == 0 and table.read() is None and table.newest() is None and not table.has_batch(0)
-    assert table.merge(old, "k", order, batch=0) == 1
+    assert table.version == 0 and table.read() is None and table.newest() is None and not table.has_batch("a")
+    assert table.merge(old, "k", order, batch="a") == 1
     first = table.read()
     assert rows(first) == rows(old)
-    assert table.merge(new, "k", order, batch=1) == 2
-    assert table.version == 2 and table.has_batch(1) and not table.has_batch(2)
+    assert table.merge(new, "k", order, batch="b") == 2
+    assert table.version == 2 and table.has_batch("b") and not table.has_batch("c")
     assert rows(table.read()) == rows(incremental.upsert(old, new, "k", order))
     assert rows(first) == rows(old)
 

@@ -96,14 +96,22 @@ def test_refresh_twice(spark, sf_dir, rows, tmp_path):
         "raw_condition", "raw_procedure", "raw_medication_request"}
 
 
-def test_stream_replay_is_skipped(spark, sf_dir, tmp_path):
+def test_stream_replay_and_lost_checkpoint(spark, sf_dir, tmp_path):
     from carelattice.sources.snapshots import SnapshotTable
 
     root = str(tmp_path)
     landing.land(bindings.raw(spark, sf_dir, "claim"), f"{root}/landed", "claim", date(2024, 6, 7), "parquet")
     table = SnapshotTable(spark, root, "claim")
-    for checkpoint in ("one", "one", "two"):
+
+    def run(checkpoint):
         ingest.upsert_available(ingest.landed_stream(spark, f"{root}/landed", "claim"), table, "claim",
                                 f"{root}/{checkpoint}", bindings.AS_OF)
-    # The second run finds no new file; the third replays batch 0 from a lost checkpoint.
-    assert table.version == 1 and table.read().count() == 1500
+        return table.version
+
+    assert run("one") == 1
+    assert run("one") == 1  # no new file
+    for name in ("0", ".0.crc"):
+        (tmp_path / "one" / "commits" / name).unlink()
+    assert run("one") == 1  # a batch that died after its merge is replayed and skipped
+    assert run("two") == 2  # a new checkpoint reads everything again, to the same table
+    assert table.read().count() == 1500
