@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from carelattice.plans import catalog
 from tests.compare import connect, difference
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
@@ -13,11 +14,11 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+def test_every_own_query_has_sql():
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_sql(spark, sf_dir, con, name):
     assert difference(QUERIES[name](spark, sf_dir), con, ORACLE[name]) is None
 
