@@ -7,20 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelattice.llm import decontaminate, packing, simhash
-from carelattice.llm.common import table
+from carelattice.llm import decontaminate, language_id, nbsvm, packing, simhash
+from carelattice.llm.common import held_out, table
 
 
 def _digits(fingerprint: str) -> F.Column:
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    known = language_id.profiles(language_id.training_rows(docs))
+    return language_id.classify(docs, known).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.simhash_classes(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return classes.select(
         F.col("id").alias("doc_id"), _digits("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = nbsvm.train(docs, table(spark, sf_dir, "labels"))
+    return nbsvm.score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -43,7 +58,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": op1_language,
     "op3_simhash": op3_simhash,
+    "op4_quality": op4_quality,
     "op7_packing": op7_packing,
     "op10_decontaminate": op10_decontaminate,
 }
