@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelattice.llm import decontaminate, language_id, nbsvm, packing, simhash
+from carelattice.llm import chat, decontaminate, html_blocks, language_id, nbsvm, packing, simhash
 from carelattice.llm.common import held_out, table
 
 
@@ -42,6 +42,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("bigint"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
     return pieces.select(
@@ -49,6 +54,19 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "offset", "window", "step_group")
 
 
+# One conversation that holds the control strings of common templates.
+ADDED_CONVERSATION = -7
+ADDED_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(
+        [(ADDED_CONVERSATION, 0, "user", ADDED_TEXT), (ADDED_CONVERSATION, 1, "assistant", ADDED_TEXT)],
+        turns.schema)
+    return chat.digests(chat.format_turns(turns.unionByName(added)))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -61,7 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op3_simhash": op3_simhash,
     "op4_quality": op4_quality,
+    "op6_html": op6_html,
     "op7_packing": op7_packing,
+    "op9_chat": op9_chat,
     "op10_decontaminate": op10_decontaminate,
 }
 
@@ -69,6 +89,17 @@ _WORDS10 = ("list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDE
             "'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')")
 
 ORACLE: dict[str, str] = {
+    "op9_chat": r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(16 + length(regexp_replace(role, '[\\<>]', '\\\0', 'g'))
+    + length(regexp_replace(text, '\\|</?turn', '\\\0', 'g'))) as bigint) as formatted_chars
+from turns group by conv_id""",
     "op10_decontaminate": f"""
 with items as (select item_id, {_WORDS10} as w from benchmark where item_id is not null),
 windows as (
