@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelattice.llm import chat, decontaminate, html_blocks, language_id, nbsvm, packing, simhash
+from carelattice.llm import chat, decontaminate, html_blocks, language_id, nbsvm, packing, pq_dedup, simhash
 from carelattice.llm.common import held_out, table
 
 
@@ -22,6 +22,10 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin")
 
 
+def op2_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.simhash_classes(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return classes.select(
@@ -77,6 +81,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
+    "op2_pq": op2_pq,
     "op3_simhash": op3_simhash,
     "op4_quality": op4_quality,
     "op6_html": op6_html,
@@ -89,6 +94,22 @@ _WORDS10 = ("list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDE
             "'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')")
 
 ORACLE: dict[str, str] = {
+    "op2_pq": """
+with recursive v as (
+  select vec_id, label, cast(embedding as double[]) as e,
+    label is not null and coalesce(len(embedding), 0) > 0
+      and len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0 as usable
+  from embeddings),
+links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b
+  on a.label = b.label and a.usable and b.usable and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.93),
+reach as (select vec_id as a, vec_id as b from v union select r.a, l.b from reach r join links l on r.b = l.a),
+component as (select a as vec_id, min(b) as component_id from reach group by a),
+counts as (select a as vec_id, count(*) as n from links group by a)
+select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+from component left join counts using (vec_id)""",
     "op9_chat": r"""
 with turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
