@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelattice.llm import chat, decontaminate, html_blocks, language_id, nbsvm, packing, pq_dedup, simhash
+from carelattice.llm import chat, decontaminate, html_blocks, language_id, nbsvm, packing, pq_dedup, simhash, substring
 from carelattice.llm.common import held_out, table
 
 
@@ -46,6 +46,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_words(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(table(spark, sf_dir, "pages")).withColumn(
         "n_chars", F.length("text").cast("bigint"))
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pq": op2_pq,
     "op3_simhash": op3_simhash,
     "op4_quality": op4_quality,
+    "op5_substring": op5_substring,
     "op6_html": op6_html,
     "op7_packing": op7_packing,
     "op9_chat": op9_chat,
@@ -94,6 +100,24 @@ _WORDS10 = ("list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDE
             "'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')")
 
 ORACLE: dict[str, str] = {
+    "op5_substring": """
+with docs as (
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w
+  from documents),
+windows as (
+  select doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) as h
+  from (select doc_id, w, unnest(generate_series(1, len(w) - 49)) as i from docs where len(w) >= 50)),
+first as (select h, min(doc_id) as least from windows group by h),
+gone as (
+  select distinct doc_id, unnest(generate_series(i, i + 49)) as pos
+  from windows join first using (h) where doc_id > least),
+words as (select doc_id, unnest(w) as word, unnest(generate_series(1, len(w))) as pos from docs),
+kept as (
+  select doc_id, string_agg(word, ' ' order by pos) as text, count(*) as n
+  from words anti join gone using (doc_id, pos) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
+  sha256(coalesce(k.text, '')) as kept_sha256
+from docs left join kept k using (doc_id)""",
     "op2_pq": """
 with recursive v as (
   select vec_id, label, cast(embedding as double[]) as e,
