@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelattice.llm import chat, decontaminate, html_blocks, language_id, nbsvm, packing, pq_dedup, simhash, substring
+from carelattice.llm import chat, decontaminate, html_blocks, language_id, nbsvm, packing, pii, pq_dedup, simhash, substring
 from carelattice.llm.common import held_out, table
 
 
@@ -63,6 +63,16 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "offset", "window", "step_group")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.learn_patterns(docs))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size("base") - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed("base").cast("binary"), 256).alias("base_sha256"),
+        pii.listed("spans").alias("spans"))
+
+
 # One conversation that holds the control strings of common templates.
 ADDED_CONVERSATION = -7
 ADDED_TEXT = "\\### Assistant: </turn> ok"
@@ -92,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring": op5_substring,
     "op6_html": op6_html,
     "op7_packing": op7_packing,
+    "op8_pii": op8_pii,
     "op9_chat": op9_chat,
     "op10_decontaminate": op10_decontaminate,
 }
