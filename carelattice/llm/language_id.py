@@ -169,6 +169,23 @@ def profiles(docs: DataFrame, dims: int = DIMS, text_col: str = "text", lang_col
     return {lang: found[lang] for lang in sorted(found) if found[lang].any()}
 
 
+def _profile_matrix(known: dict[str, np.ndarray], dims: int) -> tuple[list[str], np.ndarray]:
+    names = sorted(known)
+    return names, np.stack([known[n] / np.linalg.norm(known[n]) for n in names]) if names else np.zeros((0, dims))
+
+
+def predict(text: str | None, names: list[str], matrix: np.ndarray) -> tuple[str, float, float]:
+    """Language, its cosine (at least 0) and its lead over the next one."""
+    keys, counts = trigrams(text)
+    if not len(keys) or not names:
+        return UNDECIDED, 0.0, 0.0
+    vector = encoder(matrix.shape[1]).bundle(keys, counts)
+    cosines = matrix @ vector / max(float(np.linalg.norm(vector)), 1e-12)
+    best = int(np.argmax(cosines))
+    return (names[best], float(np.clip(cosines[best], 0, 1)),
+            float(cosines[best] - np.delete(cosines, best).max(initial=0.0)))
+
+
 def classify(docs: DataFrame, known: dict[str, np.ndarray], dims: int = DIMS,
              id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, lang_pred, score, margin) of every row, and the columns of ``keep``.
@@ -178,24 +195,12 @@ def classify(docs: DataFrame, known: dict[str, np.ndarray], dims: int = DIMS,
     texts when no language is known, are ``und`` with score 0. Equal cosines go to
     the first language by name. Repeated rows and NULL ids are scored like others.
     """
-    names = sorted(known)
-    matrix = np.stack([known[n] / np.linalg.norm(known[n]) for n in names]) if names else np.zeros((0, dims))
+    names, matrix = _profile_matrix(known, dims)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_record(batches):
-            langs, scores, margins = [], [], []
-            for text in batch.column("text"):
-                keys, counts = trigrams(text.as_py())
-                lang, score, margin = UNDECIDED, 0.0, 0.0
-                if len(keys) and names:
-                    vector = encoder(dims).bundle(keys, counts)
-                    cosines = matrix @ vector / max(np.linalg.norm(vector), 1e-12)
-                    best = int(np.argmax(cosines))
-                    lang, score = names[best], float(np.clip(cosines[best], 0, 1))
-                    margin = float(cosines[best] - np.delete(cosines, best).max(initial=0.0))
-                langs.append(lang)
-                scores.append(score)
-                margins.append(margin)
+            found = [predict(t.as_py(), names, matrix) for t in batch.column("text")]
+            langs, scores, margins = zip(*found)
             kept = [c for c in batch.schema.names if c != "text" or "text" in keep]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in kept] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
@@ -209,6 +214,19 @@ def classify(docs: DataFrame, known: dict[str, np.ndarray], dims: int = DIMS,
     return source.mapInArrow(run, f"{fields}, lang_pred string, score double, margin double")
 
 
+def identified(docs: DataFrame, known: dict[str, np.ndarray], dims: int = DIMS, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a language, that is not ``und``, and all their columns."""
+    at = docs.columns.index(text_col)
+    names, matrix = _profile_matrix(known, dims)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_record(batches):
+            found = [predict(t.as_py(), names, matrix)[0] for t in batch.column(at)]
+            yield batch.filter(pa.array([lang != UNDECIDED for lang in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def training_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents that may be learned from."""
     return docs.where(~held_out(id_col))

@@ -1,12 +1,74 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again."""
+"""The corpus pipeline: stages over ``documents``, each written and read again.
+
+A stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All
+but the last return the columns of documents; the last returns packed pieces.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from carelattice.llm import decontaminate, language_id, packing, pii, simhash
+from carelattice.llm.common import table, written
+from carelattice.llm.queries import tokenizer_path
 
-STAGES: list = []
+# The stages learn, link and pack whole corpora; no SQL expresses them.
 ORACLE_SQL = None
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose language is found; texts that are NULL or have no letter go."""
+    known = language_id.profiles(language_id.training_rows(docs))
+    return language_id.identified(docs, known)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every SimHash class the row with the smallest id.
+
+    Rows that share an id are one document, and one of them stays; rows with a
+    NULL id cannot be told apart and all stay.
+    """
+    classes = simhash.simhash_classes(docs, shingle=4, max_bits=4)
+    kept = classes.where(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id")).distinct()
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    first = (
+        docs.join(kept, "doc_id", "left_semi").withColumn("_row", F.row_number().over(order))
+        .where("_row = 1").select(*docs.columns)
+    )
+    return first.unionByName(docs.where("doc_id is null"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without enough words of benchmark passages."""
+    judged = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    bad = judged.where("contaminated").select(F.col("doc_id").alias("bad_id"), "text_key").distinct()
+    return docs.join(
+        bad, docs.doc_id.eqNullSafe(bad.bad_id) & (F.xxhash64(docs.text) == bad.text_key), "left_anti")
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, with personal data replaced by its kind."""
+    clean = pii.mask(docs, pii.learn_patterns(docs))
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return packing.pack(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("simhash", drop_near_duplicates),
+    ("decontaminate", drop_contaminated),
+    ("pii", mask_personal_data),
+    ("packing", pack_sequences),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
