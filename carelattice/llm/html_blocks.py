@@ -159,7 +159,7 @@ def _first_pass(block: Block, has_main: bool) -> bool | None:
 def _second_pass(blocks: list[Block], labels: list[bool | None]) -> list[bool]:
     """Undecided blocks take the label of the nearest decided block of their part of the page.
 
-    At equal distance, or for headings, the block that follows counts. Inside the
+    At equal distance one article block is enough; a heading goes with what follows. Inside the
     article element only a decided article block or a link block beside it decides;
     if there is none the block is part of the article.
     """
@@ -191,7 +191,8 @@ def _second_pass(blocks: list[Block], labels: list[bool | None]) -> list[bool]:
             elif blocks[i].heading:
                 settled[i] = bool(labels[near[0]])
             else:
-                settled[i] = bool(labels[min(near, key=lambda j: abs(j - i))])
+                least = min(abs(j - i) for j in near)
+                settled[i] = any(labels[j] for j in near if abs(j - i) == least)
     return [bool(s) for s in settled]
 
 
