@@ -11,7 +11,6 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from carelattice.plans.staging import stage
 from carelattice.schemas import TABLES
@@ -126,32 +125,15 @@ _ON = {
 }
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One given table. Its schema is read from a file once, not by a job per use."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
-
-
-def spread_if_few(df: DataFrame, key: str) -> DataFrame:
-    """Shuffle a scan with fewer splits than cores, so that costly row work uses them all.
-
-    A large table has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    """One given table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The raw table ``name``, every column text."""
     first, *rest = _FROM[name]
     source = table(spark, sf_dir, first)
-    if spread:
-        source = spread_if_few(source, source.columns[0])
     for other in rest:
         a, b = _ON[other]
         source = source.join(table(spark, sf_dir, other), F.col(a) == F.col(b))

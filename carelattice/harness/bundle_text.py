@@ -6,6 +6,9 @@ types a second patient that must be ignored, and the resource itself.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,3 +130,21 @@ def bundles(raw: DataFrame, table: str) -> DataFrame:
         F.concat_ws("/", F.lit(table), F.col(raw.columns[0])).alias("bundle_id"),
         F.concat(F.lit('{"resourceType":"Bundle","entry":['), listed, F.lit("]}")).alias("value"),
     )
+
+
+def bundles_by_patient(raw: Mapping[str, DataFrame], files: int = 64) -> DataFrame:
+    """(file, value): one bundle per patient with all resources of all types, the patient first.
+
+    Who is no patient in the raw table gets a patient entry with nothing but the id.
+    ``file`` spreads the bundles.
+    """
+    entries = reduce(DataFrame.unionByName, [
+        df.select("patient_id", F.lit(int(name != "patient")).alias("rank"), F.expr(_entry(_RESOURCE[name])).alias("entry"))
+        for name, df in raw.items()])
+    listed = F.array_sort(F.collect_list(F.struct("rank", "entry")))
+    bare = F.expr(_entry({"resourceType": "'Patient'", "id": "patient_id"}))
+    grouped = entries.groupBy("patient_id").agg(listed.alias("listed"), F.min("rank").alias("first"))
+    head = F.when(F.col("first") > 0, F.concat(bare, F.lit(","))).otherwise(F.lit(""))
+    return grouped.select(
+        F.pmod(F.xxhash64("patient_id"), F.lit(files)).alias("file"),
+        F.concat(F.lit('{"resourceType":"Bundle","entry":['), head, F.concat_ws(",", "listed.entry"), F.lit("]}")).alias("value"))

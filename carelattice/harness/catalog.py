@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carelattice import functions as fn
 from carelattice.operators import incremental, quality
 from carelattice.operators.flatten import flatten
-from carelattice.plans import bindings, bundle_text, checks, enrichment, marts, oracle, refresh
+from carelattice.harness import bindings, bundle_text, oracle
+from carelattice.plans import checks, enrichment, marts, refresh
 from carelattice.schemas import TABLES
 from carelattice.session import work_path
-from carelattice.sources import bundles, landing
+from carelattice.sources import bundles, landing, registry
 from carelattice.sources.snapshots import SnapshotTable
 from carelattice.streaming import ingest
 
@@ -73,8 +75,46 @@ for _name in _ENRICHMENTS:
     register(f"enrich_{_name}", oracle.rows_of(_name))(_enrich_query(_name))
 
 
+def _renumbered(df: DataFrame, number: str, cases: dict[str, str], columns: tuple[str, ...]) -> DataFrame:
+    """``df`` with ``columns`` set to a value wherever a condition on ``number`` (called n) holds."""
+    choice = F.expr("case " + " ".join(f"when {c} then '{v}'" for c, v in cases.items()) + " end")
+    own = df.withColumn("n", F.expr(number))
+    return own.withColumns({c: F.coalesce(choice, F.col(c)) for c in columns}).select(*df.columns)
+
+
+# A third of all claims, requests or visits on one encounter or patient, and a second
+# encounter with many rows on both sides. Small tables need a small target to be split.
+_SMALL_TASKS = 2_000
+_FIRST_NUMBER = "cast(split({0}, '-')[0] as bigint)"
+
+
+@register("enrich_encounter_claim_skewed", oracle.ENCOUNTER_CLAIM_SKEWED)
+def enrich_encounter_claim_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encounter, claim, procedure = _staged(spark, sf_dir, "encounter", "claim", "procedure")
+    claim = _renumbered(claim, "cast(substring(claim_id, 2) as bigint)",
+                        {"n % 3 = 0": "1", "n % 100 = 7": "7"}, ("encounter_id",))
+    procedure = _renumbered(procedure, _FIRST_NUMBER.format("procedure_id"), {"n % 40 = 7": "7"}, ("encounter_id",))
+    return enrichment.encounter_claim(encounter, claim, procedure, rows_per_task=_SMALL_TASKS)
+
+
+@register("enrich_medication_condition_skewed", oracle.MEDICATION_CONDITION_SKEWED)
+def enrich_medication_condition_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    medication, condition = _staged(spark, sf_dir, "medication_request", "condition")
+    both = ("encounter_id", "patient_id")
+    medication = _renumbered(medication, _FIRST_NUMBER.format("medication_id"), {"n % 3 = 0": "1", "n % 60 = 7": "7"}, both)
+    condition = _renumbered(condition, _FIRST_NUMBER.format("condition_id"), {"n % 5000 = 1": "1", "n % 300 = 7": "7"}, both)
+    return enrichment.medication_condition(medication, condition, rows_per_task=_SMALL_TASKS)
+
+
 # ---- marts
 
+@register("readmissions_skewed", oracle.READMISSIONS_SKEWED)
+def readmissions_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (encounter,) = _staged(spark, sf_dir, "encounter")
+    encounter = _renumbered(encounter, "cast(encounter_id as bigint)", {"n % 3 = 0": "1"}, ("patient_id",))
+    return marts.readmissions(encounter, rows_per_task=_SMALL_TASKS // 10)
+
+
 @register("readmissions", oracle.READMISSIONS)
 def readmissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.readmissions(*_staged(spark, sf_dir, "encounter"))
@@ -142,6 +182,25 @@ def medication_patterns_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A presented mart with the place of each row, since rows of a result have no order of their own.
+_PRESENTED = {"prevalence": prevalence, "length_of_stay": length_of_stay, "medication_patterns": medication_patterns}
+
+
+def _presented_query(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ordered = marts.present(_PRESENTED[name](spark, sf_dir), name)
+        columns = [c for c in ordered.columns]
+        # Partitions of a sorted result are ordered, and so are the rows in them.
+        placed = ordered.withColumn("_at", F.monotonically_increasing_id())
+        return placed.select(*columns, F.row_number().over(Window.orderBy("_at")).cast("bigint").alias("place"))
+
+    return query
+
+
+for _name in _PRESENTED:
+    register(f"present_{_name}", oracle.PRESENTED[_name])(_presented_query(_name))
+
+
 @register("prevalence_keyed", oracle.PREVALENCE_KEYED)
 def prevalence_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.with_surrogate_key(
@@ -212,6 +271,31 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+@register("incremental_load_rerun", oracle.INCREMENTAL_LOAD)
+def incremental_load_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same load, every run twice: the repeated ones change nothing."""
+    snapshot = refresh.staging_snapshot(spark, work_path(spark, "incremental_load"), "claim", "year")
+    for batch in _raw_claim_batches(spark, sf_dir):
+        for _ in range(2):
+            result = refresh.load_increment(
+                snapshot, refresh.stage(batch, "claim", bindings.AS_OF), "claim", lookback=None
+            )
+    return result
+
+
+@register("load_one_day", oracle.INCREMENTAL_MERGE)
+def load_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landed days of claims loaded day by day, the older one again at the end."""
+    root = work_path(spark, "load_day")
+    snapshot = refresh.staging_snapshot(spark, root, "claim", "year")
+    early, late = _raw_claim_batches(spark, sf_dir)
+    landing.land(early.where("created_date < '1999-06-01 00:00:00'"), f"{root}/landed", "claim", date(2024, 6, 7))
+    landing.land(late, f"{root}/landed", "claim", date(2024, 6, 8))
+    for day in (7, 8, 7):
+        result = refresh.load_day(snapshot, f"{root}/landed", "claim", date(2024, 6, day), bindings.AS_OF)
+    return result
+
+
 # ---- column functions
 
 _LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -301,29 +385,57 @@ def fhir_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundles.quarantine(prose.unionByName(props)).select("bundle_id", "reason")
 
 
-@register("fhir_landed_resources", oracle.FHIR_LANDED)
+def _by_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bundle_text.bundles_by_patient({n: bindings.raw(spark, sf_dir, n) for n in TABLES})
+
+
+def _ids_of_all(landed: DataFrame) -> DataFrame:
+    """Table, key, patient and visit of every flattened row of the seven types."""
+    parts = []
+    for name, spec in TABLES.items():
+        visit = "encounter_id" if "encounter_id" in spec.columns else F.lit(None).cast("string").alias("encounter_id")
+        parts.append(flatten(landed, name).select(
+            F.lit(name).alias("table_name"), F.col(spec.key).alias("row_id"), "patient_id", visit))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("fhir_landed_resources", oracle.FHIR_ALL)
 def fhir_landed_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bundles of three types exploded once, landed by type, then flattened from there."""
-    names = ("encounter", "claim", "observation")
-    texts = [bundle_text.bundles(bindings.raw(spark, sf_dir, n), n) for n in names]
-    exploded = bundles.explode_bundles(texts[0].unionByName(texts[1]).unionByName(texts[2]))
-    landed = bundles.land_resources(exploded, work_path(spark, "resources"))
-    parts = [
-        flatten(landed, n).select(
-            F.lit(n).alias("table_name"), F.col(TABLES[n].key).alias("row_id"), "patient_id", "encounter_id", "status"
-        )
-        for n in names
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Bundles with all types exploded once, landed by type, then flattened from there."""
+    text = _by_patient(spark, sf_dir).withColumn("bundle_id", F.xxhash64("value").cast("string"))
+    exploded = bundles.explode_bundles(text)
+    return _ids_of_all(bundles.land_resources(exploded, work_path(spark, "resources")))
+
+
+@register("fhir_files_roundtrip", oracle.FHIR_ALL)
+def fhir_files_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One bundle per patient with all seven types, written as files of one bundle each, read back and flattened."""
+    folder = work_path(spark, "bundles")
+    text = _by_patient(spark, sf_dir)
+    text.repartition("file").write.partitionBy("file").option("maxRecordsPerFile", 1).text(folder)
+    return _ids_of_all(bundles.land_resources(
+        bundles.explode_bundles(bundles.read_bundles(spark, f"{folder}/*", pattern="part-*")),
+        work_path(spark, "resources")))
+
+
+@register("fhir_misshapen", oracle.FHIR_MISSHAPEN)
+def fhir_misshapen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resources of a declared type in which a field has another shape: claims with text for their total."""
+    claim = bindings.raw(spark, sf_dir, "claim")
+    total = F.expr("case when cast(substring(claim_id, 2) as bigint) % 13 = 0 then concat('[', char(34), 'x', char(34), ']') "
+                   "else '{}' end")
+    resources = claim.select(
+        F.col("claim_id").alias("bundle_id"), F.lit(None).cast("string").alias("bundle_patient_id"),
+        F.lit(0).alias("position"), F.lit("Claim").alias("resource_type"),
+        F.concat(F.lit('{"resourceType":"Claim","id":"'), "claim_id", F.lit('","total":'), total, F.lit("}")).alias("resource"))
+    return bundles.misshapen(resources).select("bundle_id", "resource_type", "reason")
 
 
 # ---- quality
 
 def _checked(spark: SparkSession, sf_dir: str, wanted: list[quality.Check]) -> DataFrame:
     raw = {n: bindings.raw(spark, sf_dir, n) for n in TABLES}
-    staged = {n: bindings.staged(spark, sf_dir, n) for n in TABLES}
-    enriched = refresh.enrichment_layer(staged, balance=False)
-    return quality.run_checks(checks.named_tables(raw, staged, enriched), wanted)
+    return quality.run_checks(checks.source_scans(raw, bindings.AS_OF), wanted)
 
 
 def _quality_query(wanted: list[quality.Check]) -> Query:
@@ -362,9 +474,61 @@ def land_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.read_landed(spark, root, "encounter", date(2024, 6, 7))
 
 
+@register("land_replaced_day", oracle.rows_of("raw_encounter"))
+def land_replaced_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day landed again without rows is empty; another day stays."""
+    root = work_path(spark, "landing")
+    encounter = bindings.raw(spark, sf_dir, "encounter")
+    for df, day in ((encounter, 7), (encounter, 8), (encounter.limit(0), 7)):
+        landing.land(df, root, "encounter", date(2024, 6, day))
+    return landing.read_landed(spark, root, "encounter").select(*TABLES["encounter"].columns)
+
+
+@register("land_flat", oracle.rows_of("raw_patient"))
+def land_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patients written as flat CSV with a header and read back as text; an empty table is not written."""
+    folder = work_path(spark, "flat")
+    patient = bindings.raw(spark, sf_dir, "patient")
+    written = landing.write_flat({"patient": patient, "claim": bindings.raw(spark, sf_dir, "claim").limit(0)}, folder)
+    assert written == ["patient"]
+    return spark.read.options(header="true", escape='"').schema(TABLES["patient"].raw_schema).csv(f"{folder}/patient")
+
+
+@register("registry", oracle.REGISTRY)
+def registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry beside the number of rows of every raw table, read by name from a written copy."""
+    root = work_path(spark, "registry")
+    counts = []
+    for name in TABLES:
+        bindings.raw(spark, sf_dir, name).write.parquet(f"{root}/{name}")
+        counts.append(registry.raw_table(spark, root, name).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table_name"), "n_rows"))
+    return registry.describe(spark).join(reduce(DataFrame.unionAll, counts), "table_name").select(
+        "table_name", "key", "watermark", "n_columns", "n_rows")
+
+
+# Keys of the given tables that repeat in the raw rows.
+REPEATED_RAW_KEYS = tuple(
+    (f"raw_{t}", TABLES[t].key, "unique") for t in ("condition", "procedure", "medication_request"))
+
+
 def _refreshed(spark: SparkSession, sf_dir: str) -> refresh.Refreshed:
     raw = {n: bindings.raw(spark, sf_dir, n) for n in TABLES}
-    return refresh.refresh(spark, raw, work_path(spark, "refresh"), bindings.AS_OF, "year")
+    return refresh.refresh(spark, raw, work_path(spark, "refresh"), bindings.AS_OF, "year", REPEATED_RAW_KEYS)
+
+
+@register("refresh_report", oracle.REFRESH_REPORT)
+def refresh_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 60 checks and 7 relationships of a refresh; the batch stops if another than the known ones fails."""
+    return _refreshed(spark, sf_dir).report
+
+
+def _refreshed_mart_query(name: str) -> Query:
+    return lambda spark, sf_dir: _refreshed(spark, sf_dir).marts[name]
+
+
+for _name in ("readmissions", "prevalence", "length_of_stay"):
+    register(f"refresh_{_name}", oracle.REFRESHED[_name])(_refreshed_mart_query(_name))
 
 
 @register("refresh_medication_patterns", oracle.REFRESH_MEDICATION_PATTERNS)
@@ -389,38 +553,34 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_readmission_flag", oracle.READMISSION_FLAG)
 def stream_readmission_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encounters that arrive in two landings by date, flagged as they come."""
+    """Encounters in three landings that are not ordered by date; some come twice, first with another start."""
     root = work_path(spark, "stream")
     encounter = bindings.raw(spark, sf_dir, "encounter")
-    later = F.col("start_date") >= "1999-01-01"
-    last_visits = SnapshotTable(spark, f"{root}/state", "last_visit")
-    for number, batch in enumerate((encounter.where(~later), encounter.where(later))):
+    n = F.col("encounter_id").cast("bigint")
+    moved = encounter.where(n % 17 == 0).withColumn("start_date", F.lit("1998-03-04 00:00:00"))
+    visits = SnapshotTable(spark, f"{root}/state", "visits", "start_date", "year")
+    landings = (
+        encounter.where((n % 3 == 0) & (n % 17 != 0)).unionByName(moved),
+        encounter.where((n % 3 == 1) | (n % 17 == 0)),
+        encounter.where((n % 3 == 2) | (n % 50 == 0)),
+    )
+    for number, batch in enumerate(landings):
         landing.land(batch, f"{root}/landed", "encounter", date(2024, 6, 7 + number), fmt="parquet")
         ingest.flag_readmissions_available(
-            ingest.landed_stream(spark, f"{root}/landed", "encounter"),
-            last_visits, f"{root}/flags", f"{root}/checkpoint", bindings.AS_OF,
-        )
-    return spark.read.parquet(f"{root}/flags").drop("batch")
+            ingest.landed_stream(spark, f"{root}/landed", "encounter"), visits, f"{root}/checkpoint", bindings.AS_OF)
+    return visits.read()
 
 
 @register("stream_unique", oracle.STREAM_UNIQUE)
 def stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observations landed twice, the stream keeping one row per key."""
+    """Observations that arrive newest first, most of them again: late first-seen keys are kept."""
     root = work_path(spark, "stream")
     observation = bindings.raw(spark, sf_dir, "observation")
-    for day in (7, 8):
-        landing.land(observation, f"{root}/landed", "observation", date(2024, 6, day), fmt="parquet")
-    stream = refresh.stage(
-        ingest.landed_stream(spark, f"{root}/landed", "observation"), "observation", bindings.AS_OF
-    )
-    query = (
-        ingest.unique_within(stream, "observation_id", "effective_date", "60 days")
-        .select("observation_id", "patient_id", "effective_date", "value")
-        .writeStream.format("parquet")
-        .option("path", f"{root}/unique")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.parquet(f"{root}/unique")
+    late = F.col("observation_id").cast("bigint") % 5 == 0
+    snapshot = SnapshotTable(spark, f"{root}/state", "observation", "effective_date", "year")
+    for day, batch in ((7, observation.where(~late)), (8, observation)):
+        landing.land(batch, f"{root}/landed", "observation", date(2024, 6, day), fmt="parquet")
+        ingest.unique_available(
+            ingest.landed_stream(spark, f"{root}/landed", "observation"), snapshot, "observation",
+            f"{root}/checkpoint", bindings.AS_OF)
+    return snapshot.read().select("observation_id", "patient_id", "effective_date", "value")

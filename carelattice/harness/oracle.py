@@ -6,6 +6,8 @@ against: plain joins, plain windows, no salting, no pre-aggregation.
 
 from __future__ import annotations
 
+from carelattice.plans.checks import ALL_CHECKS, RELATIONSHIPS
+
 # Named subqueries: name -> (what it reads, SQL).
 _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "raw_patient": ((), """
@@ -164,8 +166,13 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def sql(query: str, *reads: str) -> str:
-    """``query`` behind the named subqueries it reads."""
+def sql(query: str, *reads: str, over: dict[str, str] | None = None) -> str:
+    """``query`` behind the named subqueries it reads.
+
+    ``over`` puts another subquery in the place of a named one, which it can read
+    as ``all_<name>``.
+    """
+    over = over or {}
     needed: list[str] = []
 
     def add(name: str) -> None:
@@ -178,8 +185,11 @@ def sql(query: str, *reads: str) -> str:
         add(name)
     if not needed:
         return query.strip()
-    views = ",\n".join(f"{n} AS ({_VIEWS[n][1]})" for n in needed)
-    return f"WITH {views}\n{query.strip()}"
+    views = [
+        f"all_{n} AS ({_VIEWS[n][1]}),\n{n} AS ({over[n]})" if n in over else f"{n} AS ({_VIEWS[n][1]})"
+        for n in needed
+    ]
+    return "WITH " + ",\n".join(views) + f"\n{query.strip()}"
 
 
 def rows_of(name: str) -> str:
@@ -216,7 +226,7 @@ READMISSION_FLAG = sql(f"""
 """, "encounter")
 
 
-def prevalence(total: str, scale: int, rate: str) -> str:
+def prevalence(total: str, scale: int, rate: str, over: dict[str, str] | None = None) -> str:
     return sql(f"""
     , groups AS (SELECT age_group, gender, race, count(DISTINCT patient_id) AS total_group_patients
                  FROM {total} GROUP BY age_group, gender, race),
@@ -225,10 +235,10 @@ def prevalence(total: str, scale: int, rate: str) -> str:
     SELECT s.*, g.total_group_patients,
       round(CAST(patients_with_condition AS DOUBLE) / CAST(total_group_patients AS DOUBLE) * {scale}, 2) AS {rate}
     FROM sick s JOIN groups g ON s.age_group = g.age_group AND s.gender = g.gender AND s.race = g.race
-    """, "diagnosed", "demographics")
+    """, "diagnosed", "demographics", over=over)
 
 
-def length_of_stay(mode_order: str, nulls: str) -> str:
+def length_of_stay(mode_order: str, nulls: str, over: dict[str, str] | None = None) -> str:
     return sql(f"""
     , stats AS (SELECT encounter_type, condition_name, quantile_cont(stay, 0.5) AS median_stay,
         avg(stay) AS mean_stay, min(stay) AS min_stay, max(stay) AS max_stay,
@@ -240,7 +250,7 @@ def length_of_stay(mode_order: str, nulls: str) -> str:
     SELECT s.*, m.stay AS mode_stay
     FROM stats s LEFT JOIN modes m
       ON s.encounter_type = m.encounter_type AND s.condition_name = m.condition_name AND m.rn = 1
-    """, "stays")
+    """, "stays", over=over)
 
 
 PREVALENCE_KEYED = (
@@ -315,7 +325,7 @@ FN = {
 }
 
 
-def checks(checks_list) -> str:
+def checks(checks_list, over: dict[str, str] | None = None) -> str:
     """One counting SELECT per check, glued together."""
     parts, reads = [], []
     for c in checks_list:
@@ -334,7 +344,8 @@ def checks(checks_list) -> str:
                         f"(SELECT 1 FROM {c.parent} p WHERE p.{c.parent_column} = k.{c.column})")
         parts.append(f"SELECT '{c.table}' AS table_name, '{c.column}' AS column_name, '{c.kind}' AS check_name, "
                      f"'{c.severity}' AS severity, ({failures}) AS failures")
-    return sql(f"SELECT *, failures = 0 AS passed FROM ({' UNION ALL '.join(parts)})", *dict.fromkeys(reads))
+    return sql(f"SELECT *, failures = 0 AS passed FROM ({' UNION ALL '.join(parts)})", *dict.fromkeys(reads),
+               over=over)
 
 
 def _flattened(name: str) -> str:
@@ -354,11 +365,36 @@ FHIR = {
 
 FHIR_QUARANTINE = "SELECT 'document/' || doc_id AS bundle_id, 'malformed bundle' AS reason FROM documents"
 
-FHIR_LANDED = sql("""
-    SELECT 'encounter' AS table_name, encounter_id AS row_id, patient_id, encounter_id, status FROM raw_encounter
-    UNION ALL SELECT 'claim', claim_id, patient_id, encounter_id, status FROM raw_claim
-    UNION ALL SELECT 'observation', observation_id, patient_id, encounter_id, status FROM raw_observation
-""", "raw_encounter", "raw_claim", "raw_observation")
+_TYPED = {
+    "patient": ("patient_id", "NULL"), "encounter": ("encounter_id", "encounter_id"), "claim": ("claim_id", "encounter_id"),
+    "condition": ("condition_id", "encounter_id"), "procedure": ("procedure_id", "encounter_id"),
+    "observation": ("observation_id", "encounter_id"), "medication_request": ("medication_id", "encounter_id"),
+}
+_IDS_OF_ALL = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, {key} AS row_id, patient_id, {visit} AS encounter_id FROM raw_{t}"
+    for t, (key, visit) in _TYPED.items())
+# Bundles by patient: observations of people who are no customers come with a patient of their own.
+FHIR_ALL = sql(_IDS_OF_ALL + """
+    UNION ALL SELECT DISTINCT 'patient', patient_id, patient_id, NULL FROM raw_observation
+    WHERE patient_id NOT IN (SELECT patient_id FROM raw_patient)
+""", *[f"raw_{t}" for t in _TYPED])
+
+FHIR_MISSHAPEN = """
+    SELECT 'C' || o_orderkey AS bundle_id, 'Claim' AS resource_type, 'field of another shape' AS reason
+    FROM orders WHERE o_orderkey % 13 = 0
+"""
+
+# Table, key, watermark and number of columns.
+_REGISTERED = [
+    ("patient", "patient_id", None, 14), ("encounter", "encounter_id", "start_date", 9),
+    ("claim", "claim_id", "created_date", 12), ("condition", "condition_id", "recorded_date", 9),
+    ("procedure", "procedure_id", "performed_start", 9), ("observation", "observation_id", "effective_date", 10),
+    ("medication_request", "medication_id", "authored_date", 9),
+]
+REGISTRY = sql(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{key}' AS key, {repr(mark) if mark else 'NULL'} AS watermark, "
+    f"CAST({n} AS INTEGER) AS n_columns, (SELECT count(*) FROM raw_{t}) AS n_rows" for t, key, mark, n in _REGISTERED
+), *[f"raw_{t}" for t, *_ in _REGISTERED])
 
 _RAISED = "CAST(TRY_CAST(total_amount AS DOUBLE) + 1 AS VARCHAR)"
 
@@ -373,17 +409,73 @@ STREAM_UPSERT = INCREMENTAL_MERGE
 
 STREAM_UNIQUE = sql("SELECT observation_id, patient_id, effective_date, value FROM observation", "observation")
 
+def _newest(table: str, key: str, *order: str) -> str:
+    by = ", ".join(f"{c} DESC NULLS LAST" for c in order)
+    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {by}) AS rn "
+            f"FROM all_{table}) WHERE rn = 1")
+
+
 # The merge keeps one row per key, the latest by watermark and then by the other columns.
-REFRESH_MEDICATION_PATTERNS = sql("""
-    , requests AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY medication_id
-        ORDER BY authored_date DESC, patient_id DESC, encounter_id DESC, status DESC, medication_code DESC,
-        medication_name DESC, requester DESC) AS rn FROM medication_request) WHERE rn = 1),
-    diagnoses AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY condition_id
-        ORDER BY recorded_date DESC, patient_id DESC, encounter_id DESC, clinical_status DESC, condition_code DESC,
-        condition_system DESC, condition_name DESC, onset_date DESC) AS rn FROM condition) WHERE rn = 1),
-    counted AS (SELECT m.medication_name, c.condition_name, count(DISTINCT m.patient_id) AS patients_count,
-        count(*) AS total_prescriptions
-      FROM requests m LEFT JOIN diagnoses c ON m.encounter_id = c.encounter_id AND m.patient_id = c.patient_id
-      GROUP BY 1, 2)
-    SELECT *, rank() OVER (PARTITION BY condition_name ORDER BY total_prescriptions DESC) AS rn FROM counted
-""", "medication_request", "condition")
+MERGED = {
+    "condition": _newest("condition", "condition_id", "recorded_date", "patient_id", "encounter_id", "clinical_status",
+                         "condition_code", "condition_system", "condition_name", "onset_date"),
+    "procedure": _newest("procedure", "procedure_id", "performed_start", "patient_id", "encounter_id", "status",
+                         "procedure_code", "procedure_system", "procedure_name", "performed_end"),
+    "medication_request": _newest("medication_request", "medication_id", "authored_date", "patient_id", "encounter_id",
+                                  "status", "medication_code", "medication_name", "requester"),
+}
+
+_PATTERNS = """
+    SELECT *, rank() OVER (PARTITION BY condition_name ORDER BY total_prescriptions DESC) AS rn
+    FROM (SELECT medication_name, condition_name, count(DISTINCT patient_id) AS patients_count,
+            count(*) AS total_prescriptions
+          FROM medication_condition GROUP BY 1, 2)
+"""
+REFRESH_MEDICATION_PATTERNS = sql(_PATTERNS, "medication_condition", over=MERGED)
+REFRESHED = {
+    "readmissions": READMISSIONS,
+    "prevalence": prevalence("diagnosed", 100, "prevalence_percentage", MERGED),
+    "length_of_stay": length_of_stay("DESC", "ASC NULLS LAST", MERGED),
+}
+REFRESH_REPORT = checks(ALL_CHECKS + RELATIONSHIPS, MERGED)
+
+PRESENTED = {
+    name: f"SELECT *, row_number() OVER (ORDER BY {order}) AS place FROM ({query})"
+    for name, query, order in [
+        ("prevalence", prevalence("diagnosed", 100, "prevalence_percentage"),
+         "patients_with_condition DESC NULLS FIRST, condition_name NULLS LAST, age_group, gender, race"),
+        ("length_of_stay", length_of_stay("DESC", "ASC NULLS LAST"),
+         "mean_stay DESC NULLS FIRST, encounter_type NULLS LAST, condition_name NULLS LAST"),
+        ("medication_patterns", MEDICATION_PATTERNS,
+         "rn, condition_name NULLS LAST, medication_name NULLS LAST"),
+    ]
+}
+
+
+def _renumbered(table: str, number: str, cases: str, *columns: str) -> str:
+    replaced = ", ".join(f"CASE {cases.replace('n %', f'{number} %')} ELSE {c} END AS {c}" for c in columns)
+    return f"SELECT * REPLACE ({replaced}) FROM all_{table}"
+
+
+def _first_number(key: str) -> str:
+    return f"CAST(split_part({key}, '-', 1) AS BIGINT)"
+
+
+ENCOUNTER_CLAIM_SKEWED = sql("SELECT * FROM encounter_claim", "encounter_claim", over={
+    "claim": _renumbered("claim", "CAST(substr(claim_id, 2) AS BIGINT)",
+                         "WHEN n % 3 = 0 THEN '1' WHEN n % 100 = 7 THEN '7'", "encounter_id"),
+    "procedure": _renumbered("procedure", _first_number("procedure_id"), "WHEN n % 40 = 7 THEN '7'", "encounter_id"),
+})
+MEDICATION_CONDITION_SKEWED = sql("SELECT * FROM medication_condition", "medication_condition", over={
+    "medication_request": _renumbered("medication_request", _first_number("medication_id"),
+                                      "WHEN n % 3 = 0 THEN '1' WHEN n % 60 = 7 THEN '7'", "encounter_id", "patient_id"),
+    "condition": _renumbered("condition", _first_number("condition_id"),
+                             "WHEN n % 5000 = 1 THEN '1' WHEN n % 300 = 7 THEN '7'", "encounter_id", "patient_id"),
+})
+READMISSIONS_SKEWED = sql(f"""
+    SELECT {_VISIT}, date_diff('day', previous, start_date) AS days_since_last_visit
+    FROM (SELECT *, lag(start_date) OVER (PARTITION BY patient_id ORDER BY start_date NULLS LAST, encounter_id) AS previous
+          FROM encounter)
+    WHERE previous IS NOT NULL AND date_diff('day', previous, start_date) < 30
+""", "encounter", over={
+    "encounter": _renumbered("encounter", "CAST(encounter_id AS BIGINT)", "WHEN n % 3 = 0 THEN '1'", "patient_id")})

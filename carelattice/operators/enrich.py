@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelattice.operators import skew
 
+# How many output rows a base row has, added by :func:`fan_out`.
+ROWS = "_rows"
+
 
 @dataclass(frozen=True)
 class JoinSpec:
@@ -21,14 +25,15 @@ class JoinSpec:
     rename: Mapping[str, str] = field(default_factory=dict)
 
 
-def enrich(base: DataFrame, specs: Sequence[JoinSpec], balance: bool = True,
-           share: float = skew.HEAVY_SHARE, min_rows: int = skew.MIN_ROWS) -> DataFrame:
+def enrich(base: DataFrame, specs: Sequence[JoinSpec], rows_per_task: int = skew.ROWS_PER_TASK,
+           cells: Mapping[tuple[str, ...], DataFrame] | None = None) -> DataFrame:
     """LEFT JOIN every spec onto ``base`` in order; all base columns are kept.
 
-    Fan-out is honest: a base row appears once per matching combination. With
-    ``balance`` the heavy keys of each table are looked up once and their rows
-    split; otherwise the joins are left to AQE alone. Two columns of one name
-    are refused, rename one of them.
+    Fan-out is honest: a base row appears once per matching combination. Keys
+    whose join exceeds ``rows_per_task`` are split, see :mod:`skew`. A caller
+    that joins the same tables often may pass ``cells`` by join key, the result
+    of :func:`skew.heavy_cells` kept as a table. Two columns of one name are
+    refused, rename one of them.
     """
     names = list(base.columns)
     for spec in specs:
@@ -37,32 +42,34 @@ def enrich(base: DataFrame, specs: Sequence[JoinSpec], balance: bool = True,
     if repeated:
         raise ValueError(f"duplicate output columns: {', '.join(repeated)}")
 
-    heavy = _heavy(base, specs, share, min_rows) if balance else {}
-    # Joining can only multiply a key's rows where the key repeats on the right,
-    # so a key heavy in any earlier table is treated as heavy in the result.
-    carried: dict[tuple[str, ...], skew.Heavy] = {}
+    groups: dict[tuple[str, ...], list[DataFrame]] = {}
+    for spec in specs:
+        groups.setdefault(tuple(spec.on), []).append(spec.table)
+    cells = dict(cells or {})
+    for on, tables in groups.items():
+        if on not in cells:
+            cells[on] = skew.heavy_cells(base, tables, on, rows_per_task)
+    done = dict.fromkeys(groups, 0)
     result = base
-    for i, spec in enumerate(specs):
+    for spec in specs:
         on = tuple(spec.on)
+        done[on] += 1
         right = spec.table.select(
-            *on,
-            *[F.col(c).alias(spec.rename.get(c, c)) for c in spec.columns],
-            F.xxhash64(*spec.table.columns).alias(skew.SALT),
-        )
-        left_heavy = carried.get(on, heavy.get(f"base {on}", skew.NONE))
-        right_heavy = heavy.get(f"spec {i}", skew.NONE)
-        carried[on] = left_heavy | right_heavy
-        result = skew.balanced_left_join(result, right, on, left_heavy, right_heavy)
+            *on, *[F.col(c).alias(spec.rename.get(c, c)) for c in spec.columns])
+        result = skew.balanced_left_join(result, right, on, cells[on], done[on])
     return result.select(*names)
 
 
-def _heavy(base: DataFrame, specs: Sequence[JoinSpec], share: float,
-           min_rows: int) -> dict[str, skew.Heavy]:
-    """Heavy keys of the base per join key, and of every joined table, in one job.
+def fan_out(base: DataFrame, specs: Sequence[JoinSpec]) -> DataFrame:
+    """``base`` with the number of rows :func:`enrich` makes of each of its rows, without making them.
 
-    NULL keys match nothing, so they count on the base side only.
+    Joined tables are reduced to counts per key first.
     """
-    inputs = {f"base {tuple(s.on)}": (base, s.on) for s in specs}
-    for i, s in enumerate(specs):
-        inputs[f"spec {i}"] = (s.table.select(*s.on).na.drop(subset=list(s.on)), s.on)
-    return skew.heavy_keys(inputs, share, min_rows)
+    result, factors = base, []
+    for i, spec in enumerate(specs):
+        count = f"_matches{i}"
+        result = result.join(
+            spec.table.groupBy(*spec.on).agg(F.count(F.lit(1)).alias(count)), list(spec.on), "left")
+        factors.append(F.coalesce(count, F.lit(1)))
+    rows = reduce(lambda x, y: x * y, factors, F.lit(1).cast("bigint"))
+    return result.select(*base.columns, rows.alias(ROWS))

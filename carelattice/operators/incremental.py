@@ -60,14 +60,18 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def upsert(old: DataFrame | None, new: DataFrame, key: str, order_by: Sequence[Column] | None = None,
-           on_duplicate: str = "newest") -> DataFrame:
+           on_duplicate: str = "newest", keep: str = "new") -> DataFrame:
     """Merge ``new`` into ``old``: a known key is replaced whole, an unknown one added.
 
-    Nothing is deleted, and applying the same batch again changes nothing.
-    Copies of a key inside ``new`` are settled by ``order_by``, or refused with
-    ``on_duplicate="error"``. Only the keys of the batch meet the old table; a
-    batch small enough by Spark's own statistics is broadcast, and the old table
-    then passes through without a shuffle.
+    Nothing is deleted, and applying the same batch again changes nothing. Copies
+    of a key inside ``new`` are settled by ``order_by``, or refused with
+    ``on_duplicate="error"``. With ``keep="first"`` the first by ``order_by`` among
+    the old row and the new ones stays, so an older row that comes late does not
+    replace a newer one; the old row stays on a tie. Rows without a key match no
+    other row; equal ones are kept once. A column that only one side has is NULL in
+    the other's rows. Only the keys of the batch meet the old table; a batch small
+    enough by Spark's own statistics is broadcast, and the old table then passes
+    through without a shuffle.
     """
     if on_duplicate == "error":
         example = duplicate_keys(new, key).first()
@@ -79,8 +83,11 @@ def upsert(old: DataFrame | None, new: DataFrame, key: str, order_by: Sequence[C
     else:
         raise ValueError("give order_by, or on_duplicate='error'")
     if old is None:
-        return winners
-    return without_keys(old, new, key).unionByName(winners)
+        return without_repeated_keyless(winners, key)
+    if keep == "first":
+        winners = first_of_both(old, winners, key, order_by)
+    merged = without_keys(old, new, key).unionByName(winners, allowMissingColumns=True)
+    return without_repeated_keyless(merged, key)
 
 
 def without_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -90,3 +97,16 @@ def without_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     needs anyway, so many copies of one key travel as one row per task.
     """
     return old.join(new.select(key).distinct(), key, "left_anti").select(*old.columns)
+
+
+def first_of_both(old: DataFrame, winners: DataFrame, key: str, order_by: Sequence[Column]) -> DataFrame:
+    """Per key of ``winners`` the first by ``order_by`` of that row and the old one; ties keep the old row."""
+    met = old.join(winners.select(key).where(F.col(key).isNotNull()), key, "left_semi").select(*old.columns)
+    both = met.withColumn("_is_new", F.lit(0)).unionByName(
+        winners.withColumn("_is_new", F.lit(1)), allowMissingColumns=True)
+    return deduplicate(both, key, [*order_by, F.col("_is_new")]).drop("_is_new")
+
+
+def without_repeated_keyless(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with rows that have no key and are equal in all columns kept once."""
+    return df.where(F.col(key).isNotNull()).unionByName(df.where(F.col(key).isNull()).distinct())

@@ -1,178 +1,109 @@
-"""Equi-joins that stay balanced when single keys hold a large share of the rows.
-
-AQE splits an oversized partition on the preserved side of a left join only,
-and not where a later join on the same key would need another shuffle. Clinical
-data has both problems: one encounter may own a third of all claims, and the
-claim table sits on the other side. So heavy keys are found first, and only
-their rows take a salted route. Without heavy keys the plan is the plain join.
+"""Joins and lookups that stay balanced when single keys hold a large share of the rows.
+
+AQE splits an oversized partition on the preserved side of a left join only, and
+not where a later join on the same key would need another shuffle. Clinical data
+has both problems: one encounter may own a third of all claims, and the claim
+table sits on the other side. So rows are counted per key on both sides, and keys
+whose join would give one task more than a fixed number of rows are spread over a
+grid of cells, a part of each side meeting in each cell. Everything is one lazy
+plan of the same shape at every size; counts are combined before they are shuffled.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is heavy when it holds more than this share of the rows. At most
-# 1 / HEAVY_SHARE keys can, which bounds what reaches the driver and the plan.
-HEAVY_SHARE = 1 / 500
-# Tables below this size are never worth splitting.
-MIN_ROWS = 1_000_000
-# Frequent-item sketch size. Twice its error (3.5 / size) stays below HEAVY_SHARE,
-# so no heavy key is missed.
-_TRACKED = 4_096
-# Optional column with a hash of the whole source row, for a pruned right side.
-SALT = "_salt"
-# Cores whose sketches are merged in one task before the last merge.
-_CORES_PER_MERGE = 64
-
-
-@dataclass(frozen=True)
-class Heavy:
-    """Hashes of the heavy keys of one table, and over how many cells to spread each."""
-
-    hashes: frozenset[int] = frozenset()
-    fan: int = 1
-
-    def __bool__(self) -> bool:
-        return bool(self.hashes)
-
-    def __or__(self, other: Heavy) -> Heavy:
-        return Heavy(self.hashes | other.hashes, max(self.fan, other.fan))
-
-    def restricted(self, hashes: frozenset[int]) -> Heavy:
-        return Heavy(self.hashes & hashes, self.fan)
-
-    def without(self, hashes: frozenset[int]) -> Heavy:
-        return Heavy(self.hashes - hashes, self.fan)
-
-    def holds(self, keys: Sequence[str]) -> Column:
-        """Whether a row's key is one of them."""
-        return key_hash(keys).isin(*sorted(self.hashes)) if self.hashes else F.lit(False)
-
+# Rows one task may produce or hold for one key. A key beyond it is split, so there
+# are at most (rows produced) / ROWS_PER_TASK such keys, which bounds the broadcast
+# of their table: 250,000 keys for a join of 10^12 rows.
+ROWS_PER_TASK = 4_000_000
+_KEY = "_heavy_"
 
-NONE = Heavy()
 
+def _same_key(keys: Sequence[str]) -> Column:
+    """Equality with the renamed keys of a heavy table; a NULL key is a key of its own."""
+    return reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{_KEY}{k}")) for k in keys])
 
-def key_hash(keys: Sequence[str]) -> Column:
-    """64-bit hash of the key columns; NULL keys share one hash value."""
-    return F.xxhash64(*[F.col(k).cast("string") for k in keys])
 
-
-def heavy_keys(inputs: Mapping[str, tuple[DataFrame, Sequence[str]]], share: float = HEAVY_SHARE,
-               min_rows: int = MIN_ROWS, merges: int | None = None) -> dict[str, Heavy]:
-    """Per named input (DataFrame, key columns): the keys with more than ``share`` of its rows.
-
-    One job over the key columns of all inputs with a frequent-item sketch: tasks
-    send a sketch per input, no row is shuffled, and on a large cluster sketches
-    are merged in two steps. The answer, at most ``1 / share`` numbers per input, only decides how
-    rows are routed; results are the same for any answer. A key is to be spread
-    over so many cells that each holds about ``share`` of the rows.
-    """
-    limit = int(1 / share)
-    hashes = reduce(
-        DataFrame.unionAll,
-        [df.select(F.lit(name).alias("input"), key_hash(keys).alias("h"))
-         for name, (df, keys) in inputs.items()],
+def heavy_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows, under their names with a prefix."""
+    return (
+        df.groupBy(*[F.col(k).alias(f"{_KEY}{k}") for k in keys])
+        .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task).drop("_n")
     )
-    spark = hashes.sparkSession
-    merges = merges or spark.sparkContext.defaultParallelism // _CORES_PER_MERGE
-    by = ["input"]
-    if merges > 1:
-        by.append(F.pmod(F.spark_partition_id(), F.lit(merges)).alias("part"))
-    found = (
-        hashes.groupBy(*by)
-        .agg(
-            F.call_function("approx_top_k_accumulate", F.col("h"), F.lit(_TRACKED)).alias("sketch"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .groupBy("input")
-        .agg(
-            F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(_TRACKED)).alias("sketch"),
-            F.sum("n").alias("n"),
-        )
-        .where(F.col("n") >= min_rows)
-        .select(
-            "input", "n",
-            F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(limit)).alias("top"),
-        )
-        .collect()
-    )
-    answer = dict.fromkeys(inputs, NONE)
-    for row in found:
-        floor = row["n"] * share
-        counts = {t["item"]: t["count"] for t in row["top"] if t["count"] > floor}
-        if counts:
-            answer[row["input"]] = Heavy(frozenset(counts), math.ceil(max(counts.values()) / floor))
-    return answer
-
 
-def _spread(df: DataFrame, keys: Sequence[str], heavy: Heavy, name: str) -> DataFrame:
-    """Give each row of a heavy key one of its cells, chosen by row content.
 
-    Content, not a random number: a recomputed task must place its rows as before.
-    """
-    salt = F.col(SALT) if SALT in df.columns else F.xxhash64(*df.columns)
-    cell = F.pmod(salt, F.lit(heavy.fan)).cast("int")
-    return df.withColumn(name, F.when(heavy.holds(keys), cell).otherwise(F.lit(0)))
-
-
-def _repeat(df: DataFrame, keys: Sequence[str], heavy: Heavy, name: str) -> DataFrame:
-    """Copy each row of a key the other side spreads into every cell."""
-    if not heavy:
-        return df.withColumn(name, F.lit(0))
-    cells = F.sequence(F.lit(0), F.lit(heavy.fan - 1))
-    return df.withColumn(
-        name, F.explode(F.when(heavy.holds(keys), cells).otherwise(F.array(F.lit(0))))
-    )
+def split_heavy(df: DataFrame, keys: Sequence[str], heavy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose key is not, and is, in the table of :func:`heavy_keys`."""
+    return tuple(df.join(F.broadcast(heavy), _same_key(keys), how) for how in ("left_anti", "left_semi"))
 
 
-def balanced_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                       left_heavy: Heavy = NONE, right_heavy: Heavy = NONE) -> DataFrame:
-    """``left.join(right, keys, "left")`` with the rows of heavy keys split.
+def heavy_cells(base: DataFrame, tables: Sequence[DataFrame], keys: Sequence[str],
+                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """How to split the heavy keys of ``base`` left-joined to each of ``tables`` in turn.
 
-    Keys heavy on the left only: left rows are spread, the few right rows
-    repeated. Keys heavy on the right: both sides form a grid under an inner
-    join, and left rows whose key has no partner are added back through an anti
-    join against the heavy right keys, which are bounded by the sketch answer.
-    Repeated rows never outnumber the join's own output.
+    One row per key that needs it: the key under prefixed names, and for join i the
+    number of cells of the left side (``_a<i>``) and of the right side (``_b<i>``).
+    With L left and R right rows the grid has about L x R / rows_per_task cells, cut
+    so that few rows are repeated. Keys without a partner on the right are spread on
+    the left alone. Keys are counted once for all joins, in one shuffle.
+    """
+    names = [f"{_KEY}{k}" for k in keys]
+    sources = [base, *[t.na.drop(subset=list(keys)) for t in tables]]
+    counted = [
+        s.select(*[F.col(k).alias(n) for k, n in zip(keys, names)],
+                 *[F.lit(int(i == j)).cast("double").alias(f"_n{j}") for j in range(len(sources))])
+        for i, s in enumerate(sources)
+    ]
+    counts = reduce(DataFrame.unionAll, counted).groupBy(*names).agg(
+        *[F.sum(f"_n{j}").alias(f"_n{j}") for j in range(len(sources))]).where("_n0 > 0")
+    limit = float(rows_per_task)
+    side = limit ** 0.5
+    left, cells = F.col("_n0"), []
+    for i in range(1, len(sources)):
+        right = F.col(f"_n{i}")
+        both = F.ceil(left * F.greatest(right, F.lit(1.0)) / limit)
+        a = F.when(right <= side, both).when(left <= side, F.lit(1)).otherwise(F.ceil(left / side))
+        b = F.when(right <= side, F.lit(1)).when(left <= side, both).otherwise(F.ceil(right / side))
+        cells += [a.cast("int").alias(f"_a{i}"), b.cast("int").alias(f"_b{i}")]
+        left = left * F.greatest(right, F.lit(1.0))
+    found = counts.select(*names, *cells)
+    split = reduce(lambda x, y: x | y, [F.col(f"_{x}{i}") > 1 for x in "ab" for i in range(1, len(sources))])
+    return found.where(split)
+
+
+def balanced_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], cells: DataFrame,
+                       number: int = 1) -> DataFrame:
+    """``left.join(right, keys, "left")`` with the heavy keys split as ``cells`` says for join ``number``.
+
+    A left row lies in one row of its key's grid and is repeated along it, a right
+    row in one column and repeated along that; other keys have a grid of one cell.
+    Where the right side is split, a left row finds nothing in some cells; those
+    empty results are dropped, since its key is known to have partners. Repeated
+    rows never outnumber the join's own output. Rows equal in every column share a
+    cell.
     """
     keys = list(keys)
-    if not left_heavy and not right_heavy:
-        return left.join(right.drop(SALT), keys, "left")
-    out = [*left.columns, *[c for c in right.columns if c not in (*keys, SALT)]]
-    a, b = "_cell_left", "_cell_right"
-
-    calm_left, calm_right = left, right
-    if right_heavy:
-        calm_left = left.where(~right_heavy.holds(keys))
-        calm_right = right.where(~right_heavy.holds(keys))
-    left_only = left_heavy.without(right_heavy.hashes)
-    result = (
-        _spread(calm_left, keys, left_only, a)
-        .join(_repeat(calm_right, keys, left_only, a), [*keys, a], "left")
-        .select(*out)
-    )
-    if not right_heavy:
-        return result
-
-    both = left_heavy.restricted(right_heavy.hashes)
-    hot_left = left.where(right_heavy.holds(keys))
-    hot_right = right.where(right_heavy.holds(keys))
-    grid_left = _repeat(_spread(hot_left, keys, both, a), keys, right_heavy, b)
-    grid_right = _repeat(_spread(hot_right, keys, right_heavy, b), keys, both, a)
-    pairs = grid_left.join(grid_right, [*keys, a, b], "inner").select(*out)
-    partners = hot_right.select(*keys).distinct()
-    alone = hot_left.join(F.broadcast(partners), keys, "left_anti")
-    fields = {f.name: f.dataType for f in right.schema.fields}
-    alone = alone.select(
-        *left.columns, *[F.lit(None).cast(fields[c]).alias(c) for c in out[len(left.columns):]]
-    )
-    return reduce(DataFrame.unionByName, [result, pairs, alone])
+    names = [f"{_KEY}{k}" for k in keys]
+    out = [*left.columns, *[c for c in right.columns if c not in keys]]
+    grid = F.broadcast(cells.select(*names, F.col(f"_a{number}").alias("_a"), F.col(f"_b{number}").alias("_b")))
+
+    def placed(df: DataFrame, own: str, across: str, mine: str, other: str) -> DataFrame:
+        # By content, not at random: a recomputed task must place its rows as before.
+        cell = F.when(F.col(own) > 1, F.pmod(F.xxhash64(*df.columns), F.col(own)).cast("int")).otherwise(F.lit(0))
+        along = F.when(F.col(across) > 1, F.sequence(F.lit(0), F.col(across) - 1)).otherwise(F.array(F.lit(0)))
+        return df.join(grid, _same_key(keys), "left").select("*", cell.alias(mine), F.explode(along).alias(other))
+
+    a = placed(left, "_a", "_b", "_i", "_j").withColumn("_split", F.coalesce(F.col("_b") > 1, F.lit(False)))
+    b = placed(right, "_b", "_a", "_j", "_i").withColumn("_found", F.lit(True))
+    a = a.select(*left.columns, "_i", "_j", "_split")
+    b = b.select(*right.columns, "_i", "_j", "_found")
+    joined = a.join(b, [*keys, "_i", "_j"], "left")
+    return joined.where(~F.col("_split") | F.col("_found").isNotNull()).select(*out)
 
 
 def repeat_rows(df: DataFrame, copies: str, chunk: int = 10_000) -> DataFrame:

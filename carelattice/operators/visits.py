@@ -13,26 +13,18 @@ GAP = "days_since_last_visit"
 
 
 def with_visit_gap(visits: DataFrame, patient: str, start: str, tie_break: Sequence[str],
-                   balance: bool = True, share: float = skew.HEAVY_SHARE,
-                   min_rows: int = skew.MIN_ROWS, counted: DataFrame | None = None) -> DataFrame:
+                   rows_per_task: int = skew.ROWS_PER_TASK, counted: DataFrame | None = None) -> DataFrame:
     """Add ``days_since_last_visit``: day boundaries since the patient's previous visit.
 
     Visits are ordered by ``start`` (missing last), then ``tie_break``; of rows
     equal in all of these any one counts as the earlier. NULL for a first visit
     and for a visit without a start. One shuffle on the patient and a LAG; patients
-    with a large share of all visits go through :func:`_gap_by_day` instead.
-    ``counted`` is a cheaper DataFrame with the same patients to look for them in.
+    with more than ``rows_per_task`` visits go through :func:`_gap_by_day` instead.
+    ``counted`` is a cheaper DataFrame with the same patients to count them in.
     """
-    heavy = skew.NONE
-    if balance:
-        counted = visits if counted is None else counted
-        heavy = skew.heavy_keys({"visits": (counted, [patient])}, share, min_rows)["visits"]
-    if not heavy:
-        return _gap_by_lag(visits, patient, start, tie_break)
-    is_heavy = heavy.holds([patient])
-    return _gap_by_lag(visits.where(~is_heavy), patient, start, tie_break).unionByName(
-        _gap_by_day(visits.where(is_heavy), patient, start, tie_break)
-    )
+    heavy = skew.heavy_keys(visits if counted is None else counted, [patient], rows_per_task)
+    calm, hot = skew.split_heavy(visits, [patient], heavy)
+    return _gap_by_lag(calm, patient, start, tie_break).unionByName(_gap_by_day(hot, patient, start, tie_break))
 
 
 def _gap_by_lag(visits: DataFrame, patient: str, start: str, tie_break: Sequence[str]) -> DataFrame:
@@ -70,9 +62,16 @@ def _gap_by_day(visits: DataFrame, patient: str, start: str, tie_break: Sequence
     same = F.col(patient).eqNullSafe(F.col("_patient"))
     for c in order:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    # Of rows equal in patient and order only one is the first.
-    copies = Window.partitionBy(patient, *order).orderBy(F.lit(0))
-    numbered = visits.withColumn("_copy", F.row_number().over(copies))
+    # Of rows equal in patient and order only one is the first. Equal rows are counted
+    # before they are shuffled, and written out again as often as they came.
+    columns = visits.columns
+    counted = visits.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    one = Window.partitionBy(patient, *order).orderBy(*[c for c in columns if c not in (patient, *order)] or [F.lit(0)])
+    numbered = counted.withColumn("_copy", F.row_number().over(one))
     is_first = F.col("_is_first") & (F.col("_copy") == 1)
-    gap = F.when(is_first, F.col("_gap")).when(F.col(start).isNotNull(), F.lit(0))
-    return numbered.join(firsts, same, "left").select(*visits.columns, gap.cast("bigint").alias(GAP))
+    gap = F.when(is_first, F.col("_gap")).when(F.col(start).isNotNull(), F.lit(0)).cast("bigint")
+    again = F.when(F.col(start).isNotNull(), F.lit(0)).cast("bigint")
+    kinds = F.array(F.struct(gap.alias(GAP), F.lit(1).cast("bigint").alias("_copies")),
+                    F.struct(again.alias(GAP), (F.col("_copies") - 1).alias("_copies")))
+    found = numbered.join(firsts, same, "left").select(*columns, F.inline(kinds))
+    return skew.repeat_rows(found, "_copies").select(*columns, GAP)

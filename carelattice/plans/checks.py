@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from carelattice.operators.quality import Check
+from carelattice.operators.enrich import ROWS, fan_out
+from carelattice.operators.quality import Check, Scan
+from carelattice.plans import enrichment
+from carelattice.plans.staging import stage, staged_columns
 
 # Accepted codes, checked with a warning only.
 CLAIM_STATUS = ("ACTIVE", "CANCELLED", "DRAFT", "ENTERED-IN-ERROR")
@@ -83,7 +88,44 @@ def of_kind(checks: list[Check], kind: str) -> list[Check]:
     return [c for c in checks if c.kind == kind]
 
 
-def named_tables(raw: Mapping[str, DataFrame], staged: Mapping[str, DataFrame],
-                 enriched: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All checked tables under the names the checks use."""
-    return {**{f"raw_{n}": df for n, df in raw.items()}, **staged, **enriched}
+# Checks that fail on any data, because these keys repeat in the model by construction.
+FAIL_BY_CONSTRUCTION = (
+    ("encounter_claim", "encounter_id", "unique"),
+    ("medication_condition", "medication_id", "unique"),
+)
+
+
+def _with_models(df: DataFrame, name: str, columns: Mapping[str, Column], staged: Mapping[str, DataFrame],
+                 tables: dict[str, Mapping[str, Column]]) -> Scan:
+    """A scan of ``df`` that also stands for the enriched models which start from ``name``.
+
+    Only base columns of the models are checked, so instead of forming a model each
+    base row gets the number of rows the model makes of it.
+    """
+    rows = {}
+    for model, specs in enrichment.fan_outs(name, staged).items():
+        df = fan_out(df, specs).withColumnRenamed(ROWS, f"_rows_{model}")
+        tables[model], rows[model] = columns, f"_rows_{model}"
+    return Scan(df, tables, rows)
+
+
+def source_scans(raw: Mapping[str, DataFrame], as_of: date | str) -> list[Scan]:
+    """Raw, staged and enriched tables as one scan per source."""
+    staged = {name: stage(df, name, as_of) for name, df in raw.items()}
+    scans = []
+    for name, df in raw.items():
+        cleaned = staged_columns(name, as_of)
+        side = df.select(*[F.col(c).alias(f"_raw_{c}") for c in df.columns], *[c.alias(n) for n, c in cleaned.items()])
+        columns = {c: F.col(c) for c in cleaned}
+        tables = {f"raw_{name}": {c: F.col(f"_raw_{c}") for c in df.columns}, name: columns}
+        scans.append(_with_models(side, name, columns, staged, tables))
+    return scans
+
+
+def layer_scans(raw: Mapping[str, DataFrame], staged: Mapping[str, DataFrame]) -> list[Scan]:
+    """Raw tables, and staged tables kept apart from them with the enriched models over them."""
+    scans = [Scan(df, {f"raw_{name}": {c: F.col(c) for c in df.columns}}) for name, df in raw.items()]
+    for name, df in staged.items():
+        columns = {c: F.col(c) for c in df.columns}
+        scans.append(_with_models(df, name, columns, staged, {name: columns}))
+    return scans

@@ -1,22 +1,24 @@
-"""The whole batch: raw tables to staging snapshots, marts and a quality report.
+"""The whole batch: raw tables to staging snapshots, checks, and marts.
 
 Materialization per layer: staging tables are keyed incremental merges, patients
-a view, enrichments inlined, marts rewritten in full.
+a view, enrichments inlined, marts rewritten in full. All declared checks run
+between the staging tables and the marts and stop the batch if one fails.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from carelattice.operators.incremental import incremental_filter, newest_first
-from carelattice.operators.quality import run_checks
-from carelattice.plans import checks, enrichment, marts
+from carelattice.operators.quality import require, run_checks
+from carelattice.plans import checks, marts
 from carelattice.plans.staging import stage
 from carelattice.schemas import TABLES
+from carelattice.sources import landing
 from carelattice.sources.snapshots import SnapshotTable
 
 
@@ -37,15 +39,33 @@ def load_increment(snapshot: SnapshotTable, staged: DataFrame, table: str,
     """Merge the rows beyond the snapshot's high-water mark into it; returns the current version.
 
     The mark is read from the latest month alone. Without new rows nothing is
-    written.
+    written. With ``lookback`` rows behind the mark come too; they replace only
+    rows that are not newer.
     """
     spec = TABLES[table]
     fresh = incremental_filter(staged, snapshot.newest(), spec.watermark, lookback)
-    others = [c for c in staged.columns if c not in (spec.key, spec.watermark)]
-    snapshot.merge(fresh, spec.key, newest_first(spec.watermark, others))
+    _merge(snapshot, fresh, table, keep="first" if lookback else "new")
     return snapshot.read()
 
 
+def load_day(snapshot: SnapshotTable, landed: str, table: str, load_date: date, as_of: date | str,
+             fmt: str = "csv") -> DataFrame:
+    """Merge one landed day into the snapshot; returns the current version.
+
+    Only that day's folder is read. Days may be loaded in any order and again: the
+    newest row of a key by watermark stays.
+    """
+    raw = landing.read_landed(snapshot.spark, landed, table, load_date, fmt)
+    _merge(snapshot, stage(raw, table, as_of), table, keep="first")
+    return snapshot.read()
+
+
+def _merge(snapshot: SnapshotTable, rows: DataFrame, table: str, keep: str) -> None:
+    spec = TABLES[table]
+    others = [c for c in rows.columns if c not in (spec.key, spec.watermark)]
+    snapshot.merge(rows, spec.key, newest_first(spec.watermark, others), keep=keep)
+
+
 def staging_layer(spark: SparkSession, raw: Mapping[str, DataFrame], root: str,
                   as_of: date | str, split: str = "month") -> dict[str, DataFrame]:
     staged = {}
@@ -70,33 +90,26 @@ def mart_layer(staged: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def enrichment_layer(staged: Mapping[str, DataFrame], **options) -> dict[str, DataFrame]:
-    """The five enriched models as lazy DataFrames."""
-    s = staged
-    return {
-        "condition_patient": enrichment.condition_patient(s["condition"], s["patient"], **options),
-        "encounter_claim": enrichment.encounter_claim(
-            s["encounter"], s["claim"], s["procedure"], **options
-        ),
-        "encounter_condition": enrichment.encounter_condition(
-            s["encounter"], s["condition"], **options
-        ),
-        "encounter_patient": enrichment.encounter_patient(s["encounter"], s["patient"], **options),
-        "medication_condition": enrichment.medication_condition(
-            s["medication_request"], s["condition"], **options
-        ),
-    }
+def checked(raw: Mapping[str, DataFrame], staged: Mapping[str, DataFrame]) -> DataFrame:
+    """The report of all declared checks and relationships over raw, staged and enriched tables."""
+    return run_checks(checks.layer_scans(raw, staged), checks.ALL_CHECKS + checks.RELATIONSHIPS)
 
 
-def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], root: str,
-            as_of: date | str, split: str = "month") -> Refreshed:
-    """Run every layer below ``root``; safe to run again after a failure."""
+def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, as_of: date | str, split: str = "month",
+            allowed: Collection[tuple[str, str, str]] = ()) -> Refreshed:
+    """Run every layer below ``root``; safe to run again after a failure.
+
+    A failed check of severity error raises before any mart is written, but for
+    those that fail by construction and those in ``allowed``, as
+    (table, column, check). The report is written either way.
+    """
     staged = staging_layer(spark, raw, root, as_of, split)
-    written = {}
-    for name, mart in mart_layer(staged).items():
-        path = f"{root}/marts/{name}"
-        mart.write.mode("overwrite").parquet(path)
-        written[name] = spark.read.parquet(path)
-    tables = checks.named_tables(raw, staged, {})
-    report = run_checks(tables, checks.RAW_CHECKS + checks.STAGING_CHECKS)
-    return Refreshed(staged, written, report)
+    report = _replace(spark, checked(raw, staged), f"{root}/report")
+    require(report, [*checks.FAIL_BY_CONSTRUCTION, *allowed])
+    marts = {name: _replace(spark, mart, f"{root}/marts/{name}") for name, mart in mart_layer(staged).items()}
+    return Refreshed(staged, marts, report)
+
+
+def _replace(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -24,7 +24,7 @@ class TableSpec:
 
 
 def _spec(name, resource_type, description, key, watermark, columns) -> TableSpec:
-    return TableSpec(name, resource_type, description, key, watermark, tuple(columns.split()))
+    return TableSpec(name, resource_type, description, key, watermark, columns)
 
 
 # Table names, columns, merge keys and watermark columns.
@@ -32,28 +32,28 @@ TABLES: dict[str, TableSpec] = {
     spec.name: spec
     for spec in [
         _spec("patient", "Patient", "Patient demographics", "patient_id", None,
-              "patient_id first_name last_name gender birth_date race ethnicity birth_place "
-              "city state postal_code country marital_status language"),
+              ("patient_id", "first_name", "last_name", "gender", "birth_date", "race", "ethnicity",
+               "birth_place", "city", "state", "postal_code", "country", "marital_status", "language")),
         _spec("encounter", "Encounter", "Clinical encounters", "encounter_id", "start_date",
-              "encounter_id patient_id status class_code encounter_type start_date end_date "
-              "provider_name practitioner"),
+              ("encounter_id", "patient_id", "status", "class_code", "encounter_type", "start_date",
+               "end_date", "provider_name", "practitioner")),
         _spec("claim", "Claim", "Insurance claims", "claim_id", "created_date",
-              "claim_id patient_id encounter_id status claim_type created_date provider_name "
-              "payer total_amount currency service_code service_desc"),
+              ("claim_id", "patient_id", "encounter_id", "status", "claim_type", "created_date",
+               "provider_name", "payer", "total_amount", "currency", "service_code", "service_desc")),
         _spec("condition", "Condition", "Diagnosed conditions", "condition_id", "recorded_date",
-              "condition_id patient_id encounter_id clinical_status condition_code "
-              "condition_system condition_name onset_date recorded_date"),
+              ("condition_id", "patient_id", "encounter_id", "clinical_status", "condition_code",
+               "condition_system", "condition_name", "onset_date", "recorded_date")),
         _spec("procedure", "Procedure", "Clinical procedures", "procedure_id", "performed_start",
-              "procedure_id patient_id encounter_id status procedure_code procedure_system "
-              "procedure_name performed_start performed_end"),
+              ("procedure_id", "patient_id", "encounter_id", "status", "procedure_code",
+               "procedure_system", "procedure_name", "performed_start", "performed_end")),
         _spec("observation", "Observation", "Vitals and laboratory results", "observation_id",
               "effective_date",
-              "observation_id patient_id encounter_id status obs_code obs_system obs_name "
-              "effective_date value unit"),
+              ("observation_id", "patient_id", "encounter_id", "status", "obs_code", "obs_system",
+               "obs_name", "effective_date", "value", "unit")),
         _spec("medication_request", "MedicationRequest", "Medication requests", "medication_id",
               "authored_date",
-              "medication_id patient_id encounter_id status intent medication_code "
-              "medication_name authored_date requester"),
+              ("medication_id", "patient_id", "encounter_id", "status", "intent", "medication_code",
+               "medication_name", "authored_date", "requester")),
     ]
 }
 

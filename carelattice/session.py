@@ -15,7 +15,6 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -36,15 +35,16 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
-_local_root: str | None = None
+_local_root: tempfile.TemporaryDirectory | None = None
 
 
 def work_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates: the session's ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a temporary folder of its
-    own. A cluster session without it is refused, since executors on other
-    machines could not read what is written to one machine's disk.
+    own, which goes with the process. A cluster session without it is refused,
+    since executors on other machines could not read what is written to one
+    machine's disk.
     """
     global _local_root
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -53,8 +53,8 @@ def work_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="carelattice-")
-    return _local_root
+        _local_root = tempfile.TemporaryDirectory(prefix="carelattice-", ignore_cleanup_errors=True)
+    return _local_root.name
 
 
 def work_path(spark: SparkSession, name: str) -> str:

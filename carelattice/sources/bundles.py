@@ -11,13 +11,13 @@ _ENTRY_DDL = "entry array<struct<resource:string>>, _broken string"
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
 
 
-def read_bundles(spark: SparkSession, folder: str) -> DataFrame:
-    """Every ``*.json`` directly in ``folder`` as (bundle_id, value), one bundle per file.
+def read_bundles(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
+    """Every file named like ``pattern`` directly in ``folder`` as (bundle_id, value), one bundle per file.
 
     An empty folder gives an empty DataFrame. A bundle is one string value, so
     one file may hold up to 2 GB.
     """
-    files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json")
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter=pattern)
     return files.select(F.col("_metadata.file_path").alias("bundle_id"), "value")
 
 
@@ -93,7 +93,7 @@ def land_resources(resources: DataFrame, path: str) -> DataFrame:
     (
         resources.where(F.col("resource_type").isNotNull())
         .repartition(F.col("resource_type"), cell)
-        .write.mode("overwrite")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
         .partitionBy("resource_type")
         .parquet(path)
     )

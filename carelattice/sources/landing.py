@@ -6,15 +6,14 @@ from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelattice.schemas import TABLES
 
-# Quoted fields may hold commas, quotes and line breaks.
-_CSV = {"header": "true", "escape": '"', "multiLine": "true"}
-# A file with line breaks inside fields cannot be split on read, so files stay small.
-_MAX_ROWS_PER_FILE = 2_000_000
+# Quoted fields may hold commas and quotes.
+_CSV = {"header": "true", "escape": '"'}
+# Rows per written CSV file. A file that is read with ``multiline`` cannot be split.
+MAX_ROWS_PER_FILE = 2_000_000
 
 
 def write_flat(tables: Mapping[str, DataFrame], folder: str, fmt: str = "csv") -> list[str]:
@@ -36,7 +35,7 @@ def _writer(df: DataFrame, fmt: str):
             escape='"',
             ignoreLeadingWhiteSpace="false",
             ignoreTrailingWhiteSpace="false",
-            maxRecordsPerFile=_MAX_ROWS_PER_FILE,
+            maxRecordsPerFile=MAX_ROWS_PER_FILE,
         )
     return writer
 
@@ -48,31 +47,23 @@ def day_folder(load_date: date) -> str:
 def land(df: DataFrame, root: str, table: str, load_date: date, fmt: str = "csv") -> None:
     """Write ``df`` below ``root/table`` in the partition of ``load_date``.
 
-    Landing a day again replaces that day and no other.
+    Landing a day again replaces that day and no other, also when there are no rows.
     """
-    dated = (
-        df.withColumn("year", F.lit(str(load_date.year)))
-        .withColumn("month", F.lit(f"{load_date.month:02d}"))
-        .withColumn("day", F.lit(f"{load_date.day:02d}"))
-    )
-    (
-        _writer(dated, fmt)
-        .partitionBy("year", "month", "day")
-        .option("partitionOverwriteMode", "dynamic")
-        .save(f"{root}/{table}")
-    )
+    folder = f"{root}/{table}/{day_folder(load_date)}"
+    _writer(df, fmt).option("partitionOverwriteMode", "static").save(folder)
 
 
 def read_landed(spark: SparkSession, root: str, table: str, load_date: date | None = None,
-                fmt: str = "csv") -> DataFrame:
+                fmt: str = "csv", multiline: bool = False) -> DataFrame:
     """Raw rows of one landed table, all days or only ``load_date``; empty text reads as NULL.
 
-    One day is read from its own folder, so other days are not even listed.
+    One day is read from its own folder, so other days are not even listed. CSV
+    fields with line breaks need ``multiline``, which makes every file one task.
     """
     schema = TABLES[table].raw_schema
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.options(**_CSV)
+        reader = reader.options(**_CSV, multiLine=str(multiline).lower())
     if load_date is not None:
         return reader.schema(schema).load(f"{root}/{table}/{day_folder(load_date)}")
     dated = T.StructType(

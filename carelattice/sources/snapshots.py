@@ -1,28 +1,44 @@
-"""A keyed table kept as versioned parquet folders, split by month.
+"""A keyed table kept as parquet folders, split by month.
 
 Plain parquet cannot be overwritten while it is read, nor merged in place. A
-merge writes the months it changes beside the current ones, and a row in the
+merge writes the months it changes into a folder of its own, and an entry in the
 commit log makes them the ones readers see; months without a replaced key stay
-where they are. A job that dies half way leaves no commit, and its leftovers are
-overwritten by the next attempt.
+where they are. A job that dies half way leaves no entry, and no later attempt
+writes to, or reads, the folder it left.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Collection, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelattice.operators.incremental import deduplicate, without_keys
+from carelattice.operators.incremental import (
+    deduplicate,
+    first_of_both,
+    without_keys,
+    without_repeated_keyless,
+)
 
-_LOG_DDL = "version bigint, batch string, pieces array<struct<part:string,path:string>>"
-_VERSION, _PART = "snapshot_version", "snapshot_part"
+_ENTRY_DDL = "version bigint, batch string, fields string, pieces array<struct<part:string,path:string>>"
+_ATTEMPT, _PART = "snapshot_attempt", "snapshot_part"
 _UNDATED = "none"
-# A month held in this many pieces is rewritten as one by the next merge.
-_MAX_PIECES = 8
+
+
+def _union(old: T.StructType | None, new: T.StructType) -> T.StructType:
+    """The fields of both; a field of another type is refused."""
+    fields = {f.name: f for f in (old.fields if old else [])}
+    for f in new.fields:
+        if f.name in fields and fields[f.name].dataType != f.dataType:
+            raise ValueError(f"column {f.name} was {fields[f.name].dataType.simpleString()}, "
+                             f"now {f.dataType.simpleString()}")
+        fields.setdefault(f.name, f)
+    return T.StructType([T.StructField(f.name, f.dataType) for f in fields.values()])
 
 
 class SnapshotTable:
@@ -45,40 +61,54 @@ class SnapshotTable:
 
     # ---- reading
 
-    def _commits(self) -> DataFrame | None:
+    def _entries(self) -> list[str]:
+        """Files of the commit log, oldest first. Their names tell version and batch, so none is opened."""
         try:
-            return self.spark.read.schema(_LOG_DDL).json(self._log)
+            files = self.spark.read.text(self._log, recursiveFileLookup=True).inputFiles()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return None
+                return []
             raise
+        return sorted(files, key=lambda f: f.split("/")[-2])
 
     def _latest(self):
-        log = self._commits()
-        return None if log is None else log.orderBy(F.desc("version")).first()
+        """The newest entry; every entry lists the whole table, so older ones are not read."""
+        entries = self._entries()
+        return self.spark.read.schema(_ENTRY_DDL).json(entries[-1]).first() if entries else None
 
     @property
     def version(self) -> int:
         """Number of the current version, 0 before the first commit."""
-        latest = self._latest()
-        return latest["version"] if latest else 0
+        entries = self._entries()
+        return int(entries[-1].split("/")[-2].split("~")[0]) if entries else 0
 
     def has_batch(self, batch: str) -> bool:
         """Whether a commit already carries this batch name."""
-        log = self._commits()
-        return log is not None and not log.where(F.col("batch") == batch).isEmpty()
-
-    def _load(self, pieces: Sequence) -> DataFrame:
-        paths = [p["path"] for p in pieces]
-        fields = self.spark.read.parquet(paths[0]).schema.fields
-        folders = [T.StructField(c, T.StringType()) for c in (_VERSION, _PART)]
-        reader = self.spark.read.schema(T.StructType([*fields, *folders]))
-        return reader.option("basePath", self._data).parquet(*paths).drop(_VERSION)
-
-    def read(self) -> DataFrame | None:
-        """The current version, or None before the first commit."""
+        return any(f.split("/")[-2].split("~", 1)[1] == batch for f in self._entries())
+
+    def _load(self, entry, pieces: Sequence | None = None) -> DataFrame:
+        """Rows of the entry's pieces, or some of them, under all columns the table ever had."""
+        schema = T.StructType.fromJson(json.loads(entry["fields"]))
+        folders = [T.StructField(c, T.StringType()) for c in (_ATTEMPT, _PART)]
+        reader = self.spark.read.schema(T.StructType([*schema.fields, *folders]))
+        paths = [p["path"] for p in (entry["pieces"] if pieces is None else pieces)]
+        if not paths:
+            return self.spark.createDataFrame([], T.StructType([*schema.fields, folders[1]]))
+        return reader.option("basePath", self._data).parquet(*paths).drop(_ATTEMPT)
+
+    def read(self, months: Collection[str] | None = None) -> DataFrame | None:
+        """The current version, or None before the first commit.
+
+        ``months`` ("2024-01") limits it to the parts that may hold rows of these months.
+        """
         latest = self._latest()
-        return self._load(latest["pieces"]).drop(_PART) if latest else None
+        if not latest:
+            return None
+        pieces = latest["pieces"]
+        if months is not None:
+            wanted = {f"p{m[:self._digits]}" for m in months} | {"all"}
+            pieces = [p for p in pieces if p["part"] in wanted]
+        return self._load(latest, pieces).drop(_PART)
 
     def newest(self) -> DataFrame | None:
         """The rows of the latest month only: where the largest ``dated_by`` is found."""
@@ -87,7 +117,7 @@ class SnapshotTable:
             return None
         dated = [p for p in latest["pieces"] if p["part"] != _UNDATED] or latest["pieces"]
         last = max(p["part"] for p in dated)
-        return self._load([p for p in dated if p["part"] == last]).drop(_PART)
+        return self._load(latest, [p for p in dated if p["part"] == last]).drop(_PART)
 
     # ---- writing
 
@@ -97,52 +127,67 @@ class SnapshotTable:
         period = F.substring(F.col(self._dated_by).cast("string"), 1, self._digits)
         return F.coalesce(F.concat(F.lit("p"), period), F.lit(_UNDATED))
 
-    def _write(self, df: DataFrame, kept: Sequence, batch: str | None, version: int) -> int:
-        path = f"{self._data}/{_VERSION}={version:06d}"
+    def _write(self, df: DataFrame, kept: Sequence, batch: str | None, latest) -> int:
+        version = (latest["version"] if latest else 0) + 1
+        known = T.StructType.fromJson(json.loads(latest["fields"])) if latest else None
+        fields = _union(known, df.schema)
+        path = f"{self._data}/{_ATTEMPT}={version:012d}-{uuid.uuid4().hex}"
         # Rows of a month meet before the write, so months do not multiply with
         # tasks into small files; AQE splits a large month and joins small ones.
         df = df.withColumn(_PART, self._part()).hint("rebalance", _PART)
-        df.write.mode("overwrite").partitionBy(_PART).parquet(path)
-        # At most one row per calendar month.
+        df.write.option("partitionOverwriteMode", "static").partitionBy(_PART).parquet(path)
+        # The folder is this attempt's own. At most one row per calendar month.
         written = self.spark.read.schema(df.schema).parquet(path).select(_PART).distinct().collect()
         pieces = [(p["part"], p["path"]) for p in kept]
         pieces += [(r[_PART], f"{path}/{_PART}={r[_PART]}") for r in written]
-        if not pieces:
-            # An empty table still has a schema to read.
-            df.drop(_PART).write.mode("overwrite").parquet(f"{path}/{_PART}={_UNDATED}")
-            pieces = [(_UNDATED, f"{path}/{_PART}={_UNDATED}")]
-        entry = self.spark.createDataFrame([(version, batch, pieces)], _LOG_DDL)
-        entry.coalesce(1).write.mode("append").json(self._log)
+        entry = self.spark.createDataFrame([(version, batch, fields.json(), pieces)], _ENTRY_DDL)
+        entry.coalesce(1).write.json(f"{self._log}/{version:012d}~{batch or ''}")
         return version
 
     def commit(self, df: DataFrame, batch: str | None = None) -> int:
         """Make ``df`` the whole content of the next version."""
-        return self._write(df, [], batch, self.version + 1)
+        return self._write(df, [], batch, self._latest())
+
+    def compact(self) -> int:
+        """Rewrite the months that are held in more than one piece; returns the current version."""
+        latest = self._latest()
+        parts = [p["part"] for p in latest["pieces"]]
+        many = {p for p in parts if parts.count(p) > 1}
+        if not many:
+            return latest["version"]
+        rows = self._load(latest, [p for p in latest["pieces"] if p["part"] in many]).drop(_PART)
+        return self._write(rows, [p for p in latest["pieces"] if p["part"] not in many], None, latest)
 
-    def merge(self, new: DataFrame, key: str, order_by: Sequence[Column], batch: str | None = None) -> int:
+    def merge(self, new: DataFrame, key: str, order_by: Sequence[Column], batch: str | None = None,
+              keep: str = "new") -> int:
         """Commit the table with ``new`` upserted by ``key``; returns the current version.
 
         The batch is computed once and written aside. Its keys then find the
         months that hold a replaced row; those are rewritten, and the new rows
-        land beside all others. An unnamed empty batch commits nothing.
+        land beside all others. With ``keep="first"`` the first by ``order_by`` of
+        the old and the new row stays. Rows without a key are kept once each. An
+        unnamed empty batch commits nothing.
         """
-        winners = deduplicate(new, key, order_by)
         latest = self._latest()
+        winners = without_repeated_keyless(deduplicate(new, key, order_by), key)
         if latest is None:
-            return self.commit(winners, batch)
-        winners.write.mode("overwrite").parquet(self._incoming)
-        winners = self.spark.read.schema(new.schema).parquet(self._incoming)
+            return self._write(winners, [], batch, None)
+        _union(T.StructType.fromJson(json.loads(latest["fields"])), new.schema)
+        aside = f"{self._incoming}/{uuid.uuid4().hex}"
+        winners.write.parquet(aside)
+        winners = self.spark.read.schema(new.schema).parquet(aside)
         if batch is None and winners.isEmpty():
             return latest["version"]
-        pieces = latest["pieces"]
+        keys = winners.select(F.col(key).alias("_key")).distinct()
         # At most one row per calendar month.
-        replaced = (
-            self._load(pieces).join(winners.select(key), key, "left_semi").select(_PART).distinct().collect()
-        )
-        parts = [p["part"] for p in pieces]
-        touched = {r[_PART] for r in replaced} | {p for p in parts if parts.count(p) >= _MAX_PIECES}
+        replaced = self._load(latest).join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+        touched = {r[_PART] for r in replaced.select(_PART).distinct().collect()}
         if touched:
-            changed = self._load([p for p in pieces if p["part"] in touched]).drop(_PART)
-            winners = without_keys(changed, winners, key).unionByName(winners)
-        kept = [p for p in pieces if p["part"] not in touched]
-        return self._write(winners, kept, batch, latest["version"] + 1)
+            changed = self._load(latest, [p for p in latest["pieces"] if p["part"] in touched]).drop(_PART)
+            if keep == "first":
+                winners = first_of_both(changed, winners, key, order_by)
+            merged = without_keys(changed, winners, key).unionByName(winners, allowMissingColumns=True)
+            winners = without_repeated_keyless(merged, key)
+        kept = [p for p in latest["pieces"] if p["part"] not in touched]
+        return self._write(winners, kept, batch, latest)
+

@@ -165,3 +165,10 @@ def test_landed_resources_flatten_the_same(resources, rows, tmp_path):
     landed = bundles.land_resources(resources, str(tmp_path / "resources"))
     for table in TABLES:
         assert rows(flatten(landed, table)) == rows(flatten(resources, table))
+
+
+def test_landing_fewer_types_again_leaves_no_old_rows(resources, tmp_path):
+    path = str(tmp_path / "resources")
+    bundles.land_resources(resources, path)
+    again = bundles.land_resources(resources.where("resource_type = 'Patient'"), path)
+    assert {r[0] for r in again.select("resource_type").distinct().collect()} == {"Patient"}

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from carelattice.plans import catalog
+from carelattice.harness import catalog
 from tests.compare import connect, difference
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()

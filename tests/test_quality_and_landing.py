@@ -1,11 +1,15 @@
+import random
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from carelattice.operators.quality import Check, QualityError, require, run_checks
-from carelattice.plans import bindings, checks, refresh
+from carelattice.harness import bindings, catalog
+from carelattice.plans import checks, enrichment, marts, refresh
 from carelattice.schemas import TABLES
 from carelattice.sources import landing, registry
+from carelattice.sources.snapshots import SnapshotTable
 from carelattice.streaming import ingest
 
 
@@ -61,10 +65,10 @@ def test_landing_round_trip(spark, rows, tmp_path, fmt):
     root = str(tmp_path)
     for day in (date(2024, 6, 7), date(2024, 6, 7), date(2024, 11, 8)):
         landing.land(awkward(spark), root, "claim", day, fmt)
-    everything = landing.read_landed(spark, root, "claim", fmt=fmt)
+    everything = landing.read_landed(spark, root, "claim", fmt=fmt, multiline=True)
     assert rows(everything.select("year", "month", "day").distinct()) == [("2024", "06", "07"), ("2024", "11", "08")]
     assert everything.count() == 6
-    one = landing.read_landed(spark, root, "claim", date(2024, 6, 7), fmt)
+    one = landing.read_landed(spark, root, "claim", date(2024, 6, 7), fmt, multiline=True)
     assert tuple(one.columns) == TABLES["claim"].columns
     empty = None if fmt == "csv" else ""
     expected = [(a, empty if b == "" else b, c) for a, b, c in AWKWARD]
@@ -85,20 +89,81 @@ def test_registry(spark, rows, tmp_path):
     assert set(dict(registry.as_text(spark.range(1).selectExpr(*[f"id as {c}" for c in TABLES["claim"].columns]), "claim").dtypes).values()) == {"string"}
 
 
+def test_empty_day_replaces_a_day(spark, tmp_path):
+    for fmt in ("csv", "parquet"):
+        root = str(tmp_path / fmt)
+        landing.land(awkward(spark), root, "claim", date(2024, 6, 7), fmt)
+        landing.land(awkward(spark).limit(0), root, "claim", date(2024, 6, 7), fmt)
+        assert landing.read_landed(spark, root, "claim", date(2024, 6, 7), fmt).count() == 0
+
+
+def test_one_day_reads_one_folder(spark, sf_dir, tmp_path):
+    claim = bindings.raw(spark, sf_dir, "claim")
+    for day in (7, 8):
+        landing.land(claim, str(tmp_path), "claim", date(2024, 6, day))
+    one = landing.read_landed(spark, str(tmp_path), "claim", date(2024, 6, 8))
+    assert all("day=08" in f for f in one.inputFiles()) and one.count() == claim.count()
+
+
+def test_scans_equal_formed_models(spark, sf_dir):
+    """Checks of the enriched models by counts give what the formed models give."""
+    raw = {n: bindings.raw(spark, sf_dir, n) for n in TABLES}
+    staged = {n: bindings.staged(spark, sf_dir, n) for n in TABLES}
+    formed = {n: enrichment.model(n, staged) for n in {c.table for c in checks.ENRICHED_CHECKS}}
+    plain = run_checks(formed, checks.ENRICHED_CHECKS)
+    counted = run_checks(checks.source_scans(raw, bindings.AS_OF), checks.ENRICHED_CHECKS)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, counted.collect()))
+    plan = run_checks(checks.source_scans(raw, bindings.AS_OF), checks.ALL_CHECKS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 40
+
+
 def test_refresh_twice(spark, sf_dir, rows, tmp_path):
     raw = {n: bindings.raw(spark, sf_dir, n) for n in TABLES}
-    first = refresh.refresh(spark, raw, str(tmp_path), bindings.AS_OF, "year")
+    args = (spark, raw, str(tmp_path), bindings.AS_OF, "year", catalog.REPEATED_RAW_KEYS)
+    first = refresh.refresh(*args)
     marts = {n: rows(df) for n, df in first.marts.items()}
-    second = refresh.refresh(spark, raw, str(tmp_path), bindings.AS_OF, "year")
+    second = refresh.refresh(*args)
     assert {n: rows(df) for n, df in second.marts.items()} == marts
+    assert second.report.count() == 67
     unique = [r for r in second.report.collect() if r["check_name"] == "unique"]
     assert {r["table_name"] for r in unique if r["failures"]} == {
-        "raw_condition", "raw_procedure", "raw_medication_request"}
+        "raw_condition", "raw_procedure", "raw_medication_request", "encounter_claim", "medication_condition"}
 
 
-def test_stream_replay_and_lost_checkpoint(spark, sf_dir, tmp_path):
-    from carelattice.sources.snapshots import SnapshotTable
+def test_refresh_stops_before_the_marts(spark, sf_dir, tmp_path):
+    raw = {n: bindings.raw(spark, sf_dir, n) for n in TABLES}
+    with pytest.raises(QualityError, match="raw_condition.condition_id unique"):
+        refresh.refresh(spark, raw, str(tmp_path), bindings.AS_OF, "year")
+    assert (tmp_path / "report").exists() and not (tmp_path / "marts").exists()
+
+
+def test_late_moved_and_repeated_visits(spark, rows, tmp_path):
+    """The flags of a stream are those of the batch over the last copy of every visit."""
+    rng = random.Random(3)
+    columns = TABLES["encounter"].columns
+    table = SnapshotTable(spark, str(tmp_path), "visits", "start_date")
+    model: dict[str, tuple] = {}
+    for day in range(1, 5):
+        batch = {}
+        for _ in range(60):
+            e = f"e{rng.randrange(120)}"
+            start = None if rng.random() < 0.05 else f"2024-{rng.randrange(1, 13):02d}-{rng.randrange(1, 28):02d} 10:00:00"
+            batch[e] = (e, rng.choice(["p1", "p2", "p3", None]), "kind", start)
+        model |= batch
+        wide = [dict.fromkeys(columns) | dict(zip(("encounter_id", "patient_id", "encounter_type", "start_date"), v))
+                for v in batch.values()]
+        raw = spark.createDataFrame([tuple(w[c] for c in columns) for w in wide], TABLES["encounter"].raw_schema)
+        landing.land(raw, f"{tmp_path}/landed", "encounter", date(2024, 6, day), "parquet")
+        ingest.flag_readmissions_available(ingest.landed_stream(spark, f"{tmp_path}/landed", "encounter"), table,
+                                           f"{tmp_path}/checkpoint", bindings.AS_OF)
+        visits = spark.createDataFrame(list(model.values()), "encounter_id string, patient_id string, "
+                                       "encounter_type string, start_date string").withColumn(
+            "start_date", F.col("start_date").cast("timestamp_ntz"))
+        want = rows(marts.readmission_flags(visits), *table.read().columns)
+        assert rows(table.read()) == want, day
 
+
+def test_stream_replay_and_lost_checkpoint(spark, sf_dir, tmp_path):
     root = str(tmp_path)
     landing.land(bindings.raw(spark, sf_dir, "claim"), f"{root}/landed", "claim", date(2024, 6, 7), "parquet")
     table = SnapshotTable(spark, root, "claim")
@@ -114,4 +179,5 @@ def test_stream_replay_and_lost_checkpoint(spark, sf_dir, tmp_path):
         (tmp_path / "one" / "commits" / name).unlink()
     assert run("one") == 1  # a batch that died after its merge is replayed and skipped
     assert run("two") == 2  # a new checkpoint reads everything again, to the same table
+    assert not table.has_batch("x") and len(table._entries()) == 2
     assert table.read().count() == 1500

@@ -1,4 +1,4 @@
-"""Salted routes give what the plain join and window give."""
+"""Split routes give what the plain join and window give."""
 
 import random
 from datetime import datetime, timedelta
@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelattice.operators import skew
-from carelattice.operators.enrich import JoinSpec, enrich
+from carelattice.operators.enrich import JoinSpec, enrich, fan_out
 from carelattice.operators.visits import with_visit_gap
 
 
@@ -22,46 +22,47 @@ def sides(spark):
     )
 
 
-def heavy(spark, *keys):
-    df = spark.createDataFrame([(k,) for k in keys], "k string")
-    return skew.Heavy(frozenset(r[0] for r in df.select(skew.key_hash(["k"])).collect()), 4)
-
-
-@pytest.mark.parametrize("left_heavy, right_heavy", [
-    ((), ()), (("a", None), ()), ((), ("b",)), (("a", "b"), ("b", "c")),
-    (("k1", "zz"), ("a", "zz", "k2")),
-])
-def test_any_routing_gives_the_left_join(spark, sides, rows, left_heavy, right_heavy):
+@pytest.mark.parametrize("rows_per_task", [1, 7, 100, 4_000_000])
+def test_any_target_gives_the_left_join(sides, rows, rows_per_task):
     left, right = sides
     expected = rows(left.join(right, "k", "left"), "k", "l", "r")
-    found = skew.balanced_left_join(
-        left, right, ["k"], heavy(spark, *left_heavy), heavy(spark, *right_heavy)
-    )
-    assert rows(found, "k", "l", "r") == expected
+    cells = skew.heavy_cells(left, [right], ["k"], rows_per_task)
+    assert rows(skew.balanced_left_join(left, right, ["k"], cells), "k", "l", "r") == expected
 
 
-def test_heavy_keys_are_found(spark, sides):
+def test_cells_follow_the_product(sides):
     left, right = sides
-    inputs = {"l": (left, ["k"]), "r": (right, ["k"])}
-    for merges in (None, 3):
-        found = skew.heavy_keys(inputs, share=0.2, min_rows=1, merges=merges)
-        assert found["l"].hashes == heavy(spark, "a").hashes and found["l"].fan == 2
-        assert found["r"].hashes == heavy(spark, "b").hashes
-    assert skew.heavy_keys({"l": (left, ["k"])}, share=0.2, min_rows=601) == {"l": skew.NONE}
+    n = {r["k"]: r["count"] for r in left.groupBy("k").count().collect()}
+    m = {r["k"]: r["count"] for r in right.where("k is not null").groupBy("k").count().collect()}
+    cells = {r["_heavy_k"]: (r["_a1"], r["_b1"]) for r in skew.heavy_cells(left, [right], ["k"], 50).collect()}
+    assert set(cells) == {k for k in n if n[k] * max(1, m.get(k, 0)) > 50}
+    for k, (a, b) in cells.items():
+        assert n[k] / a * max(1, m.get(k, 1) / b) <= 50 * 1.01
+    assert cells["a"][1] == 1 and cells["b"][0] > 1 and cells["b"][1] > 1
+    assert skew.heavy_cells(left, [right], ["k"]).count() == 0
 
 
-def test_enrich_chain_with_heavy_keys(spark, sides, rows):
+def test_enrich_chain_with_heavy_keys(sides, rows):
     left, right = sides[0].where("l < 90"), sides[1].where("r < 80")
     third = right.select("k", (F.col("r") * 2).alias("s")).where("s % 3 = 0")
     specs = [JoinSpec(right, ("k",), ("r",)), JoinSpec(third, ("k",), ("s",), {"s": "t"})]
-    plain = enrich(left, specs, balance=False)
-    split = enrich(left, specs, share=0.05, min_rows=1)
-    assert split.columns == plain.columns == ["k", "l", "r", "t"]
     expected = left.join(right, "k", "left").join(third.withColumnRenamed("s", "t"), "k", "left")
-    assert rows(plain) == rows(split) == rows(expected, "k", "l", "r", "t")
+    kept = {("k",): skew.heavy_cells(left, [right, third], ["k"], 20)}
+    for options in ({}, {"rows_per_task": 5}, {"cells": kept}):
+        found = enrich(left, specs, **options)
+        assert found.columns == ["k", "l", "r", "t"]
+        assert rows(found) == rows(expected, "k", "l", "r", "t")
+    counted = fan_out(left, specs)
+    assert rows(counted, "k", "l", "_rows") == rows(expected.groupBy("k", "l").count())
+
+
+def test_plan_splits_and_forms_no_job(spark, sides):
+    left, right = sides
+    plan = enrich(left, [JoinSpec(right, ("k",), ("r",))])._jdf.queryExecution().executedPlan().toString()
+    assert "_i" in plan and "_j" in plan and "BroadcastExchange" in plan
 
 
-def test_enrich_refuses_duplicate_names(spark, sides):
+def test_enrich_refuses_duplicate_names(sides):
     left, right = sides
     with pytest.raises(ValueError, match="duplicate output columns: l"):
         enrich(left, [JoinSpec(right, ("k",), ("r",), {"r": "l"})])
@@ -79,12 +80,12 @@ def test_visit_gap_of_heavy_patients(spark, rows):
     for i in range(900):
         patient = "hot" if i % 3 == 0 else None if i % 10 == 0 else f"p{rng.randrange(30)}"
         start = None if i % 50 == 0 else datetime(2020, 1, 1) + timedelta(hours=rng.randrange(24 * 60))
-        # Some visits come twice.
-        data += [(patient, f"e{i:04d}", start)] * (1 + (i % 13 == 0))
+        # Some visits come twice, one often.
+        data += [(patient, f"e{i:04d}", start)] * (1 + (i % 13 == 0) + 40 * (i in (3, 100)))
     visits = spark.createDataFrame(data, "p string, e string, s timestamp_ntz").repartition(4)
-    plain = with_visit_gap(visits, "p", "s", ["e"], balance=False)
-    split = with_visit_gap(visits, "p", "s", ["e"], share=0.001, min_rows=1)
-    assert rows(split) == rows(plain)
+    plain = with_visit_gap(visits, "p", "s", ["e"])
+    for rows_per_task in (1, 50):
+        assert rows(with_visit_gap(visits, "p", "s", ["e"], rows_per_task=rows_per_task)) == rows(plain)
 
     # Brute force over the rows in order.
     last, expected = {}, []
