@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carelattice.llm import decontaminate, language_id, packing, pii, simhash
-from carelattice.llm.common import table, written
+from carelattice.llm.common import table, unused_name, written
 from carelattice.llm.queries import tokenizer_path
 
 # The stages learn, link and pack whole corpora; no SQL expresses them.
@@ -32,9 +32,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     classes = simhash.simhash_classes(docs, shingle=4, max_bits=4)
     kept = classes.where(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id")).distinct()
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    number = unused_name(docs, "row")
     first = (
-        docs.join(kept, "doc_id", "left_semi").withColumn("_row", F.row_number().over(order))
-        .where("_row = 1").select(*docs.columns)
+        docs.join(kept, "doc_id", "left_semi").withColumn(number, F.row_number().over(order))
+        .where(F.col(number) == 1).select(*docs.columns)
     )
     return first.unionByName(docs.where("doc_id is null"))
 

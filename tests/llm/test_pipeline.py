@@ -65,3 +65,12 @@ def test_run_and_empty_input(spark, sf_dir):
         out = stage(spark, docs, sf_dir)
         assert out.collect() == []
         docs = out if "text" in out.columns else docs
+
+
+def test_extra_columns_keep_their_values(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").limit(40).selectExpr(
+        "*", *[f"concat('x', doc_id) as `{c}`" for c in ("row", "_row", "text_key", "bad_id", "score", "id", "spans")])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.where("row <> concat('x', doc_id) or _row <> row or text_key <> row or spans <> row").count() == 0
+    assert docs.count() > 10
