@@ -25,7 +25,7 @@ _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 WINDOW = 13
 # Posting lists intersected per window.
-RAREST = 3
+RAREST = 2
 # Windows per block: with 13 words of some 10 bytes and their places, about 60 MB at most.
 BLOCK_WINDOWS = BROADCAST_ROWS
 
@@ -90,22 +90,30 @@ def postings(corpus: DataFrame, terms: DataFrame, reach: int = WINDOW) -> DataFr
 
 def _placed(index: DataFrame, chosen: DataFrame) -> DataFrame:
     """Offset-adjusted posting lists: where a phrase would start, by each of its terms."""
-    return index.join(F.broadcast(chosen), "term").withColumn("start", F.col("pos") - F.col("offset")).where(
-        "start >= 0")
+    return index.join(F.broadcast(chosen), "term").withColumn("start", F.col("pos") - F.col("offset"))
 
 
 def exact_matches(index: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(doc_id, text_key, start, phrase) of every place where a phrase stands word by word."""
-    placed = _placed(index, chosen)
-    here = F.slice("around", F.col("back") - F.col("offset") + 1, F.size("phrase"))
-    # The rarest list leads; a place must be in all the others, and read as the phrase does.
-    leads = placed.where((F.col("rank") == 1) & (F.col("back") >= F.col("offset")))
-    same = ["doc_id", "text_key", "start", "phrase"]
-    others = placed.where("rank > 1").select(*same, F.lit(0).alias("lead"), "lists")
-    both = leads.where(here == F.col("phrase")).select(*same, F.lit(1).alias("lead"), "lists").unionByName(others)
+    """(doc_id, text_key, start, phrase) of every place where a phrase stands word by word.
+
+    A place is in all posting lists of the phrase's rarest terms once these are
+    shifted by their offsets. List entries without the rarest term at its place, or
+    with other words than the phrase around them, are dropped before lists meet.
+    """
+    lead = chosen.where("rank = 1").select(
+        "phrase", F.col("term").alias("lead"), F.col("offset").alias("lead_offset"))
+    lists = chosen.join(F.broadcast(lead), "phrase")
+    at = F.col("back") - F.col("offset")
+    placed = (
+        _placed(index, lists)
+        .where("start >= 0")
+        .where(F.get("around", at + F.col("lead_offset")) == F.col("lead"))
+        .where(F.slice("around", F.greatest(at + 1, F.lit(1)), F.size("phrase")) == F.col("phrase"))
+    )
     return (
-        both.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.max("lists").alias("lists"), F.max("lead").alias("lead"))
-        .where("lead = 1 and n >= lists").select(*same)
+        placed.groupBy("doc_id", "text_key", "start", "phrase")
+        .agg(F.count_distinct("rank").alias("met"), F.max("lists").alias("lists"))
+        .where("met = lists").select("doc_id", "text_key", "start", "phrase")
     )
 
 
