@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +18,28 @@ from carelattice.session import work_path
 BROADCAST_ROWS = 200_000
 
 
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the session was started.
+
+    Spark sends the archive to the executors, once per application. Where the
+    package is installed on the cluster or given as ``--py-files`` this is not needed.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).parents[1]
+    folder = tempfile.TemporaryDirectory(prefix="package-", ignore_cleanup_errors=True)
+    archive = Path(folder.name) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped[application] = folder
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

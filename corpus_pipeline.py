@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carelattice.llm import decontaminate, language_id, packing, pii, simhash
-from carelattice.llm.common import table, unused_name, written
+from carelattice.llm.common import ship_package, table, unused_name, written
 from carelattice.llm.queries import tokenizer_path
 
 # The stages learn, link and pack whole corpora; no SQL expresses them.
@@ -19,6 +19,7 @@ ORACLE_SQL = None
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose language is found; texts that are NULL or have no letter go."""
+    ship_package(spark)
     known = language_id.profiles(language_id.training_rows(docs))
     return language_id.identified(docs, known)
 
@@ -29,6 +30,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows that share an id are one document, and one of them stays; rows with a
     NULL id cannot be told apart and all stay.
     """
+    ship_package(spark)
     classes = simhash.simhash_classes(docs, shingle=4, max_bits=4)
     kept = classes.where(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id")).distinct()
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
@@ -50,12 +52,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with personal data replaced by its kind."""
+    ship_package(spark)
     clean = pii.mask(docs, pii.learn_patterns(docs))
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
+    ship_package(spark)
     return packing.pack(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
