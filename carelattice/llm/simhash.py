@@ -190,6 +190,7 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = roots.join(least, roots.node == least.fingerprint).select("fingerprint", "root", "least")
     smallest = linked.groupBy("root").agg(F.min("least").alias("smallest"))
     smallest = linked.join(smallest, "root").select("fingerprint", "smallest")
-    labels = least.join(smallest, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("smallest", "least").alias("component_id"))
+    # Written, so that the last join stands alone and a crowd of copies can be split in it.
+    labels = written(least.join(smallest, "fingerprint", "left").select(
+        "fingerprint", F.coalesce("smallest", "least").alias("component_id")), "labels")
     return prints.join(labels, "fingerprint").select("id", "fingerprint", "component_id")
