@@ -1,6 +1,7 @@
 """Quality classifier: a support vector machine over naive Bayes features.
 
-A text is the set of its hashed character n-grams. Each n-gram is scaled by the
+A text is the set of its hashed character n-grams, and of levels of how often a word
+follows itself (the word bigrams of equal words, taken as one). Each n-gram is scaled by the
 log-ratio of its frequency in good and bad texts, texts are brought to unit
 length, and a linear hinge-loss model is fitted by dual coordinate descent. A
 logistic curve over margins of texts not fitted on turns margins into scores.
@@ -11,6 +12,7 @@ of their id, and is a table of ``BUCKETS`` weights; every text is scored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -27,6 +29,7 @@ BITS = 18
 BUCKETS = 1 << BITS
 NGRAMS = (1, 2, 3)
 _STEP = 1 << 20
+_WORD = re.compile(r"\S+")
 # One row in this many of the sample sets the logistic curve instead of the weights.
 _CALIBRATION = 5
 
@@ -53,7 +56,22 @@ def features(text: str | None) -> np.ndarray:
                 mixed = (mixed ^ codes[k:len(codes) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
                 mixed ^= mixed >> np.uint64(29)
             found.append((mixed >> np.uint64(64 - BITS)).astype(np.int32))
-    return np.unique(np.concatenate(found)) if found else np.empty(0, np.int32)
+    found.append(_repetition(text))
+    return np.unique(np.concatenate(found)) if text else np.empty(0, np.int32)
+
+
+def _repetition(text: str) -> np.ndarray:
+    """Buckets for the number, in powers of two, and the tenths of words equal to the one before."""
+    repeats = words = 0
+    last = None
+    for match in _WORD.finditer(text):
+        word = match[0]
+        repeats += word == last
+        words += 1
+        last = word
+    levels = [*range(repeats.bit_length()), *range(100, 100 + 10 * repeats // max(words, 1))]
+    mixed = (np.array(levels, np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+    return (mixed >> np.uint64(64 - BITS)).astype(np.int32)
 
 
 @dataclass(frozen=True)
