@@ -257,9 +257,10 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _profile, f"doc_id {kind}, text_key bigint, n_words bigint, whole binary, sha256 string, keys array<bigint>"),
         "profiles")
     named = profiles.where("doc_id is not null")
-    first = named.groupBy("whole").agg(F.min("doc_id").alias("first_id"))
-    known = written(named.where(F.col("n_words") >= WINDOW).join(first, "whole").select(
-        "doc_id", "text_key", (F.col("doc_id") == F.col("first_id")).alias("is_first"), "keys"), "originals")
+    # Joined by text and id together, which spreads a crowd of copies.
+    first = named.groupBy("whole").agg(F.min("doc_id").alias("doc_id")).withColumn("is_first", F.lit(True))
+    known = written(named.where(F.col("n_words") >= WINDOW).join(first, ["whole", "doc_id"], "left").select(
+        "doc_id", "text_key", F.coalesce("is_first", F.lit(False)).alias("is_first"), "keys"), "originals")
     originals = known.where("is_first").select("doc_id", "text_key", "keys").dropDuplicates(["doc_id", "text_key"])
     keys = originals.select("doc_id", "text_key", F.explode("keys").alias("key"))
     lists = written(repeated_keys(keys).groupBy("doc_id", "text_key").agg(F.collect_list("key").alias("keys")), "keys")
