@@ -10,9 +10,11 @@ only if the query lies further than the search radius beyond the plane between t
 list's centroid and another. A coded vector is skipped only if its table distance
 exceeds the radius by more than its own coding error, which is stored.
 
-Equal vectors are merged before the search, and lists are cut into blocks of rows,
-so a task holds one block and streams its queries. Per query and block one count
-goes out, and of the links only a spanning forest.
+Equal vectors are merged before the search. Both bounds hold for a pair from either
+side, so a query only visits its own list and later ones, and a link found in a later
+list counts for both. Lists are cut into blocks of rows, so a task holds one block and
+streams its queries. Per vector and block one count goes out, and of the links only a
+spanning forest.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from carelattice.llm.components import connected_components
 
 # The index is fitted on about this many distinct vectors, chosen by hash; all are indexed.
 SAMPLE = 20_000
-LISTS = 32
+LISTS = 16
 SUBSPACES = 8
 CODES = 64
 # Vectors of a list held by a task, and queries compared with them at once.
@@ -149,7 +151,7 @@ def _search(index: Index, width: int, cosine: float):
         held: list[tuple[np.ndarray, ...]] = []
         block: tuple[np.ndarray, ...] | None = None
 
-        def compare(ids: np.ndarray, raw: np.ndarray, one: int) -> pa.RecordBatch:
+        def compare(ids: np.ndarray, raw: np.ndarray, times: np.ndarray, away: np.ndarray, one: int) -> pa.RecordBatch:
             own, copies, theirs, codes, errors = block
             units = _unit(raw)
             near = np.sqrt(index.table_distances(units, one, codes)) <= radius + errors[None, :] + _SLACK
@@ -158,14 +160,17 @@ def _search(index: Index, width: int, cosine: float):
             cosines = (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
             linked = cosines >= cosine
             q, x = q[linked], x[linked]
+            both = away[q]
             counts = np.bincount(q, copies[x], len(ids)).astype(np.int64)
+            back = np.bincount(x[both], times[q[both]], len(own)).astype(np.int64)
+            named, counts = np.concatenate([ids, own]), np.concatenate([counts, back])
             some = np.flatnonzero(counts)
             if len(parent) > _JOINED:  # costs only some repeated links
                 parent.clear()
             edges = np.array(_forest(np.stack([ids[q], own[x]], axis=1), parent), np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([ids[some], edges[:, 0]])),
-                pa.array(np.concatenate([ids[some], edges[:, 1]])),
+                pa.array(np.concatenate([named[some], edges[:, 0]])),
+                pa.array(np.concatenate([named[some], edges[:, 1]])),
                 pa.array(np.concatenate([counts[some], np.zeros(len(edges), np.int64)]))], names=["a", "b", "links"])
 
         for batch in by_record(batches, 4 * _QUERIES):
@@ -184,8 +189,10 @@ def _search(index: Index, width: int, cosine: float):
                 if block is None and held:
                     block = tuple(np.concatenate(x) for x in zip(*held))
                 if block is not None:
+                    times, away = part.column("copies").to_numpy(), part.column("own").to_numpy() != where[1]
                     for i in range(0, len(ids), _QUERIES):
-                        yield compare(ids[i:i + _QUERIES], raw[i:i + _QUERIES], where[1])
+                        some = slice(i, i + _QUERIES)
+                        yield compare(ids[some], raw[some], times[some], away[some], where[1])
 
     return run
 
@@ -231,7 +238,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, sample: int = SAMP
         for batch in by_record(batches):
             units = _unit(_matrix(batch.column("embedding"), width))
             found, codes, errors = index.encode(units)
-            probes = index.probes(units, radius)
+            probes = index.probes(units, radius) & (np.arange(len(index.centres)) >= found[:, None])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()),
                  pa.array(errors), pa.array([np.flatnonzero(p).astype(np.int32) for p in probes], pa.list_(pa.int32()))],
@@ -244,11 +251,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, sample: int = SAMP
                    "codes binary, error double, probes array<int>"), "coded-vectors")
     cell = ["label", "dims", "list"]
     sizes = coded.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    stored = coded.drop("probes").join(sizes, cell).withColumn(
+    stored = coded.drop("probes").withColumn("own", F.col("list")).join(sizes, cell).withColumn(
         "block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    asked = coded.withColumn("list", F.explode("probes")).join(sizes, cell).withColumn(
+    asked = coded.withColumn("own", F.col("list")).withColumn("list", F.explode("probes")).join(sizes, cell).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    names = ["home", "list", "block", "kind", "cid", "copies", "embedding", "codes", "error"]
+    names = ["home", "list", "block", "kind", "cid", "copies", "own", "embedding", "codes", "error"]
     home = F.concat_ws(":", F.col("dims").cast("string"), F.col("label").cast("string")).alias("home")
     both = stored.select(home, F.lit(0).alias("kind"), *[c for c in names if c not in ("home", "kind")]).select(*names).unionByName(
         asked.select(home, F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("codes"),
