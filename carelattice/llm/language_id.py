@@ -38,7 +38,7 @@ def _letters() -> np.ndarray:
 
 @cache
 def _letter_vector(code: int, dims: int) -> np.ndarray:
-    return np.random.default_rng(code).choice(np.array([-1, 1], np.float32), dims)
+    return np.random.default_rng(code).choice(np.array([-1, 1], np.int8), dims)
 
 
 def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +87,7 @@ class Encoder:
         self.dims = dims
         self.keys = np.empty(0, np.uint64)
         self.rows = np.empty(0, np.int64)
-        self.vectors = np.empty((0, dims), np.float32)
+        self.vectors = np.empty((_KEPT, dims), np.int8)
 
     def _bound(self, key: int) -> np.ndarray:
         first, second, third = key >> 42, key >> 21 & 0x1FFFFF, key & 0x1FFFFF
@@ -105,8 +105,8 @@ class Encoder:
                 self.__init__(self.dims)
                 missing = keys
             fresh = np.stack([self._bound(k) for k in missing.tolist()])
-            rows = np.arange(len(missing)) + len(self.vectors)
-            self.vectors = np.concatenate([self.vectors, fresh])
+            rows = np.arange(len(missing)) + len(self.keys)
+            self.vectors[rows] = fresh
             keys_now = np.concatenate([self.keys, missing])
             order = np.argsort(keys_now)
             self.keys, self.rows = keys_now[order], np.concatenate([self.rows, rows])[order]
@@ -118,7 +118,7 @@ class Encoder:
         for at in range(0, len(keys), _AT_ONCE):
             part = slice(at, at + _AT_ONCE)
             rows = self._at(keys[part])
-            total += counts[part].astype(np.float32) @ self.vectors[rows]
+            total += counts[part].astype(np.float32) @ self.vectors[rows].astype(np.float32)
         return total
 
 
