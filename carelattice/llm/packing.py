@@ -30,18 +30,32 @@ TIERS = (512, 1024, 2048, 4096)
 WAITING = 256
 GROUP_TOKENS = 32_768
 _SEPARATOR = "<|endoftext|>"
-# Distinct words remembered per worker, and words given to the tokenizer at once.
-_WORDS = 1_000_000
+# Characters that form a unit of their own after a word.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+# Words and encoded roots remembered per worker, and words given to the tokenizer at once.
+_WORDS = 400_000
+_ROOTS = 800_000
 _AT_ONCE = 500
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin characters stand for themselves, other bytes follow from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class WordEncoder:
     """Token ids of texts under a tokenizer whose tokens never cross white space.
 
     Such a tokenizer encodes a text as the sequence of its words, so the ids of a
-    word are looked up once and remembered. New words are encoded together,
-    separated by a special token. Latin words that differ only in case or in a
-    final stop share an entry, as this tokenizer lower-cases and splits stops off.
+    word are looked up once and remembered. This tokenizer lower-cases, takes a run of
+    letters as one unit and a run of marks as another, so Latin words that differ only
+    in case or in the marks after them share an entry and go to its merges directly.
+    Other new words are encoded together, separated by a special token.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,48 +64,68 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.separator = self.tokenizer.token_to_id(_SEPARATOR)
         self.known: dict[bytes, bytes] = {}
-        self.roots: dict[str, bytes] = {}
-        self.tails = {c: self._alone(c) for c in ",."}
+        self.roots: dict[bytes, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
 
     def _alone(self, word: str) -> bytes:
         return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, words: Iterable[bytes]) -> None:
-        forms: list[tuple[bytes, str, str]] = []
-        wanted: set[str] = set()
-        for word in words:
-            root, tail = word.decode(), ""
-            if max(root) < "\u0100":
-                root = root.lower()
-                if root[-1] in ",." and root[:-1].isalpha():
-                    root, tail = root[:-1], root[-1]
-            forms.append((word, root, tail))
-            if root not in self.roots:
-                wanted.add(root)
-        plain = [w for w in wanted if "<|" not in w and "|>" not in w]
-        for root in wanted.difference(plain):
-            self.roots[root] = self._alone(root)
-        for at in range(0, len(plain), _AT_ONCE):
-            part = plain[at:at + _AT_ONCE]
-            [found] = self.tokenizer.encode_batch_fast([_SEPARATOR.join(part)], add_special_tokens=False)
+    def _encode_words(self, words: list[bytes]) -> Iterator[bytes]:
+        """Ids of each word, many words at a time behind separators."""
+        for at in range(0, len(words), _AT_ONCE):
+            joined = _SEPARATOR.join([w.decode() for w in words[at:at + _AT_ONCE]])
+            [found] = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)
             ids = np.array(found.ids, "<u4")
             cuts = np.flatnonzero(ids == self.separator)
             raw = ids.tobytes()
             starts = [0, *(4 * cuts + 4).tolist()]
             stops = [*(4 * cuts).tolist(), len(raw)]
-            self.roots.update((w, raw[s:e]) for w, s, e in zip(part, starts, stops))
-        for word, root, tail in forms:
-            self.known[word] = self.roots[root] + self.tails[tail] if tail else self.roots[root]
+            yield from [raw[s:e] for s, e in zip(starts, stops)]
+
+    def _learn(self, words: Iterable[bytes]) -> None:
+        known, roots, tails = self.known, self.roots, self.tails
+        merge = self.tokenizer.model.tokenize
+        others: list[bytes] = []
+        for word in words:
+            whole = word.decode()
+            text = whole.rstrip(_MARKS)
+            if max(whole) >= "\u0100" or not text.isalpha():
+                others.append(word)
+                continue
+            tail = whole[len(text):]
+            if tail not in tails:
+                tails[tail] = self._alone(tail)
+            text = text.lower()
+            root = text.encode()
+            if root not in roots:
+                # One run of letters is one unit for the merges; they see bytes as characters.
+                letters = text if text.isascii() else root.decode("latin-1").translate(_BYTE_LETTERS)
+                roots[root] = array("I", [t.id for t in merge(letters)]).tobytes()
+            known[word] = roots[root] + tails[tail]
+        strange = [w for w in others if b"<|" in w or b"|>" in w]
+        for word in strange:
+            known[word] = self._alone(word.decode())
+        plain = [w for w in others if w not in known]
+        known.update(zip(plain, self._encode_words(plain)))
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each UTF-8 text; NULL has none."""
         if len(self.known) > _WORDS:
             self.known.clear()
+        if len(self.roots) > _ROOTS:
             self.roots.clear()
+            self.tails = {"": b""}
         split = [t.split() if t else [] for t in texts]
-        self._learn(set().union(*split).difference(self.known))
-        look = self.known.__getitem__
-        return [b"".join(map(look, words)) for words in split]
+        found = [list(map(self.known.get, words)) for words in split]
+        gaps = [i for i, ids in enumerate(found) if None in ids]
+        missing: set[bytes] = set()
+        for i in gaps:
+            missing.update([w for w, ids in zip(split[i], found[i]) if ids is None])
+        self._learn(missing)
+        known = self.known
+        for i in gaps:
+            found[i] = [known[w] if ids is None else ids for w, ids in zip(split[i], found[i])]
+        return [b"".join(ids) for ids in found]
 
 
 _encoders: dict[str, WordEncoder] = {}
