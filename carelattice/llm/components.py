@@ -14,6 +14,20 @@ from pyspark.sql import functions as F
 
 from carelattice.llm.common import written
 
+# Parts over which the links of one node are spread in a join.
+SPREAD = 16
+
+
+def join_spread(many: DataFrame, few: DataFrame, key: str, by: str) -> DataFrame:
+    """``many`` joined to ``few``, which has one row per ``key``.
+
+    Rows of a key are dealt to ``SPREAD`` tasks by column ``by``, and the one row is
+    repeated for each: the smallest member of a large class holds most of its links.
+    """
+    parts = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part")
+    dealt = many.withColumn("part", F.pmod(F.xxhash64(by), F.lit(SPREAD)).cast("int"))
+    return dealt.join(few.select("*", parts), [key, "part"]).drop("part")
+
 
 def _least_neighbour(links: DataFrame) -> DataFrame:
     """Per node ``a`` the smaller of itself and its smallest neighbour ``b``."""
@@ -23,7 +37,7 @@ def _least_neighbour(links: DataFrame) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     return (
-        both.join(_least_neighbour(both), "a")
+        join_spread(both, _least_neighbour(both), "a", "b")
         .where((F.col("b") > F.col("a")) & (F.col("b") != F.col("m")))
         .select(F.col("b").alias("a"), F.col("m").alias("b"))
     )
@@ -32,7 +46,7 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     least = _least_neighbour(links)
     moved = (
-        links.join(least, "a").where(F.col("b") != F.col("m"))
+        join_spread(links, least, "a", "b").where(F.col("b") != F.col("m"))
         .select(F.col("b").alias("a"), F.col("m").alias("b"))
     )
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelattice.llm.common import by_record, written
-from carelattice.llm.components import connected_components
+from carelattice.llm.components import connected_components, join_spread
 
 # The index is fitted on about this many distinct vectors, chosen by hash; all are indexed.
 SAMPLE = 20_000
@@ -268,7 +268,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, sample: int = SAMP
     roots = connected_components(found.where("a <> b").select("a", "b"))
     linked = roots.join(distinct, roots.node == distinct.cid).select("cid", "root", "least")
     smallest = linked.groupBy("root").agg(F.min("least").alias("smallest"))
-    smallest = linked.join(smallest, "root").select("cid", "smallest")
+    smallest = join_spread(linked, smallest, "root", "cid").select("cid", "smallest")
     labels = (
         distinct.join(counts, "cid", "left").join(smallest, "cid", "left")
         .select("label", "embedding",

@@ -8,9 +8,10 @@ shuffle, and fingerprints meeting in a variant are verified and linked.
 The shuffle does not carry each of the 2,081 variants of a 64-bit fingerprint.
 Variants that agree in their first bits go to the same key, so one message per
 variant prefix suffices (211 for 20 bits), and the flips of the other bits are
-made where the message arrives. A key's messages are sorted out by Spark; a task
-holds those of one key (16 bytes per distinct fingerprint around that prefix) and
-splits them further, bit by bit, until the variants fit a fixed buffer.
+made where the message arrives. Around prefixes that very many fingerprints share
+(a crowd of near copies) keys are 12 bits longer. A key's messages are sorted out by
+Spark; a task holds those of one key (16 bytes each) and splits them further, bit by
+bit, until the variants fit a fixed buffer.
 """
 
 from __future__ import annotations
@@ -26,12 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelattice.llm.common import by_record, written
-from carelattice.llm.components import connected_components
+from carelattice.llm.components import connected_components, join_spread
 
 SEED = 42
 # Variants expanded at once in a task, and messages gathered before they are.
 _VARIANTS = 4_000_000
 _MESSAGES = 200_000
+# A prefix with more distinct fingerprints than this gets longer keys, by so many bits.
+CROWD = 100_000
+_MORE_BITS = 12
 
 
 def text_fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -125,7 +129,35 @@ def _meet(own: np.ndarray, variant: np.ndarray, used: np.ndarray, depth: int, ra
                 & (np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= 2 * radius)]
 
 
-def ball_links(prints: DataFrame, max_bits: int = 4, prefix_bits: int = 20) -> DataFrame:
+def _variants_of(masks: np.ndarray) -> F.Column:
+    return F.array(*[F.lit(int(m)).cast("bigint") for m in masks])
+
+
+def _messages(prints: DataFrame, radius: int, prefix_bits: int, crowd: int) -> DataFrame:
+    """(key, more, fingerprint): every fingerprint once per prefix of its variants.
+
+    ``more`` holds the bits after the prefix for keys around a crowded prefix, else -1.
+    There the message is repeated for the variants of these bits, as far as flips are left.
+    """
+    shift = 64 - prefix_bits
+    prefix = F.shiftrightunsigned("fingerprint", shift)
+    flips = _variants_of(_flips(prefix_bits, radius)[radius])
+    crowded = prints.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd)
+    around = written(
+        crowded.select(F.explode(flips).alias("flip"), "prefix")
+        .select(F.col("prefix").bitwiseXOR(F.col("flip")).cast("int").alias("key")).distinct(), "crowded-keys")
+    sent = prints.select(F.explode(flips).alias("flip"), "fingerprint").select(
+        prefix.bitwiseXOR(F.col("flip")).cast("int").alias("key"), F.bit_count("flip").alias("used"), "fingerprint")
+    own = F.shiftrightunsigned("fingerprint", shift - _MORE_BITS).bitwiseAND(F.lit((1 << _MORE_BITS) - 1))
+    left = F.lit(radius) - F.col("used")
+    masks = _flips(_MORE_BITS, radius)
+    longer = F.coalesce(*[F.when(left == k, _variants_of(masks[k])) for k in range(radius + 1)])
+    spread = F.transform(longer, lambda m: own.bitwiseXOR(m).cast("int"))
+    return sent.join(around.withColumn("is_crowded", F.lit(True)), "key", "left").select(
+        "key", F.explode(F.when(F.col("is_crowded"), spread).otherwise(F.array(F.lit(-1)))).alias("more"), "fingerprint")
+
+
+def ball_links(prints: DataFrame, max_bits: int = 4, prefix_bits: int = 20, crowd: int = CROWD) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints at most ``max_bits`` apart.
 
     ``prints`` has one column ``fingerprint`` of distinct longs. Per variant all
@@ -134,41 +166,45 @@ def ball_links(prints: DataFrame, max_bits: int = 4, prefix_bits: int = 20) -> D
     An odd ``max_bits`` uses the next larger ball, and links are verified.
     """
     radius = (max_bits + 1) // 2
-    shift = 64 - prefix_bits
-    flips = [int(m) for m in _flips(prefix_bits, radius)[radius]]
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, own = np.empty(0, np.uint64), np.empty(0, np.uint64)
-
-        def links(key: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
-            high = np.uint64(shift)
-            low = np.uint64((1 << shift) - 1)
-            used = np.bitwise_count((own >> high) ^ key).astype(np.int64)
-            variant = (key << high) | (own & low)
-            for pairs in _meet(own, variant, used, prefix_bits, radius, _VARIANTS):
+    def links(key: np.ndarray, more: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for longer in (False, True):
+            here = (more >= 0) == longer
+            depth = prefix_bits + _MORE_BITS * longer
+            low = np.uint64(64 - depth)
+            head = key[here].astype(np.uint64)
+            if longer:
+                head = (head << np.uint64(_MORE_BITS)) | more[here].astype(np.uint64)
+            mine = own[here]
+            used = np.bitwise_count((mine >> low) ^ head).astype(np.int64)
+            variant = (head << low) | (mine & np.uint64((1 << (64 - depth)) - 1))
+            for pairs in _meet(mine, variant, used, depth, radius, _VARIANTS):
                 pairs = pairs[np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= max_bits]
                 if len(pairs):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.ascontiguousarray(pairs[:, i]).view(np.int64)) for i in (0, 1)],
-                        names=["a", "b"])
+                        [pa.array(np.ascontiguousarray(pairs[:, i]).view(np.int64)) for i in (0, 1)], names=["a", "b"])
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        waiting, last = 0, None
         for batch in batches:
-            key = np.concatenate([key, batch.column(0).to_numpy().astype(np.uint64)])
-            own = np.concatenate([own, batch.column(1).to_numpy().view(np.uint64)])
-            if len(key) >= _MESSAGES:
-                cut = int(np.searchsorted(key, key[-1]))
-                if cut:
-                    yield from links(key[:cut], own[:cut])
-                    key, own = key[cut:], own[cut:]
-        yield from links(key, own)
+            columns = [batch.column(i).to_numpy() for i in range(2)] + [batch.column(2).to_numpy().view(np.uint64)]
+            place = (columns[0].astype(np.int64) << 32) + columns[1]
+            # Keys are complete up to the place where the batch's last key begins.
+            cut = int(np.searchsorted(place, place[-1]))
+            if waiting + cut >= _MESSAGES and (cut or place[0] != last):
+                held.append(tuple(c[:cut] for c in columns))
+                yield from links(*[np.concatenate(c) for c in zip(*held)])
+                held, waiting, columns = [], 0, [c[cut:] for c in columns]
+            held.append(tuple(columns))
+            waiting += len(columns[0])
+            last = place[-1]
+        if held:
+            yield from links(*[np.concatenate(c) for c in zip(*held)])
 
-    prefix = F.shiftrightunsigned("fingerprint", shift)
-    messages = prints.select(
-        F.explode(F.array(*[F.lit(m).cast("bigint") for m in flips])).alias("flip"), "fingerprint",
-    ).select(prefix.bitwiseXOR(F.col("flip")).cast("int").alias("key"), "fingerprint")
     return (
-        messages.repartition("key").sortWithinPartitions("key")
-        .mapInArrow(run, "a bigint, b bigint")
+        _messages(prints, radius, prefix_bits, crowd)
+        .repartition("key", "more").sortWithinPartitions("key", "more").mapInArrow(run, "a bigint, b bigint")
     )
 
 
@@ -189,7 +225,7 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # The smallest id is sought over the fingerprints that have links; others keep their own.
     linked = roots.join(least, roots.node == least.fingerprint).select("fingerprint", "root", "least")
     smallest = linked.groupBy("root").agg(F.min("least").alias("smallest"))
-    smallest = linked.join(smallest, "root").select("fingerprint", "smallest")
+    smallest = join_spread(linked, smallest, "root", "fingerprint").select("fingerprint", "smallest")
     # Written, so that the last join stands alone and a crowd of copies can be split in it.
     labels = written(least.join(smallest, "fingerprint", "left").select(
         "fingerprint", F.coalesce("smallest", "least").alias("component_id")), "labels")

@@ -58,9 +58,12 @@ def test_ball_links_connect_what_brute_force_connects(spark, monkeypatch):
     prints |= {near(base[0], 2, rng) for _ in range(150)}  # a crowd around one print
     want = brute(prints, 4)
     frame = spark.createDataFrame([(int(np.uint64(p).view(np.int64)),) for p in prints], "fingerprint bigint")
-    for limit, prefix in ((simhash._VARIANTS, 20), (3_000, 8)):  # the second forces deep splits
+    # The second forces deep splits, the others longer keys and keys cut between batches.
+    for limit, prefix, crowd, held in ((simhash._VARIANTS, 20, simhash.CROWD, 200_000), (3_000, 8, 100_000, 200_000),
+                                       (100_000, 8, 5, 50), (100_000, 20, 0, 7)):
         monkeypatch.setattr(simhash, "_VARIANTS", limit)
-        links = [(a % (1 << 64), b % (1 << 64)) for a, b in simhash.ball_links(frame, 4, prefix).collect()]
+        monkeypatch.setattr(simhash, "_MESSAGES", held)
+        links = [(a % (1 << 64), b % (1 << 64)) for a, b in simhash.ball_links(frame, 4, prefix, crowd).collect()]
         assert all(0 < (a ^ b).bit_count() <= 4 for a, b in links)
         parent = {p: p for p in prints}
 
