@@ -108,6 +108,10 @@ class WordEncoder:
         plain = [w for w in others if w not in known]
         known.update(zip(plain, self._encode_words(plain)))
 
+    def forget(self) -> None:
+        """Give the memory of the remembered words back."""
+        self.known, self.roots, self.tails = {}, {}, {"": b""}
+
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each UTF-8 text; NULL has none."""
         if len(self.known) > _WORDS:
@@ -198,7 +202,8 @@ PIECES = ("doc_id {kind}, start bigint, length bigint, ids binary, doc_tokens bi
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, tiers: tuple[int, ...] = TIERS,
-         group_tokens: int = GROUP_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         group_tokens: int = GROUP_TOKENS, id_col: str = "doc_id", text_col: str = "text",
+         keep_words: bool = True) -> DataFrame:
     """One row per piece of a document: where it comes from and where it lies.
 
     A document's ids are its text's ids and ``end_id``; NULL and empty texts have
@@ -206,6 +211,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, tiers: tuple[int
     numbers, ``window`` the length of its window: the largest tier, or a smaller
     power of two; all windows are full. ``tiers`` are powers of two. Windows of a
     step group sum to ``group_tokens`` tokens but for one group per partition.
+    ``keep_words=False`` empties a worker's table of known words after each
+    partition, for jobs whose workers go on to other stages.
     NULL ids and repeated rows are packed like any other; other columns are
     ignored; an empty table gives no piece.
     """
@@ -269,6 +276,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, tiers: tuple[int
             ready.append((groups, window, [pieces]))
             filled += window
         yield from rows()
+        if not keep_words:
+            words.forget()
 
     return (
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))

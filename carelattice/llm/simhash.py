@@ -31,8 +31,8 @@ from carelattice.llm.components import connected_components, join_spread
 
 SEED = 42
 # Variants expanded at once in a task, and messages gathered before they are.
-_VARIANTS = 4_000_000
-_MESSAGES = 200_000
+_VARIANTS = 1_000_000
+_MESSAGES = 50_000
 # A prefix with more distinct fingerprints than this gets longer keys, by so many bits.
 CROWD = 100_000
 _MORE_BITS = 12

@@ -60,7 +60,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
     ship_package(spark)
-    return packing.pack(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(docs, tokenizer_path(), keep_words=False).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 STAGES = [
