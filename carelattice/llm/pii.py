@@ -7,9 +7,9 @@ instances. Rounds of joins and sums score it: a pattern by the share of all its
 occurrences in the corpus that known instances follow, an instance by the patterns
 it follows. Identifiers after accepted patterns are added to the seeds' spans.
 
-The graph is grouped before it is shuffled. Patterns need a fixed share of the
-graph's weight to be looked at, so at most ``MOST_PATTERNS`` reach the driver and
-the tasks, whatever the size of the corpus.
+The graph is grouped before it is shuffled and scored in Spark. Only patterns that
+the rounds cannot reach from known instances are left out of it. Up to ``IN_TASK``
+patterns are sent to the tasks; more are joined, with the same result.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelattice.llm.common import by_record, written
+from carelattice.llm.common import by_record, unused_name, written
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -39,7 +39,7 @@ _DIGITS = re.compile(r"\(?[0-9][0-9().\x20-]*+(?<=[0-9])")
 _TOKEN = re.compile(r"[^\s,;\"'<>()\[\]{}]*[0-9@][^\s,;\"'<>()\[\]{}]*")
 _ANY = re.compile(r"[0-9@]")
 
-MOST_PATTERNS = 100_000
+IN_TASK = 100_000
 MIN_INSTANCES = 3
 MIN_SCORE = 0.5
 ROUNDS = 2
@@ -144,44 +144,66 @@ def _edges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["pattern", "instance", "kind", "n"])
 
 
-def _occurrences(patterns: frozenset[tuple[str, str]]):
+def _pairs(wanted: frozenset[tuple[str, str]] | None):
+    """Counts of word pairs with a word behind them: of the wanted ones, or of all."""
+
+    def grouped(seen: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([" ".join(p) for p in seen]), pa.array(list(seen.values()), pa.int64())], names=["pattern", "n"])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in by_record(batches):
             for text in batch.column(0).to_pylist():
                 words = text.lower().split() if text else []
-                seen.update(p for p in zip(words, words[1:-1]) if p in patterns)
+                pairs = zip(words, words[1:-1])
+                seen.update(pairs if wanted is None else (p for p in pairs if p in wanted))
+                if len(seen) > IN_TASK:
+                    yield grouped(seen)
+                    seen.clear()
         if seen:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([" ".join(p) for p in seen]), pa.array(list(seen.values()), pa.int64())],
-                names=["pattern", "n"])
+            yield grouped(seen)
 
     return run
 
 
-def learn_patterns(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, min_score: float = MIN_SCORE,
-                   min_instances: int = MIN_INSTANCES) -> dict[str, str]:
-    """Accepted patterns and the kind of their seeds, from all texts.
+def _reached(edges: DataFrame, kinds: DataFrame, rounds: int, min_instances: int) -> DataFrame:
+    """Patterns that may be accepted in one of the rounds, whatever their scores.
+
+    A round accepts a pattern only for ``min_instances`` different known instances:
+    seeds, or such that follow a pattern of the round before.
+    """
+    seeds = kinds.where("seed <> ''").select("instance")
+    linked, patterns = seeds, None
+    for _ in range(rounds):
+        patterns = written(
+            edges.join(linked, "instance", "left_semi").groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"))
+            .where(F.col("instances") >= min_instances).select("pattern"), "reached-patterns")
+        linked = seeds.unionByName(edges.join(patterns, "pattern", "left_semi").select("instance")).distinct()
+    return patterns
+
 
-    A pattern is looked at when it has ``min_instances`` different instances and at
-    least one part in ``MOST_PATTERNS`` of the graph's weight. Its score is the sum of
-    its occurrences before known instances, weighted by confidence, over all its
+def accepted_patterns(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, min_score: float = MIN_SCORE,
+                      min_instances: int = MIN_INSTANCES, in_task: int = IN_TASK) -> DataFrame:
+    """(pattern, as): accepted patterns and the kind of their seeds, from all texts.
+
+    A pattern needs ``min_instances`` different known instances. Its score is the sum
+    of its occurrences before known instances, weighted by confidence, over all its
     occurrences in the corpus. Equal weights of kinds go to the first kind.
     """
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
     edges = written(
         texts.mapInArrow(_edges, "pattern string, instance string, kind string, n bigint")
         .groupBy("pattern", "instance").agg(F.sum("n").alias("n"), F.max("kind").alias("kind")), "pattern-graph")
-    weight = edges.agg(F.sum("n")).first()[0] or 0
-    frequent = [r["pattern"] for r in edges.groupBy("pattern").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("instances"))
-        .where((F.col("instances") >= min_instances) & (F.col("n") * MOST_PATTERNS >= weight)).select("pattern").collect()]
-    if not frequent:
-        return {}
-    wanted = frozenset(tuple(p.split(" ", 1)) for p in frequent)
-    totals = written(texts.mapInArrow(_occurrences(wanted), "pattern string, n bigint").groupBy("pattern").agg(
-        F.sum("n").alias("total")), "pattern-totals")
-    kinds = edges.groupBy("instance").agg(F.max("kind").alias("seed"))
+    kinds = written(edges.groupBy("instance").agg(F.max("kind").alias("seed")), "instances")
+    reached = _reached(edges, kinds, rounds, min_instances)
+    few = [r["pattern"] for r in reached.limit(in_task + 1).collect()]
+    if not few:
+        return reached.select("pattern", F.lit("").alias("as"))
+    wanted = frozenset(tuple(p.split(" ", 1)) for p in few) if len(few) <= in_task else None
+    totals = written(
+        texts.mapInArrow(_pairs(wanted), "pattern string, n bigint").groupBy("pattern").agg(F.sum("n").alias("total"))
+        .join(reached, "pattern", "left_semi"), "pattern-totals")
     graph = written(edges.drop("kind").join(totals, "pattern").join(kinds, "instance"), "scored-graph")
     known = graph.where("seed <> ''").select("instance", F.col("seed").alias("as"), F.lit(1.0).alias("belief")).distinct()
     seeds, accepted = known, None
@@ -201,7 +223,14 @@ def learn_patterns(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS
             .groupBy("instance").agg(F.max_by("as", F.struct("score", "as")).alias("as"), (1 - missed).alias("belief"))
         )
         known = written(seeds.unionByName(found), "known-instances")
-    return {r["pattern"]: r["as"] for r in accepted.select("pattern", "as").collect()}
+    return accepted.select("pattern", "as")
+
+
+def learn_patterns(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, min_score: float = MIN_SCORE,
+                   min_instances: int = MIN_INSTANCES) -> dict[str, str]:
+    """``accepted_patterns`` as a dict on the driver."""
+    accepted = accepted_patterns(docs, text_col, rounds, min_score, min_instances)
+    return {r["pattern"]: r["as"] for r in accepted.collect()}
 
 
 def all_spans(text: str, patterns: dict[str, str]) -> tuple[list, list]:
@@ -221,25 +250,67 @@ _SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 _SPANS_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def find(docs: DataFrame, patterns: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in by_record(batches):
+        seen: dict = {}
+        for key, text in zip(*[c.to_pylist() for c in batch.columns]):
+            for s, _ in candidate_spans(text, base_spans(text)):
+                pattern = pattern_before(text, s)
+                if pattern:
+                    seen[key, pattern] = None
+        if seen:
+            keys, patterns = zip(*seen)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(patterns)], names=["text_key", "pattern"])
+
+
+def _few(patterns: dict[str, str] | DataFrame, in_task: int) -> dict[str, str] | None:
+    """The patterns as a dict if a task may hold them."""
+    if isinstance(patterns, dict):
+        return patterns
+    rows = patterns.limit(in_task + 1).collect()
+    return {r["pattern"]: r["as"] for r in rows} if len(rows) <= in_task else None
+
+
+def _joined(docs: DataFrame, patterns: DataFrame, text_col: str, name: str) -> DataFrame:
+    """``docs`` with the patterns of each row's text as map ``name``; at most one entry per candidate."""
+    key = F.sha2(F.col(text_col).cast("string").cast("binary"), 256)
+    texts = docs.select(key.alias("text_key"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    own = written(
+        texts.mapInArrow(_contexts, "text_key string, pattern string").distinct().join(patterns, "pattern")
+        .groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("pattern", "as"))).alias("own")), "own-patterns")
+    rows, keyed = unused_name(docs, "text_hash"), own.select(F.col("text_key").alias("own_key"), F.col("own").alias(name))
+    out = docs.withColumn(rows, key)
+    return out.join(keyed, out[rows] == keyed["own_key"], "left").select(*docs.columns, keyed[name])
+
+
+def _own(batch: pa.RecordBatch, few: dict[str, str] | None, at: int) -> Iterable[dict[str, str]]:
+    """The patterns that may apply to each row: the few, or those joined as column ``at``."""
+    return [few] * batch.num_rows if few is not None else (dict(m or ()) for m in batch.column(at).to_pylist())
+
+
+def find(docs: DataFrame, patterns: dict[str, str] | DataFrame, id_col: str = "doc_id", text_col: str = "text", in_task: int = IN_TASK) -> DataFrame:
     """(id, base, spans) of every row: the rules' spans, and these with the added ones.
 
     Places count code points, ends are exclusive. NULL and empty texts have none.
     Repeated rows and NULL ids are treated like others; other columns are ignored.
+    More than ``in_task`` patterns are joined to the rows.
     """
+    few = _few(patterns, in_task)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_record(batches):
             columns: tuple[list, list] = [], []
-            for text in batch.column(1).to_pylist():
-                for column, spans in zip(columns, all_spans(text or "", patterns)):
+            for text, own in zip(batch.column(1).to_pylist(), _own(batch, few, 2)):
+                for column, spans in zip(columns, all_spans(text or "", own)):
                     column.append([{"kind": KINDS[k], "start": s, "end": e} for k, s, e in spans])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(c, _SPANS_ARROW) for c in columns]], names=["doc_id", "base", "spans"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {kind}, base {_SPANS}, spans {_SPANS}")
+    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    if few is None:
+        chosen = _joined(chosen, patterns, "text", "own")
+    return chosen.mapInArrow(run, f"doc_id {kind}, base {_SPANS}, spans {_SPANS}")
 
 
 def masked(text: str, patterns: dict[str, str]) -> str:
@@ -252,18 +323,25 @@ def masked(text: str, patterns: dict[str, str]) -> str:
     return "".join([*out, text[last:]]) if out else text
 
 
-def mask(docs: DataFrame, patterns: dict[str, str], text_col: str = "text") -> DataFrame:
-    """``docs`` with the personal data of its texts masked; NULL texts and all other columns stay."""
-    at = docs.columns.index(text_col)
+def mask(docs: DataFrame, patterns: dict[str, str] | DataFrame, text_col: str = "text", in_task: int = IN_TASK) -> DataFrame:
+    """``docs`` with the personal data of its texts masked; NULL texts and all other columns stay.
+
+    More than ``in_task`` patterns are joined to the rows.
+    """
+    at, width, few = docs.columns.index(text_col), len(docs.columns), _few(patterns, in_task)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_record(batches):
-            texts = [None if t is None else masked(t, patterns) for t in batch.column(at).to_pylist()]
-            columns = list(batch.columns)
+            texts = [None if t is None else masked(t, own)
+                     for t, own in zip(batch.column(at).to_pylist(), _own(batch, few, width))]
+            columns = list(batch.columns)[:width]
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:width])
 
-    return docs.withColumn(text_col, F.col(text_col).cast("string")).mapInArrow(run, docs.schema)
+    rows = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    if few is None:
+        rows = _joined(rows, patterns, text_col, unused_name(docs, "own"))
+    return rows.mapInArrow(run, docs.schema)
 
 
 def listed(spans: Column) -> Column:

@@ -65,7 +65,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = pii.find(docs, pii.learn_patterns(docs))
+    found = pii.find(docs, pii.accepted_patterns(docs))
     kinds = F.transform("base", lambda s: s["kind"])
     counts = [(F.size("base") - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
     return found.select(

@@ -83,3 +83,27 @@ def test_nulls_repeats_empty(spark):
     assert got == [(1, "email:0:6"), (1, "email:0:6"), (2, ""), (None, "email:0:6")]
     assert pii.find(docs.limit(0), {}).collect() == []
     assert pii.masked("a@b.cd and 4111 1111 1111 1111", {}) == "<EMAIL> and <CARD>"
+
+
+def test_rare_patterns_count_however_many_numbers_there_are(spark):
+    seeds = [f"her passport no a{i}@b.cd ok" for i in range(3)]
+    numbers = ["go to 1234567 " * 41_000] * 10
+    docs = documents(spark, seeds + ["the passport no AB1234567 ok"] + numbers, extra=False)
+    patterns = pii.accepted_patterns(docs)
+    assert [tuple(r) for r in patterns.collect()] == [("passport no", "email")]
+    assert pii.mask(docs.where("doc_id = 3"), patterns).first()["text"] == "the passport no <EMAIL> ok"
+
+
+def test_many_patterns_are_joined(spark):
+    """With room for one pattern in a task, pairs and rows are joined, and nothing changes."""
+    texts = [f"my number is +1 (988) 555-{1000 + i} ok" for i in range(20)]
+    texts += [f"my number is 988-555-{2000 + i} ok" for i in range(5)] + [f"dial fast 988-555-{2000 + i} ok" for i in range(5)]
+    texts += ["dial fast 988-555-9999 ok", "my number is 988-555-2001 ok", None, "", "no number"]
+    docs = documents(spark, texts + ["dial fast 988-555-9999 ok"])
+    few, many = pii.accepted_patterns(docs), pii.accepted_patterns(docs, in_task=1)
+    assert by_id(few, "pattern", "as") == by_id(many, "pattern", "as") == [("dial fast", "phone"), ("number is", "phone")]
+    assert by_id(pii.find(docs, few), "doc_id", "base", "spans") == by_id(pii.find(docs, many, in_task=1), "doc_id", "base", "spans")
+    joined = pii.mask(docs, many, in_task=1)
+    assert joined.columns == docs.columns
+    assert by_id(pii.mask(docs, few), "doc_id", "text") == by_id(joined, "doc_id", "text")
+    assert sum(r["text"] == "dial fast <PHONE> ok" for r in joined.collect()) == 7
