@@ -61,19 +61,24 @@ def text_fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = 4) -> DataFrame:
-    """(id, fingerprint long) of every row; the long holds the 64 bits."""
+                 shingle: int = 4, text_key: bool = False) -> DataFrame:
+    """(id, fingerprint long) of every row; the long holds the 64 bits.
+
+    With ``text_key`` a column of that name tells apart rows that share an id.
+    """
+    keys = [F.xxhash64(F.col(text_col).cast("string")).alias("text_key")] if text_key else []
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_record(batches):
             values = np.array([text_fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(values.view(np.int64))], names=["id", "fingerprint"])
+                [batch.column(0), pa.array(values.view(np.int64)), *batch.columns[2:]],
+                names=["id", "fingerprint", *batch.schema.names[2:]])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-        .mapInArrow(run, f"id {kind}, fingerprint bigint")
+        docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *keys)
+        .mapInArrow(run, f"id {kind}, fingerprint bigint" + ", text_key bigint" * text_key)
     )
 
 
@@ -230,3 +235,19 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = written(least.join(smallest, "fingerprint", "left").select(
         "fingerprint", F.coalesce("smallest", "least").alias("component_id")), "labels")
     return prints.join(labels, "fingerprint").select("id", "fingerprint", "component_id")
+
+
+def class_leaders(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  shingle: int = 4, max_bits: int = 4, prefix_bits: int = 20) -> DataFrame:
+    """(id, text_key) of one row of every class of ``simhash_classes``.
+
+    It is the row with the smallest (id, text_key), NULL ids last. A class is known by
+    its fingerprints here, as two classes may have the same smallest id, or none.
+    """
+    row = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_key")
+    least = written(fingerprints(docs, id_col, text_col, shingle, text_key=True).groupBy("fingerprint").agg(
+        F.min(row).alias("least")), "distinct-prints")
+    roots = connected_components(ball_links(least.select("fingerprint"), max_bits, prefix_bits))
+    linked = roots.join(least, roots.node == least.fingerprint).groupBy("root").agg(F.min("least").alias("least"))
+    alone = least.join(roots, least.fingerprint == roots.node, "left_anti")
+    return linked.select("least.id", "least.text_key").unionByName(alone.select("least.id", "least.text_key"))

@@ -25,21 +25,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every SimHash class the row with the smallest id.
+    """Of every SimHash class the row with the smallest id, NULL ids last.
 
-    Rows that share an id are one document, and one of them stays; rows with a
-    NULL id cannot be told apart and all stay.
+    Rows that share an id or have none are told apart by their texts; of rows equal in
+    id and text one stays.
     """
     ship_package(spark)
-    classes = simhash.simhash_classes(docs, shingle=4, max_bits=4)
-    kept = classes.where(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id")).distinct()
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    number = unused_name(docs, "row")
-    first = (
-        docs.join(kept, "doc_id", "left_semi").withColumn(number, F.row_number().over(order))
-        .where(F.col(number) == 1).select(*docs.columns)
+    kept = simhash.class_leaders(docs, shingle=4, max_bits=4).select(F.col("id").alias("kept_id"), F.col("text_key").alias("kept_key"))
+    key, number = unused_name(docs, "text_key"), unused_name(docs, "row")
+    keyed = docs.withColumn(key, F.xxhash64(F.col("text").cast("string")))
+    order = Window.partitionBy("doc_id", key).orderBy(F.xxhash64(*docs.columns))
+    return (
+        keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["kept_id"]) & (keyed[key] == kept["kept_key"]), "left_semi")
+        .withColumn(number, F.row_number().over(order)).where(F.col(number) == 1).select(*docs.columns)
     )
-    return first.unionByName(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

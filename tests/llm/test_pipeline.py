@@ -74,3 +74,19 @@ def test_extra_columns_keep_their_values(spark, sf_dir):
         docs = stage(spark, docs, sf_dir)
         assert docs.where("row <> concat('x', doc_id) or _row <> row or text_key <> row or spans <> row").count() == 0
     assert docs.count() > 10
+
+
+def test_one_row_of_every_class_whatever_the_ids(spark, sf_dir):
+    """Ids with two texts and rows without an id: a class keeps one row, and no class is lost."""
+    def prose(seed):
+        return " ".join(f"w{(seed * 7919 + i * i * 31) % 100_003}" for i in range(60))
+
+    clean, other, third, fourth = (prose(s) for s in (1, 2, 3, 4))
+    texts = [(3, other), (None, other), (None, third), (None, third), (None, fourth)]
+    for seven in ([(7, clean), (7, other)], [(7, clean), (7, clean.upper()), (7, fourth)]):
+        rows = [(i, t, "en", "s", len(t)) for i, t in texts + seven]
+        docs = spark.createDataFrame(rows, table(spark, sf_dir, "documents").schema)
+        kept = corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()
+        got = sorted(((r["doc_id"], r["text"].lower()) for r in kept), key=repr)
+        assert got == sorted([(3, other), (7, clean), (None, third),
+                              ((7 if len(seven) == 3 else None), fourth)], key=repr)
