@@ -52,6 +52,7 @@ _TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _LETTERS = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]{2}")
 
 # Rules of the first pass.
 LONG = 60
@@ -156,6 +157,19 @@ def _first_pass(block: Block, has_main: bool) -> bool | None:
     return None
 
 
+def _seeded(blocks: list[Block], labels: list[bool | None]) -> list[bool | None]:
+    """``labels``; if the first pass found no article, undecided blocks become one.
+
+    Stop words say nothing then: the page has none in long blocks, or is in a language
+    without a list. Long blocks are taken, or else all that hold a word of two letters.
+    """
+    if any(labels) or any(b.inside for b, label in zip(blocks, labels) if label is None):
+        return labels
+    wordy = [i for i, label in enumerate(labels) if label is None and _WORD.search(blocks[i].text)]
+    seeds = {i for i in wordy if len(blocks[i].text) >= LONG} or set(wordy)
+    return [True if i in seeds else label for i, label in enumerate(labels)]
+
+
 def _second_pass(blocks: list[Block], labels: list[bool | None]) -> list[bool]:
     """Undecided blocks take the label of the nearest decided block of their part of the page.
 
@@ -200,7 +214,7 @@ def main_text(html: str | None) -> str:
     """The article of a page: its blocks joined by blank lines; empty if there is none."""
     blocks = blocks_of(html or "")
     has_main = any(b.inside and not b.boilerplate for b in blocks)
-    labels = [_first_pass(b, has_main) for b in blocks]
+    labels = _seeded(blocks, [_first_pass(b, has_main) for b in blocks])
     kept = _second_pass(blocks, labels)
     return "\n\n".join(b.text for b, keep in zip(blocks, kept) if keep)
 

@@ -60,3 +60,16 @@ def test_rows(spark):
     got = html_blocks.extract(df).collect()
     assert len(got) == 3 and {r["text"] for r in got} == {""} and got[0].asDict().keys() == {"page_id", "url", "text"}
     assert html_blocks.extract(df.limit(0)).collect() == []
+
+
+POLISH = "Szybki lis siedzi w ogrodzie przy starym domu i patrzy na ludzi, którzy przechodzą obok niego."
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<body><h1>Title</h1><p>Short paragraph.</p></body>", "Title\n\nShort paragraph."),
+    (f"<nav><a href='/'>Start</a></nav><h1>Lis</h1><p>{POLISH}</p><p>Koniec.</p><footer>{POLISH}</footer>", f"Lis\n\n{POLISH}\n\nKoniec."),
+    (f"<p>{POLISH}</p><ul><li><a href='/1'>Inne</a></li></ul><p>{POLISH}</p>", f"{POLISH}\n\n{POLISH}"),
+    ("<p><a href='/'>Only a link</a></p><nav>Menu here</nav>", ""),
+])
+def test_pages_without_a_decided_block(html, text):
+    assert html_blocks.main_text(html) == text
