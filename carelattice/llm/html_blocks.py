@@ -28,6 +28,8 @@ _BLOCKS = frozenset(
 _BOILERPLATE = frozenset(
     "nav footer aside form menu dialog button select head svg math object audio video canvas".split())
 _MAIN = frozenset(["article", "main"])
+# Elements that end when the next one of them starts.
+_ITEMS = frozenset("li dt dd td th tr".split())
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _HINT = re.compile(
     r"(?:^|[\s_-])(?:nav\w*|menu\w*|header|masthead|footer|foot|sidebar|side|aside|ad|ads|advert\w*|banner\w*|"
@@ -87,12 +89,20 @@ def _hinted(name: str, attributes: str) -> bool:
         or (name not in _MAIN and _HINT.search(f"{found.get('class', '')} {found.get('id', '')}")))
 
 
+def _linked(attributes: str) -> bool:
+    """Whether an <a> is a link: one that only names a place is none."""
+    names = {k.lower() for k, _ in _ATTRIBUTE.findall(attributes)} if attributes else set()
+    return "href" in names or not names & {"name", "id"}
+
+
 def blocks_of(html: str) -> list[Block]:
     """The blocks of a page in page order, without markup."""
     page = _Page()
     # Open elements that matter: (name, boilerplate, main). Unclosed ones end with their parent.
     stack: list[tuple[str, bool, bool]] = []
     anchor = heading = False
+    # Blocks open around the link; it ends with the innermost of them.
+    around = 0
 
     def close_block() -> None:
         nonlocal heading
@@ -113,7 +123,8 @@ def blocks_of(html: str) -> list[Block]:
         if not name:
             continue
         if name == "a":
-            anchor = not token[2]
+            anchor = not token[2] and _linked(token[4])
+            around = len(stack)
         if name == "br":
             page.parts.append((" ", False))
         block = name in _BLOCKS
@@ -128,11 +139,15 @@ def blocks_of(html: str) -> list[Block]:
                     close_block()
                 while stack.pop()[0] != name:
                     pass
+                anchor = anchor and len(stack) >= around
             continue
         if name in _VOID or token[4].endswith("/"):
             continue
         if block and stack and stack[-1][0] == "p":
             stack.pop()
+            anchor = anchor and len(stack) >= around
+        if name in _ITEMS and stack and stack[-1][0] in _ITEMS and len(stack) == around:
+            anchor = False
         main = name in _MAIN
         inside = any(s[2] for s in stack)
         out = name in _BOILERPLATE or (name == "header" and not inside) or _hinted(name, token[4])

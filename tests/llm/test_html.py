@@ -73,3 +73,15 @@ POLISH = "Szybki lis siedzi w ogrodzie przy starym domu i patrzy na ludzi, któr
 ])
 def test_pages_without_a_decided_block(html, text):
     assert html_blocks.main_text(html) == text
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<article><p><a href='/x'>See</a> <a name='top'>{PROSE}<p>{MORE}</article>", f"See {PROSE}\n\n{MORE}"),
+    (f"<article><h2><a id='part'>Part</h2><p>{PROSE}</p></article>", f"Part\n\n{PROSE}"),
+    (f"<article><p>{PROSE} <a href='/x'>more</p><p>{MORE}</p></article>", f"{PROSE} more\n\n{MORE}"),
+    (f"<article><p>{PROSE} <a href='/x'>more<p>{MORE}</article>", f"{PROSE} more\n\n{MORE}"),
+    (f"<article><p>{PROSE}</p><ul><li><a href='/x'>All of it<li>{MORE}</ul><p>{PROSE}</p></article>", f"{PROSE}\n\n{MORE}\n\n{PROSE}"),
+    (f"<article><p>{PROSE}</p><a href='/x'><div>{MORE}</div><div>{MORE}</div></a><p>{MORE}</p></article>", f"{PROSE}\n\n{MORE}"),
+])
+def test_links_end(html, text):
+    assert html_blocks.main_text(html) == text
