@@ -37,13 +37,13 @@ def words_of(text: Column) -> Column:
 
 
 def windows_of(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
-               size: int = WINDOW) -> DataFrame:
+               size: int = WINDOW, unnamed: bool = False) -> DataFrame:
     """(item_id, phrase): the word windows of each item; a shorter item is one window.
 
-    Items without a word have none, nor has a NULL item.
+    Items without a word have none; items with a NULL id have some if ``unnamed``.
     """
     cut = items.select(F.col(id_col).alias("item_id"), words_of(F.col(text_col)).alias("w")).where(
-        F.col("item_id").isNotNull() & (F.size("w") > 0))
+        (F.lit(unnamed) | F.col("item_id").isNotNull()) & (F.size("w") > 0))
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - (size - 1), F.lit(1)))
     return (
         cut.select("item_id", "w", F.explode(starts).alias("at"))
@@ -150,18 +150,20 @@ def _coverage(places: DataFrame) -> DataFrame:
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  size: int = WINDOW, share: int = 20, block: int = BLOCK_WINDOWS) -> DataFrame:
+                  size: int = WINDOW, share: int = 20, block: int = BLOCK_WINDOWS,
+                  unnamed: bool = False) -> DataFrame:
     """Per row of ``docs``: id, n_words, n_hit, item_ids, contaminated.
 
     ``n_hit`` counts words inside an occurrence of a window, ``item_ids`` lists the
     items with occurring windows as sorted strings, and a row is contaminated when
-    at least one word in ``share`` is hit. NULL and empty texts have no words.
+    at least one word in ``share`` is hit. NULL and empty texts have no words. With
+    ``unnamed`` passages of items with a NULL id are hit too, and named nowhere.
     Rows that repeat an id with another text are judged apart; equal rows get equal
     results. Other columns are ignored; an empty corpus gives no row, an empty
     benchmark no hit.
     """
     corpus = _corpus(docs, id_col, text_col)
-    windows = written(windows_of(items, size=size), "bench-windows")
+    windows = written(windows_of(items, size=size, unnamed=unnamed), "bench-windows")
     phrases = windows.select("phrase").distinct()
     blocks = max(1, -(-phrases.count() // block))
     places, found = [], []

@@ -42,8 +42,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without enough words of benchmark passages."""
-    judged = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    """Rows without enough words of benchmark passages, those of items without an id included."""
+    judged = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), unnamed=True)
     bad = judged.where("contaminated").select(F.col("doc_id").alias("bad_id"), "text_key").distinct()
     return docs.join(
         bad, docs.doc_id.eqNullSafe(bad.bad_id) & (F.xxhash64(docs.text) == bad.text_key), "left_anti")

@@ -92,3 +92,12 @@ def test_near_matches(spark):
 
     assert ids(0) == [2] and ids(2) == [0, 2] and ids(20) == [0, 1, 2]
     assert [r["doc_id"] for r in D.exact_matches(index, chosen).collect()] == [2]
+
+
+def test_passages_of_unnamed_items(spark):
+    """They are found where the caller wants them, and put no name in the list."""
+    passage = " ".join(f"p{i}" for i in range(15))
+    pairs, items = [(1, f"a {passage} b"), (2, "a b c")], [(None, passage), (5, "b c d")]
+    assert judged(spark, pairs, items) == [(1, 17, 0, (), False), (2, 3, 0, (), False)]
+    assert judged(spark, pairs, items, unnamed=True) == [(1, 17, 15, (), True), (2, 3, 0, (), False)]
+    assert judged(spark, pairs, [*items, (6, passage)], unnamed=True)[0] == (1, 17, 15, ("6",), True)

@@ -90,3 +90,10 @@ def test_one_row_of_every_class_whatever_the_ids(spark, sf_dir):
         got = sorted(((r["doc_id"], r["text"].lower()) for r in kept), key=repr)
         assert got == sorted([(3, other), (7, clean), (None, third),
                               ((7 if len(seven) == 3 else None), fourth)], key=repr)
+
+
+def test_passages_of_unnamed_items_contaminate(spark, tmp_path):
+    passage = " ".join(f"p{i}" for i in range(15))
+    spark.createDataFrame([(None, passage)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, passage), (2, "a b c")], "doc_id bigint, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()] == [2]
