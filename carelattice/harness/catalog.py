@@ -186,13 +186,28 @@ def medication_patterns_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PRESENTED = {"prevalence": prevalence, "length_of_stay": length_of_stay, "medication_patterns": medication_patterns}
 
 
+def _placed(ordered: DataFrame) -> DataFrame:
+    """Sorted rows with their places: rows before the partition, and place in it.
+
+    Partitions of a sorted result are ordered, and so are the rows in them. They are
+    written once, so that counts and rows come from the same partitions.
+    """
+    spark, path = ordered.sparkSession, work_path(ordered.sparkSession, "placed")
+    # The id holds the partition above 33 bits of the row's number in it.
+    numbered = ordered.withColumn("_at", F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    rows = spark.read.schema(numbered.schema).parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    at = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(F.broadcast(offsets), "_part").select(
+        *ordered.columns, (F.col("_before") + at + 1).cast("bigint").alias("place"))
+
+
 def _presented_query(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ordered = marts.present(_PRESENTED[name](spark, sf_dir), name)
-        columns = [c for c in ordered.columns]
-        # Partitions of a sorted result are ordered, and so are the rows in them.
-        placed = ordered.withColumn("_at", F.monotonically_increasing_id())
-        return placed.select(*columns, F.row_number().over(Window.orderBy("_at")).cast("bigint").alias("place"))
+        return _placed(marts.present(_PRESENTED[name](spark, sf_dir), name))
 
     return query
 

@@ -173,3 +173,11 @@ def test_scan_reads_only_used_columns(spark, sf_dir):
     plan = catalog.QUERIES["readmissions"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert all("o_totalprice" not in s and "o_orderstatus" not in s for s in scans)
+
+
+def test_places_are_not_numbered_by_one_task(spark):
+    rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"))
+    placed = catalog._placed(rows.repartitionByRange(5, "v").sortWithinPartitions("v"))
+    assert [(r["v"], r["place"]) for r in placed.orderBy("v").collect()] == [(i, i + 1) for i in range(1000)]
+    plan = catalog.QUERIES["present_prevalence"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "row_number" not in plan
