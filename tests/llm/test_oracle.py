@@ -10,7 +10,7 @@ from tests.compare import connect, difference
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert set(queries.ORACLE) <= set(queries.QUERIES)
 
