@@ -256,6 +256,8 @@ def repeated_offsets(right: tuple[np.ndarray, np.ndarray], left: tuple[np.ndarra
     low, high = low[order], high[order]
     for offset in range(int(low.min()), int(high.max()) + 1) if len(low) else ():
         active = np.flatnonzero((low <= offset) & (offset <= high))
+        if len(active) < 2:
+            continue
         # Eight bytes of fingerprint stand before the right side.
         one = np.cumsum(common < 8 + WINDOW - offset)[active]
         twin = np.concatenate([[False], one[1:] == one[:-1]])

@@ -106,3 +106,11 @@ def test_every_window_has_one_anchor(monkeypatch, step):
         same = {}
         for w, a in anchor.items():
             assert same.setdefault(text[w:w + 200], a) == a
+
+
+def test_offsets_without_suffixes():
+    """Ranges of offsets need not touch: between them there is nothing to compare."""
+    order = (np.array([0, 1, 2]), np.array([0, 208, 208]))
+    low, high = np.array([3, 3, 9]), np.array([4, 4, 9])
+    smallest, largest = suffix_dedup.repeated_offsets(order, order, low, high, np.zeros(3, bool))
+    assert smallest.tolist() == [3, 3, 1] and largest.tolist() == [4, 4, 0]
