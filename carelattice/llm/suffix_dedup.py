@@ -37,9 +37,9 @@ WINDOW = 200
 GRAM = 48
 # Windows of a text handled at once, and bytes of strings in a run.
 _STEP = 1 << 20
-RUN_BYTES = 32 << 20
+RUN_BYTES = 8 << 20
 # Suffixes a range should hold; an anchor met more often than CROWD is not sorted.
-RANGE = 50_000
+RANGE = 20_000
 CROWD = 20_000
 # Parts over which the rows of one text are dealt in a join.
 SPREAD = 16
