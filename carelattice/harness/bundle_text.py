@@ -132,19 +132,58 @@ def bundles(raw: DataFrame, table: str) -> DataFrame:
     )
 
 
-def bundles_by_patient(raw: Mapping[str, DataFrame], files: int = 64) -> DataFrame:
-    """(file, value): one bundle per patient with all resources of all types, the patient first.
+def _entries(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """(patient_id, table_name, row_id, rank, entry): every resource of all tables, patients with the lowest rank."""
+    return reduce(DataFrame.unionByName, [
+        df.select("patient_id", F.lit(name).alias("table_name"), F.col(df.columns[0]).alias("row_id"),
+                  F.lit(int(name != "patient")).alias("rank"), F.expr(_entry(_RESOURCE[name])).alias("entry"))
+        for name, df in raw.items()])
+
+
+def bundles_by_patient(raw: Mapping[str, DataFrame], files: int = 64, most: int = 1_000) -> DataFrame:
+    """(file, value): bundles of one patient each, the patient first, then resources of all types.
 
-    Who is no patient in the raw table gets a patient entry with nothing but the id.
-    ``file`` spreads the bundles.
+    A patient with more than ``most`` resources has several bundles of about that many,
+    each with the patient's entry. Who is no patient in the raw table gets a patient
+    entry with nothing but the id. ``file`` spreads the bundles.
     """
-    entries = reduce(DataFrame.unionByName, [
-        df.select("patient_id", F.lit(int(name != "patient")).alias("rank"), F.expr(_entry(_RESOURCE[name])).alias("entry"))
-        for name, df in raw.items()])
+    entries = _entries(raw)
+    many = entries.groupBy("patient_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select(
+        "patient_id", F.ceil(F.col("n") / most).alias("parts"))
+    # The patient's own entry goes into all of its bundles.
+    parts = F.coalesce("parts", F.lit(1))
+    own = F.when(F.col("rank") == 0, F.sequence(F.lit(0).cast("bigint"), parts - 1)).otherwise(
+        F.array(F.pmod(F.xxhash64("entry"), parts)))
     listed = F.array_sort(F.collect_list(F.struct("rank", "entry")))
     bare = F.expr(_entry({"resourceType": "'Patient'", "id": "patient_id"}))
-    grouped = entries.groupBy("patient_id").agg(listed.alias("listed"), F.min("rank").alias("first"))
+    grouped = (
+        entries.join(many, "patient_id", "left").select("patient_id", "rank", "entry", F.explode(own).alias("part"))
+        .groupBy("patient_id", "part").agg(listed.alias("listed"), F.min("rank").alias("first"))
+    )
     head = F.when(F.col("first") > 0, F.concat(bare, F.lit(","))).otherwise(F.lit(""))
     return grouped.select(
-        F.pmod(F.xxhash64("patient_id"), F.lit(files)).alias("file"),
+        F.pmod(F.xxhash64("patient_id", "part"), F.lit(files)).alias("file"),
         F.concat(F.lit('{"resourceType":"Bundle","entry":['), head, F.concat_ws(",", "listed.entry"), F.lit("]}")).alias("value"))
+
+
+def write_large_bundles(raw: Mapping[str, DataFrame], folder: str, files: int = 4) -> None:
+    """``files`` bundles with all resources of all types, as one file each, below ``folder``.
+
+    A row belongs to the bundle that the last character of its key tells. The first
+    patient of bundle k is ``bundle-k``. Files are streamed entry by entry, with links
+    and text before the entries that must not be taken for some.
+    """
+    number = F.pmod(F.ascii(F.substring("row_id", -1, 1)), F.lit(files))
+    body = _entries(raw).select(number.alias("file"), F.lit(1).alias("rank"), F.concat(F.lit(","), "entry").alias("value"))
+    spark = body.sparkSession
+    each = spark.range(files).select(F.col("id").cast("int").alias("file"))
+    first = F.concat(
+        F.lit('{"resourceType":"Bundle","meta":{"note":"\\"entry\\":[{\\"resource"},"link":[{"resource":{"resourceType":"Patient"}}],\n'
+              '"tag":["resource", "}"], "entry" : [{"fullUrl":"x","resource":{"resourceType":"Patient","id":"bundle-'),
+        F.col("file").cast("string"), F.lit('"}}'))
+    head = each.select("file", F.lit(0).alias("rank"), first.alias("value"))
+    tail = each.select("file", F.lit(2).alias("rank"), F.lit('],"total":1}').alias("value"))
+    (
+        head.unionByName(body).unionByName(tail).repartition("file").sortWithinPartitions("file", "rank")
+        .select("file", "value").write.partitionBy("file").text(folder)
+    )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date
 from functools import reduce
 
@@ -15,7 +16,7 @@ from carelattice.operators.flatten import flatten
 from carelattice.harness import bindings, bundle_text, oracle
 from carelattice.plans import checks, enrichment, marts, refresh
 from carelattice.schemas import TABLES
-from carelattice.session import work_path
+from carelattice.session import work_path, written
 from carelattice.sources import bundles, landing, registry
 from carelattice.sources.snapshots import SnapshotTable
 from carelattice.streaming import ingest
@@ -404,16 +405,45 @@ def _by_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundle_text.bundles_by_patient({n: bindings.raw(spark, sf_dir, n) for n in TABLES})
 
 
-def _ids_of_all(landed: DataFrame) -> DataFrame:
-    """Table, key, patient and visit of every flattened row of the seven types."""
+def _ids_of_all(landed: DataFrame, repeated_patients: bool = True) -> DataFrame:
+    """Table, key, patient and visit of every flattened row of the seven types.
+
+    A patient with several bundles has an entry in each, and is one row.
+    """
     parts = []
     for name, spec in TABLES.items():
         visit = "encounter_id" if "encounter_id" in spec.columns else F.lit(None).cast("string").alias("encounter_id")
-        parts.append(flatten(landed, name).select(
-            F.lit(name).alias("table_name"), F.col(spec.key).alias("row_id"), "patient_id", visit))
+        rows = flatten(landed, name).select(
+            F.lit(name).alias("table_name"), F.col(spec.key).alias("row_id"), "patient_id", visit)
+        parts.append(rows.distinct() if name == "patient" and repeated_patients else rows)
     return reduce(DataFrame.unionByName, parts)
 
 
+@contextmanager
+def _small_ranges(spark: SparkSession, size: str = "1m") -> Iterator[None]:
+    """Small tables read in as many ranges as large ones; holds for what is computed inside."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+@register("fhir_large_bundles", oracle.FHIR_LARGE)
+def fhir_large_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four files with a quarter of all resources in one bundle each, every file read in many ranges."""
+    folder = work_path(spark, "large-bundles")
+    bundle_text.write_large_bundles({n: bindings.raw(spark, sf_dir, n) for n in TABLES}, folder)
+    with _small_ranges(spark):
+        resources, unreadable = bundles.read_resources(spark, f"{folder}/*", "part-*", large_file=0)
+        landed = bundles.land_resources(resources, work_path(spark, "resources"))
+        refused = unreadable.select(F.lit("unreadable").alias("table_name"), F.lit(None).cast("string").alias("row_id"),
+                                    F.lit(None).cast("string").alias("patient_id"), F.lit(None).cast("string").alias("encounter_id"))
+        return written(_ids_of_all(landed, repeated_patients=False).unionByName(refused), "large-bundles")
+
+
 @register("fhir_landed_resources", oracle.FHIR_ALL)
 def fhir_landed_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bundles with all types exploded once, landed by type, then flattened from there."""
@@ -489,6 +519,19 @@ def land_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.read_landed(spark, root, "encounter", date(2024, 6, 7))
 
 
+@register("land_multiline", oracle.LAND_MULTILINE)
+def land_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims with line breaks, quotes and commas inside two fields, landed as CSV and read in byte ranges."""
+    root = work_path(spark, "landing")
+    n = F.col("claim_id").substr(2, 20).cast("bigint")
+    broken = F.when(n % 3 == 0, F.concat("service_desc", F.lit('\n"line", 2\r\n\n'), "claim_id")).otherwise(F.col("service_desc"))
+    claim = bindings.raw(spark, sf_dir, "claim").withColumns({
+        "service_desc": broken, "status": F.when(n % 7 == 0, F.concat(F.lit('a "'), "status", F.lit('"\n'))).otherwise(F.col("status"))})
+    landing.land(claim, root, "claim", date(2024, 6, 7))
+    with _small_ranges(spark):
+        return written(landing.read_landed(spark, root, "claim", multiline=True), "multiline")
+
+
 @register("land_replaced_day", oracle.rows_of("raw_encounter"))
 def land_replaced_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A day landed again without rows is empty; another day stays."""

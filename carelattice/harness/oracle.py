@@ -379,6 +379,14 @@ FHIR_ALL = sql(_IDS_OF_ALL + """
     WHERE patient_id NOT IN (SELECT patient_id FROM raw_patient)
 """, *[f"raw_{t}" for t in _TYPED])
 
+# Four bundles; the last character of a row's key tells its own, whose first patient stands for all.
+_FILE = "'bundle-' || (ascii(right({}, 1)) % 4)"
+FHIR_LARGE = sql(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, {key} AS row_id, {'patient_id' if t == 'patient' else _FILE.format(key)} AS patient_id, "
+    f"{visit} AS encounter_id FROM raw_{t}" for t, (key, visit) in _TYPED.items()) + """
+    UNION ALL SELECT 'patient', 'bundle-' || k, 'bundle-' || k, NULL FROM range(4) AS files(k)
+""", *[f"raw_{t}" for t in _TYPED])
+
 FHIR_MISSHAPEN = """
     SELECT 'C' || o_orderkey AS bundle_id, 'Claim' AS resource_type, 'field of another shape' AS reason
     FROM orders WHERE o_orderkey % 13 = 0
@@ -405,6 +413,15 @@ LAND_ROUNDTRIP = sql(f"""
     WHERE created_date >= '1999-06-01 00:00:00'
 """, "raw_claim")
 
+_CLAIM_NUMBER = "CAST(substr(claim_id, 2) AS BIGINT)"
+LAND_MULTILINE = sql(f"""
+    SELECT * REPLACE (
+        CASE WHEN {_CLAIM_NUMBER} % 3 = 0
+          THEN service_desc || chr(10) || '"line", 2' || chr(13) || chr(10) || chr(10) || claim_id ELSE service_desc END AS service_desc,
+        CASE WHEN {_CLAIM_NUMBER} % 7 = 0 THEN 'a "' || status || '"' || chr(10) ELSE status END AS status),
+      '2024' AS year, '06' AS month, '07' AS day
+    FROM raw_claim""", "raw_claim")
+
 STREAM_UPSERT = INCREMENTAL_MERGE
 
 STREAM_UNIQUE = sql("SELECT observation_id, patient_id, effective_date, value FROM observation", "observation")

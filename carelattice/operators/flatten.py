@@ -1,8 +1,8 @@
 """One projection per resource type: nested FHIR JSON to a flat text row.
 
-Input rows hold ``resource`` (the JSON text of one resource) and
-``bundle_patient_id``. Everything is ``from_json`` and path access, evaluated in
-the JVM. Missing elements give NULL, and so does an empty array.
+Input rows hold ``resource`` (one resource as a VARIANT, or as JSON text) and
+``bundle_patient_id``. The declared fields are taken out at once, the rest is path
+access, evaluated in the JVM. Missing elements give NULL, and so does an empty array.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carelattice.schemas import RESOURCE_DDL, TABLES
 
@@ -28,6 +29,13 @@ def _last(items: Column) -> Column:
     return F.try_element_at(items, F.lit(-1))
 
 
+def _number_text(value: Column) -> Column:
+    """A JSON number as text: with a decimal point where it was written with one."""
+    written_with_point = F.schema_of_variant(value).startswith("DECIMAL")
+    return F.when(written_with_point, F.try_variant_get(value, "$", "double").cast("string")).otherwise(
+        F.try_variant_get(value, "$", "string"))
+
+
 def _blank_to_null(c: Column) -> Column:
     """Empty text is absent, as it is after a pass through CSV."""
     return F.nullif(c, F.lit(""))
@@ -109,7 +117,7 @@ def _claim(r: Column) -> dict[str, Column]:
         "created_date": r["created"],
         "provider_name": r["provider"]["display"],
         "payer": _first(r["insurance"])["coverage"]["display"],
-        "total_amount": r["total"]["value"],
+        "total_amount": _number_text(r["total"]["value"]),
         "currency": r["total"]["currency"],
         "service_code": _first(service["coding"])["code"],
         "service_desc": service["text"],
@@ -146,7 +154,7 @@ def _procedure(r: Column) -> dict[str, Column]:
 
 def _observation(r: Column, zero_as_missing: bool = False) -> dict[str, Column]:
     coding = _first(r["code"]["coding"])
-    quantity = r["valueQuantity"]["value"]
+    quantity = _number_text(r["valueQuantity"]["value"])
     if zero_as_missing:
         quantity = F.when(quantity.try_cast("double") != 0, quantity)
     return {
@@ -194,9 +202,12 @@ def flatten(resources: DataFrame, table: str, **options: bool) -> DataFrame:
     of its bundle's first patient; the resource's own subject is not consulted.
     """
     spec = TABLES[table]
-    parsed = resources.where(F.col("resource_type") == spec.resource_type).select(
-        "bundle_patient_id", F.from_json("resource", RESOURCE_DDL[spec.resource_type]).alias("r")
-    )
+    fields = RESOURCE_DDL[spec.resource_type]
+    if resources.schema["resource"].dataType.typeName() == "variant":
+        read = F.try_variant_get("resource", "$", T.StructType.fromDDL(fields).simpleString())
+    else:
+        read = F.from_json("resource", fields)
+    parsed = resources.where(F.col("resource_type") == spec.resource_type).select("bundle_patient_id", read.alias("r"))
     columns = _PATHS[table](F.col("r"), **options)
     columns.setdefault("patient_id", F.col("bundle_patient_id"))
     return parsed.select(*[_blank_to_null(columns[c]).alias(c) for c in spec.columns])

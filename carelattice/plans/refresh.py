@@ -31,7 +31,8 @@ class Refreshed:
 
 def staging_snapshot(spark: SparkSession, root: str, table: str, split: str = "month") -> SnapshotTable:
     """The staging table of ``table``, split by the month (or year) of its watermark."""
-    return SnapshotTable(spark, f"{root}/staging", table, TABLES[table].watermark, split)
+    spec = TABLES[table]
+    return SnapshotTable(spark, f"{root}/staging", table, spec.watermark, split, indexed_by=spec.key)
 
 
 def load_increment(snapshot: SnapshotTable, staged: DataFrame, table: str,

@@ -57,7 +57,7 @@ TABLES: dict[str, TableSpec] = {
     ]
 }
 
-# The fields read from each resource, as DDL for from_json.
+# The fields read from each resource, as DDL. Numbers are kept as they are written.
 RESOURCE_DDL: dict[str, str] = {
     "Patient": (
         "id string, gender string, birthDate string, "
@@ -77,7 +77,7 @@ RESOURCE_DDL: dict[str, str] = {
     "Claim": (
         "id string, status string, created string, type struct<coding:array<struct<code:string>>>, "
         "provider struct<display:string>, insurance array<struct<coverage:struct<display:string>>>, "
-        "total struct<value:string,currency:string>, "
+        "total struct<value:variant,currency:string>, "
         "item array<struct<encounter:array<struct<reference:string>>,"
         "productOrService:struct<text:string,coding:array<struct<code:string>>>>>"
     ),
@@ -95,7 +95,7 @@ RESOURCE_DDL: dict[str, str] = {
         "id string, status string, "
         "code struct<text:string,coding:array<struct<code:string,system:string>>>, "
         "encounter struct<reference:string>, effectiveDateTime string, "
-        "valueQuantity struct<value:string,unit:string>, valueCodeableConcept struct<text:string>"
+        "valueQuantity struct<value:variant,unit:string>, valueCodeableConcept struct<text:string>"
     ),
     "MedicationRequest": (
         "id string, status string, intent string, "

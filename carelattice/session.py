@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings that suit these jobs on any cluster size. The number of
 # shuffle partitions is left to the caller: AQE coalesces from above, so a large
@@ -60,3 +60,10 @@ def work_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below :func:`work_root`."""
     return f"{work_root(spark)}/carelattice/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared work folder and read again, which ends its lineage."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,13 +6,15 @@ from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelattice.schemas import TABLES
+from carelattice.sources.multiline import read_multiline
 
 # Quoted fields may hold commas and quotes.
 _CSV = {"header": "true", "escape": '"'}
-# Rows per written CSV file. A file that is read with ``multiline`` cannot be split.
+# Rows per written CSV file.
 MAX_ROWS_PER_FILE = 2_000_000
 
 
@@ -58,15 +60,25 @@ def read_landed(spark: SparkSession, root: str, table: str, load_date: date | No
     """Raw rows of one landed table, all days or only ``load_date``; empty text reads as NULL.
 
     One day is read from its own folder, so other days are not even listed. CSV
-    fields with line breaks need ``multiline``, which makes every file one task.
+    fields with line breaks need ``multiline``; files are read in byte ranges either way.
     """
     schema = TABLES[table].raw_schema
+    if fmt == "csv" and multiline:
+        return _multiline(spark, f"{root}/{table}", schema, load_date)
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.options(**_CSV, multiLine=str(multiline).lower())
+        reader = reader.options(**_CSV)
     if load_date is not None:
         return reader.schema(schema).load(f"{root}/{table}/{day_folder(load_date)}")
     dated = T.StructType(
         schema.fields + [T.StructField(c, T.StringType()) for c in ("year", "month", "day")]
     )
     return reader.schema(dated).load(f"{root}/{table}")
+
+
+def _multiline(spark: SparkSession, folder: str, schema: T.StructType, load_date: date | None) -> DataFrame:
+    if load_date is not None:
+        return read_multiline(spark, f"{folder}/{day_folder(load_date)}", schema, _CSV)
+    rows = read_multiline(spark, folder, schema, _CSV, file_as="_file")
+    day = {c: F.regexp_extract("_file", f"/{c}=([^/]*)/", 1) for c in ("year", "month", "day")}
+    return rows.withColumns(day).drop("_file")

@@ -5,6 +5,9 @@ merge writes the months it changes into a folder of its own, and an entry in the
 commit log makes them the ones readers see; months without a replaced key stay
 where they are. A job that dies half way leaves no entry, and no later attempt
 writes to, or reads, the folder it left.
+
+With a key index a merge knows from what was written beside the pieces which of them
+may hold a key of the batch, and opens no other.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carelattice.sources import key_index
 from carelattice.operators.incremental import (
     deduplicate,
     first_of_both,
@@ -25,7 +29,7 @@ from carelattice.operators.incremental import (
     without_repeated_keyless,
 )
 
-_ENTRY_DDL = "version bigint, batch string, fields string, pieces array<struct<part:string,path:string>>"
+_ENTRY_DDL = "version bigint, batch string, fields string, pieces array<struct<part:string,path:string,index:string>>"
 _ATTEMPT, _PART = "snapshot_attempt", "snapshot_part"
 _UNDATED = "none"
 
@@ -46,18 +50,23 @@ class SnapshotTable:
 
     ``dated_by`` is the timestamp column whose month, or year with
     ``split="year"`` for small tables, splits the table; without it the table is
-    one part.
+    one part. ``indexed_by`` is the key by which it is merged; pieces written without
+    an index, or under another key, are always opened.
     """
 
     def __init__(self, spark: SparkSession, root: str, name: str, dated_by: str | None = None,
-                 split: str = "month"):
+                 split: str = "month", indexed_by: str | None = None):
         self.spark = spark
         self.name = name
+        self._indexed_by = indexed_by
+        # The pieces the last merge read keys from, as (part, path).
+        self.opened: list[tuple[str, str]] = []
         self._dated_by = dated_by
         self._digits = {"month": len("2024-01"), "year": len("2024")}[split]
         self._data = f"{root}/{name}/data"
         self._log = f"{root}/{name}/commits"
         self._incoming = f"{root}/{name}/incoming"
+        self._indexes = f"{root}/{name}/index"
 
     # ---- reading
 
@@ -138,12 +147,35 @@ class SnapshotTable:
         df.write.option("partitionOverwriteMode", "static").partitionBy(_PART).parquet(path)
         # The folder is this attempt's own. At most one row per calendar month.
         written = self.spark.read.schema(df.schema).parquet(path).select(_PART).distinct().collect()
-        pieces = [(p["part"], p["path"]) for p in kept]
-        pieces += [(r[_PART], f"{path}/{_PART}={r[_PART]}") for r in written]
+        index = self._index(df, path)
+        pieces = [(p["part"], p["path"], p["index"]) for p in kept]
+        pieces += [(r[_PART], f"{path}/{_PART}={r[_PART]}", index) for r in written]
         entry = self.spark.createDataFrame([(version, batch, fields.json(), pieces)], _ENTRY_DDL)
         entry.coalesce(1).write.json(f"{self._log}/{version:012d}~{batch or ''}")
         return version
 
+    def _index(self, df: DataFrame, path: str) -> str | None:
+        """Write the key index of the pieces just written below ``path``; returns its folder."""
+        key = self._indexed_by
+        if key is None or key not in df.columns:
+            return None
+        rows = self.spark.read.schema(df.schema).parquet(path).select(
+            key, F.concat(F.lit(f"{path}/{_PART}="), _PART).alias("_piece"))
+        folder = f"{self._indexes}/{key}/{path.rsplit('=', 1)[1]}"
+        key_index.build(rows, key, "_piece").coalesce(1).write.parquet(folder)
+        return folder
+
+    def _openable(self, pieces: Sequence, keys: DataFrame, key: str) -> list:
+        """The pieces that may hold one of ``keys``."""
+        known = [p for p in pieces if p["index"] and p["index"].startswith(f"{self._indexes}/{key}/")]
+        if not known or key != self._indexed_by:
+            return list(pieces)
+        index = self.spark.read.parquet(*sorted({p["index"] for p in known})).where(
+            F.col("piece").isin([p["path"] for p in known]))
+        found = key_index.may_hold(index, keys, keys.columns[0])
+        sure = {p["path"] for p in known} - set(found)
+        return [p for p in pieces if p["path"] not in sure]
+
     def commit(self, df: DataFrame, batch: str | None = None) -> int:
         """Make ``df`` the whole content of the next version."""
         return self._write(df, [], batch, self._latest())
@@ -169,6 +201,7 @@ class SnapshotTable:
         unnamed empty batch commits nothing.
         """
         latest = self._latest()
+        self.opened = []
         winners = without_repeated_keyless(deduplicate(new, key, order_by), key)
         if latest is None:
             return self._write(winners, [], batch, None)
@@ -179,8 +212,10 @@ class SnapshotTable:
         if batch is None and winners.isEmpty():
             return latest["version"]
         keys = winners.select(F.col(key).alias("_key")).distinct()
+        openable = self._openable(latest["pieces"], keys, key)
+        self.opened = [(p["part"], p["path"]) for p in openable]
         # At most one row per calendar month.
-        replaced = self._load(latest).join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+        replaced = self._load(latest, openable).join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
         touched = {r[_PART] for r in replaced.select(_PART).distinct().collect()}
         if touched:
             changed = self._load(latest, [p for p in latest["pieces"] if p["part"] in touched]).drop(_PART)
