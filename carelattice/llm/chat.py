@@ -30,7 +30,8 @@ LOSS_ROLE = "assistant"
 # Text bytes placed at once.
 _BLOCK = 1 << 20
 
-_TURN = re.compile(rb"<turn ((?:[^\\>]|\\.)*)>\n((?:[^\\<]|\\.|<(?!/?turn))*)</turn>\n", re.DOTALL)
+# Nothing of a turn is tried twice, so no places to go back to are kept.
+_TURN = re.compile(rb"<turn ((?:[^\\>]++|\\.)*+)>\n((?:[^\\<]++|\\.|<(?!/?turn))*+)</turn>\n", re.DOTALL)
 _ESCAPED = re.compile(rb"\\(.)", re.DOTALL)
 _ROLE_SPECIAL = re.compile(rb"[\\<>]")
 

@@ -1,4 +1,6 @@
 import hashlib
+import subprocess
+import sys
 
 import pyarrow as pa
 import pytest
@@ -59,3 +61,23 @@ def test_conversations_equal_brute_force(spark):
     assert chat.digests(chat.format_turns(df.limit(0))).collect() == []
     size = sum(len(r["formatted"]) for r in formatted.collect())
     assert sum(r["formatted_chars"] for r in chat.digests(formatted).collect()) == size
+
+
+def test_one_very_long_turn_is_read_in_little_memory():
+    """In a process of its own, whose peak is known: 64 MB of text, of which a quarter is escaped."""
+    code = """
+import resource
+import pyarrow as pa
+from carelattice.llm import chat
+text = "x\\\\<turn y" * (64 * 1024 * 1024 // 8)
+formatted, first, end = chat.assemble(pa.array(["assistant"]), pa.array([text], pa.large_string()))
+raw = formatted[0].as_buffer().to_pybytes()
+del formatted
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+found = chat._TURN.match(raw)
+assert found and found.end() == len(raw)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr
+    assert int(out.stdout) < 100 * 1024
