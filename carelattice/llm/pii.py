@@ -15,6 +15,7 @@ patterns are sent to the tasks; more are joined, with the same result.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -35,15 +36,15 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 # What may be an identifier without fitting a rule: groups of digits, or one word
 # with digits in it or an at sign.
-_DIGITS = re.compile(r"\(?[0-9][0-9().\x20-]*+(?<=[0-9])")
-_TOKEN = re.compile(r"[^\s,;\"'<>()\[\]{}]*[0-9@][^\s,;\"'<>()\[\]{}]*")
+_DIGITS = re.compile(r"\(?[0-9](?:[().\x20-]*+[0-9])*+")
+_TOKEN = re.compile(r"[^\s,;\"'<>()\[\]{}]++")
+_WORD = re.compile(r"\S++")
 _ANY = re.compile(r"[0-9@]")
 
 IN_TASK = 100_000
 MIN_INSTANCES = 3
 MIN_SCORE = 0.5
 ROUNDS = 2
-_CONTEXT = 80
 
 
 def _luhn(digits: str) -> bool:
@@ -100,6 +101,8 @@ def candidate_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[
         if sum(c.isdigit() for c in m[0]) >= 7:
             found.append(m.span())
     for m in _TOKEN.finditer(text):
+        if not _ANY.search(m[0]):
+            continue
         token = m[0].rstrip(".:!?")
         digits = sum(c.isdigit() for c in token)
         if len(token) >= 8 and (digits >= 4 or "@" in token.strip("@")):
@@ -115,15 +118,24 @@ def candidate_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[
     return out
 
 
-def pattern_before(text: str, start: int) -> str | None:
-    """The two words before a place, lower-cased, if the place follows white space."""
-    left = text[max(0, start - _CONTEXT):start]
-    if not left or not left[-1].isspace():
-        return None
-    words = left.lower().split()
-    if len(words) < 2 or (len(words) == 2 and start > _CONTEXT):
-        return None
-    return f"{words[-2]} {words[-1]}"
+class Words:
+    """The words of a text, found when the first is asked for."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.ends: list[int] | None = None
+
+    def pattern_before(self, start: int) -> str | None:
+        """The two words before a place, lower-cased, if the place follows white space."""
+        if not start or not self.text[start - 1].isspace():
+            return None
+        if self.ends is None:
+            self.ends = [m.end() for m in _WORD.finditer(self.text)]
+        at = bisect_right(self.ends, start)
+        if at < 2:
+            return None
+        before = self.ends[at - 3] if at > 2 else 0
+        return " ".join(self.text[before:self.ends[at - 1]].lower().split())
 
 
 def _edges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,8 +145,9 @@ def _edges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = base_spans(text or "")
             spans = [(KINDS[k], s, e) for k, s, e in base]
             spans += [("", s, e) for s, e in candidate_spans(text or "", base)]
+            words = Words(text or "")
             for kind, s, e in spans:
-                pattern = pattern_before(text, s)
+                pattern = words.pattern_before(s)
                 if pattern:
                     seen[pattern, text[s:e].lower(), kind] += 1
         if seen:
@@ -238,9 +251,9 @@ def all_spans(text: str, patterns: dict[str, str]) -> tuple[list, list]:
     base = base_spans(text)
     if not patterns:
         return base, base
-    added = []
+    added, words = [], Words(text)
     for s, e in candidate_spans(text, base):
-        kind = patterns.get(pattern_before(text, s) or "")
+        kind = patterns.get(words.pattern_before(s) or "")
         if kind:
             added.append((KINDS.index(kind), s, e))
     return base, sorted(base + added) if added else base
@@ -254,8 +267,9 @@ def _contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in by_record(batches):
         seen: dict = {}
         for key, text in zip(*[c.to_pylist() for c in batch.columns]):
+            words = Words(text)
             for s, _ in candidate_spans(text, base_spans(text)):
-                pattern = pattern_before(text, s)
+                pattern = words.pattern_before(s)
                 if pattern:
                     seen[key, pattern] = None
         if seen:

@@ -1,5 +1,8 @@
 import re
+import time
 
+import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -45,6 +48,31 @@ def test_long_runs_take_linear_time():
         pii.candidate_spans(text, [])
 
 
+@pytest.mark.parametrize("text", ["1 " + "a" * 1_000_000, "a" * 1_000_000 + "1", "1 " * 500_000 + "x", "1" + " " * 1_000_000, "1(" * 500_000 + "x",
+                                  "no 1234567 " * 100_000, "1 " + "ab " * 300_000 + "1234567"])
+def test_a_megabyte_takes_little_time(text):
+    begun = time.process_time()
+    pii.all_spans(text, {"passport no": "card"})
+    list(pii._edges([pa.RecordBatch.from_arrays([pa.array([text])], names=["text"])]))
+    assert time.process_time() - begun < 5
+
+
+@pytest.mark.parametrize("text, found", [
+    ("call (555) 123 4567 now", ["(555) 123 4567"]), ("passport no 123 456 789 was", ["123 456 789"]),
+    ("(555) 123 4567, or", ["(555) 123 4567"]), ("a 12 34 b 1234567", ["1234567"]), ("of 1234567) x", ["1234567"]),
+    ("id AB-1234-x. and abc", ["AB-1234-x"]), ("12 345 6 - ", []), ("x@y and user@host_1 z", ["user@host_1"]),
+])
+def test_candidates(text, found):
+    assert [text[s:e] for s, e in pii.candidate_spans(text, [])] == found
+
+
+def test_patterns_reach_back_over_any_length():
+    far = "x" * 500
+    for text, want in ((f"{far} {far} 1234567", f"{far} {far}"), ("Passport NO" + " " * 300 + "\n1234567", "passport no"),
+                       ("no 1234567", None), ("a no-1234567", None), (f"the {far}\t1234567", f"the {far}"), ("1234567", None)):
+        assert pii.Words(text).pattern_before(text.index("1234567")) == want
+
+
 def test_patterns_find_unseen_identifiers_and_spare_the_rest(spark):
     seeds = [f"please call us at +1 (988) 555-{1000 + i} today about order item" for i in range(30)]
     hidden = ["please call us at 988-555-7777 today", "Call us  at 988.555.8888 now"]
