@@ -32,10 +32,15 @@ _MAIN = frozenset(["article", "main"])
 _ITEMS = frozenset("li dt dd td th tr".split())
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _HINT = re.compile(
-    r"(?:^|[\s_-])(?:nav\w*|menu\w*|header|masthead|footer|foot|sidebar|side|aside|ad|ads|advert\w*|banner\w*|"
+    r"(?:^|[_-])(?:nav\w*|menu\w*|header|masthead|footer|foot|sidebar|side|aside|ad|ads|advert\w*|banner\w*|"
     r"promo\w*|sponsor\w*|cookie\w*|consent|gdpr|notice\w*|alert|popup|modal|overlay|newsletter|subscribe|"
     r"signup|login|social|shar(?:e|ing)\w*|related|recommend\w*|comment\w*|disqus|replies|breadcrumbs?|"
-    r"pagination|pager|widget\w*|toolbar|skip)(?:$|[\s_-])", re.IGNORECASE)
+    r"pagination|pager|widget\w*|toolbar|skip)(?:$|[_-])", re.IGNORECASE)
+# Words that make a name speak of a thing instead of being it: has-sidebar, no-comments, side-by-side.
+_ABOUT = re.compile(r"(?:^|[_-])(?:has|have|with|without|no|not|by|is|on|off|enabled|disabled)(?:$|[_-])", re.IGNORECASE)
+# The head of an article, not of a page.
+_OWN_HEAD = re.compile(r"^(?:post|entry|article|story|content|section)[_-]+(?:header|masthead)$", re.IGNORECASE)
+_HEAD = re.compile(r"(?:^|[_-])(?:header|masthead)(?:$|[_-])", re.IGNORECASE)
 _ROLE = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu".split())
 _STOP_WORDS = frozenset(
     # en
@@ -48,7 +53,7 @@ _STOP_WORDS = frozenset(
     "el los del las por con una su para lo como más al o y no".split())
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:[^>\"']|\"[^\"<]*\"|'[^'<]*'|[\"'])*?(?:/>|>.*?(?:</\1\s*>|\Z))"
+    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:[^>\"']|\"[^\"<]*\"|'[^'<]*'|[\"'])*+(?:(?<=/)>|>.*?(?:</\1\s*>|\Z)|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|</?[a-zA-Z][^>]*>|<[!?][^>]*>|<[a-zA-Z/!?][^>]*\Z",
     re.DOTALL | re.IGNORECASE)
@@ -69,24 +74,63 @@ class Block:
     boilerplate: bool
     inside: bool
     heading: bool
+    # Numbers of the elements around it whose class or id hints at boilerplate, outermost first.
+    hints: tuple[int, ...] = ()
 
 
 @dataclass
 class _Page:
     blocks: list[Block] = field(default_factory=list)
     parts: list[tuple[str, bool]] = field(default_factory=list)
+    # Hints around each <article> or <main> that is in no other, in page order.
+    around: list[tuple[int, ...]] = field(default_factory=list)
 
 
-def _hinted(name: str, attributes: str) -> bool:
-    """Whether an element's attributes mark it as something beside the article."""
+def _attributes(name: str, attributes: str) -> dict[str, str]:
     if not attributes or name in ("body", "html"):
-        return False
-    found = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
+        return {}
+    return {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
+
+
+def _hidden(found: dict[str, str]) -> bool:
+    """Whether an element is not shown, or its role is none of an article."""
     return bool(
         "hidden" in found or found.get("aria-hidden", "").lower() == "true"
         or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""))
-        or found.get("role", "").lower() in _ROLE
-        or (name not in _MAIN and _HINT.search(f"{found.get('class', '')} {found.get('id', '')}")))
+        or found.get("role", "").lower() in _ROLE)
+
+
+def _hinted(found: dict[str, str], inside: bool) -> bool:
+    """Whether a class or an id names something beside the article; ``inside`` it, a head is its own."""
+    return any(
+        _HINT.search(name) and not _ABOUT.search(name) and not _OWN_HEAD.match(name) and not (inside and _HEAD.search(name))
+        for name in f"{found.get('class', '')} {found.get('id', '')}".split())
+
+
+def _without_wrappers(page: _Page) -> None:
+    """Settle which blocks are boilerplate: hints count unless they would take the article away.
+
+    If all articles are in hinted elements, the hints around the first one with text do not count
+    (comments and related articles follow), nor does the outermost hint around most of the prose of a page without an article or
+    other prose.
+    """
+    blocks = page.blocks
+    void: set[int] = set()
+    shown = [b for b in blocks if not b.boilerplate]
+    mains = [b for b in shown if b.inside]
+    if mains:
+        if all(b.hints for b in mains):
+            held = {b.hints for b in mains}
+            void = set(next((h for h in page.around if h in held), mains[0].hints))
+    else:
+        prose = [b for b in shown if _is_prose(b)]
+        if prose and all(b.hints for b in prose):
+            sizes: dict[int, int] = {}
+            for b in prose:
+                sizes[b.hints[0]] = sizes.get(b.hints[0], 0) + len(b.text)
+            void = {max(sizes, key=lambda h: (sizes[h], -h))}
+    for b in blocks:
+        b.boilerplate = b.boilerplate or any(h not in void for h in b.hints)
 
 
 def _linked(attributes: str) -> bool:
@@ -98,8 +142,9 @@ def _linked(attributes: str) -> bool:
 def blocks_of(html: str) -> list[Block]:
     """The blocks of a page in page order, without markup."""
     page = _Page()
-    # Open elements that matter: (name, boilerplate, main). Unclosed ones end with their parent.
-    stack: list[tuple[str, bool, bool]] = []
+    # Open elements that matter: (name, boilerplate, main, hint). Unclosed ones end with their parent.
+    stack: list[tuple[str, bool, bool, int | None]] = []
+    hints = 0
     anchor = heading = False
     # Blocks open around the link; it ends with the innermost of them.
     around = 0
@@ -111,7 +156,7 @@ def blocks_of(html: str) -> list[Block]:
             linked = sum(len("".join(t.split())) for t, a in page.parts if a)
             size = max(1, len(text.replace(" ", "")))
             page.blocks.append(Block(text, min(1.0, linked / size), any(s[1] for s in stack),
-                                     any(s[2] for s in stack), heading))
+                                     any(s[2] for s in stack), heading, tuple(s[3] for s in stack if s[3] is not None)))
         page.parts.clear()
 
     at = 0
@@ -150,26 +195,37 @@ def blocks_of(html: str) -> list[Block]:
             anchor = False
         main = name in _MAIN
         inside = any(s[2] for s in stack)
-        out = name in _BOILERPLATE or (name == "header" and not inside) or _hinted(name, token[4])
-        if out or main or block:
-            if out and not block:
+        found = _attributes(name, token[4])
+        out = name in _BOILERPLATE or (name == "header" and not inside) or _hidden(found)
+        hint = None
+        if not out and not main and _hinted(found, inside):
+            hint = hints = hints + 1
+        if main and not inside:
+            page.around.append(tuple(s[3] for s in stack if s[3] is not None))
+        if out or hint or main or block:
+            if (out or hint) and not block:
                 close_block()
-            stack.append((name, out, main))
+            stack.append((name, out, main, hint))
     if at < len(html):
         page.parts.append((unescape(html[at:]), anchor))
     close_block()
+    _without_wrappers(page)
     return page.blocks
 
 
+def _is_prose(block: Block) -> bool:
+    """Whether a block is long, rich in stop words and not made of links."""
+    if block.links > LINKED or len(block.text) < LONG:
+        return False
+    words = _LETTERS.findall(block.text.lower())
+    return bool(words) and sum(w in _STOP_WORDS for w in words) >= STOP_SHARE * len(words)
+
+
 def _first_pass(block: Block, has_main: bool) -> bool | None:
     """True: article, False: not, None: undecided."""
     if block.boilerplate or block.links > LINKED or (has_main and not block.inside):
         return False
-    words = _LETTERS.findall(block.text.lower())
-    stops = sum(w in _STOP_WORDS for w in words)
-    if len(block.text) >= LONG and words and stops >= STOP_SHARE * len(words):
-        return True
-    return None
+    return True if _is_prose(block) else None
 
 
 def _seeded(blocks: list[Block], labels: list[bool | None]) -> list[bool | None]:

@@ -1,4 +1,5 @@
 import re
+import time
 from html import unescape
 
 import pandas as pd
@@ -85,3 +86,40 @@ def test_pages_without_a_decided_block(html, text):
 ])
 def test_links_end(html, text):
     assert html_blocks.main_text(html) == text
+
+
+WRAPPERS = ["layout has-sidebar", "with-sidebar", "side-by-side", "no-comments", "single-post share-on", "sidebar-layout", "share",
+            "related-page", "widget-area main-widget", "promo", "header-on page"]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_wrappers_do_not_swallow_the_article(name):
+    side = f"<div class='sidebar'>{MORE}</div><section id='comments'><article><p>{MORE}</p></article></section>"
+    page = f"<nav>Menu</nav><div class='{name}'><article><h1>T</h1><p>{PROSE}</p>{{}}</article></div>"
+    assert html_blocks.main_text(page.format("")) == f"T\n\n{PROSE}"
+    assert html_blocks.main_text(f"<body id='{name}'>" + page.format(side) + side) == f"T\n\n{PROSE}"
+    plain = f"<nav>Menu</nav><div class='{name}'><h1>T</h1><p>{PROSE}</p><p>{PROSE}</p><div class='ad'>{MORE}</div></div>"
+    assert html_blocks.main_text(plain) == f"T\n\n{PROSE}\n\n{PROSE}"
+
+
+@pytest.mark.parametrize("head", ["post-header", "entry-header", "article_header", "header"])
+def test_the_head_of_an_article_is_its_own(head):
+    assert html_blocks.main_text(f"<article><div class='{head}'><h1>T</h1></div><p>{PROSE}</p></article>") == f"T\n\n{PROSE}"
+    assert html_blocks.main_text(f"<header>Site</header><div class='page-header'>Site</div><p>{PROSE}</p>") == PROSE
+
+
+def test_comments_stay_out_where_there_is_an_article():
+    for kind in ("comments", "comment-list", "related posts", "newsletter-signup"):
+        page = f"<article><p>{PROSE}</p></article><div class='{kind}'><article><p>{MORE}</p></article><p>{MORE}</p></div>"
+        assert html_blocks.main_text(page) == PROSE
+        assert html_blocks.main_text(f"<div><p>{PROSE}</p></div><div class='{kind}'>" + f"<p>{MORE}</p>" * 5 + "</div>") == PROSE
+
+
+@pytest.mark.parametrize("name", "script style title textarea noscript template iframe xmp".split())
+def test_cut_off_raw_elements_take_linear_time(name):
+    begun = time.process_time()
+    for attributes in (' data-x="v"' * 30, " data-x='v'" * 3_000, ' a="' * 3_000, " x='\"" * 3_000, ' a="v"' * 100_000):
+        assert html_blocks.main_text(f"<p>{PROSE}</p><{name}{attributes}") == PROSE
+        assert html_blocks.main_text(f"<p>{PROSE}</p><{name}{attributes}>text") == PROSE
+    assert html_blocks.main_text(f"<p>{PROSE}</p><{name} a='x'/><p>{MORE}</p>") == f"{PROSE}\n\n{MORE}"
+    assert time.process_time() - begun < 5
