@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carelattice import functions as fn
-from carelattice.operators import incremental, quality
+from carelattice.operators import incremental, quality, sketches
 from carelattice.operators.flatten import flatten
 from carelattice.harness import bindings, bundle_text, oracle
 from carelattice.plans import checks, enrichment, marts, refresh
@@ -183,6 +183,31 @@ def medication_patterns_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("medication_patterns_crowded", oracle.MEDICATION_PATTERNS_CROWDED)
+def medication_patterns_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all diagnoses is one condition with very many medications; no task ranks it alone."""
+    medication, condition = _staged(spark, sf_dir, "medication_request", "condition")
+    crowd = F.expr(_FIRST_NUMBER.format("condition_id")) % 3 == 0
+    many = F.concat_ws("/", "medication_name", F.expr(_FIRST_NUMBER.format("medication_id")) % 2000)
+    return marts.medication_patterns(
+        medication.withColumn("medication_name", many),
+        condition.withColumn("condition_name", F.when(crowd, "CROWD").otherwise(F.col("condition_name"))), crowded=True)
+
+
+@register("prevalence_estimated", oracle.PREVALENCE_ESTIMATED)
+def prevalence_estimated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts from monthly sketches beside the exact ones: all within five standard errors."""
+    condition, patient = _staged(spark, sf_dir, "condition", "patient")
+    estimates = marts.estimated_prevalence(marts.patient_sketches(condition, patient))
+    group, counts = ["condition_name", *marts.DEMOGRAPHICS], ["patients_with_condition", "total_group_patients"]
+    both = marts.prevalence(condition, patient).join(
+        estimates.withColumnsRenamed({c: f"estimated_{c}" for c in counts}), group, "full")
+    bound = 5 * sketches.relative_error()
+    near = [F.coalesce(F.abs(F.col(c) - F.col(f"estimated_{c}")) <= F.greatest(F.lit(1.0), F.col(c) * bound), F.lit(False))
+            .alias(f"{c}_near") for c in counts]
+    return both.select(*group, *counts, *near)
+
+
 # A presented mart with the place of each row, since rows of a result have no order of their own.
 _PRESENTED = {"prevalence": prevalence, "length_of_stay": length_of_stay, "medication_patterns": medication_patterns}
 

@@ -267,6 +267,21 @@ MEDICATION_PATTERNS = sql("""
 
 MEDICATION_PATTERNS_TOP3 = f"SELECT * FROM ({MEDICATION_PATTERNS}) WHERE rn <= 3"
 
+MEDICATION_PATTERNS_CROWDED = sql("""
+    SELECT *, rank() OVER (PARTITION BY condition_name ORDER BY total_prescriptions DESC) AS rn
+    FROM (SELECT medication_name, condition_name, count(DISTINCT patient_id) AS patients_count,
+            count(*) AS total_prescriptions
+          FROM medication_condition GROUP BY 1, 2)
+""", "medication_condition", over={
+    "medication_request": "SELECT * REPLACE (medication_name || '/' || CAST(split_part(medication_id, '-', 1) AS BIGINT) % 2000 AS medication_name) "
+                          "FROM all_medication_request",
+    "condition": "SELECT * REPLACE (CASE WHEN CAST(split_part(condition_id, '-', 1) AS BIGINT) % 3 = 0 THEN 'CROWD' "
+                 "ELSE condition_name END AS condition_name) FROM all_condition"})
+
+PREVALENCE_ESTIMATED = (
+    "SELECT * EXCLUDE (prevalence_percentage), TRUE AS patients_with_condition_near, TRUE AS total_group_patients_near FROM ("
+    + prevalence("diagnosed", 100, "prevalence_percentage") + ")")
+
 INCREMENTAL_FILTER = sql("""
     SELECT * FROM late_claims
     WHERE created_date > (SELECT coalesce(max(created_date), TIMESTAMP '1900-01-01 00:00:00') FROM early_claims)

@@ -15,8 +15,9 @@ from carelattice.functions import (
     safe_divide,
     surrogate_key,
 )
-from carelattice.operators import skew
+from carelattice.operators import sketches, skew
 from carelattice.operators.histogram import describe, histogram
+from carelattice.operators.ranking import rank_within
 from carelattice.operators.visits import GAP, with_visit_gap
 
 DEMOGRAPHICS = ("age_group", "gender", "race")
@@ -133,6 +134,30 @@ def prevalence(condition: DataFrame, patient: DataFrame, scale: int = 100,
     )
 
 
+def patient_sketches(condition: DataFrame, patient: DataFrame) -> DataFrame:
+    """(period, condition_name, demographics, ids): a sketch of the patients per month of record and group.
+
+    Sketches of a month never change once it is over, so a refresh makes those of new
+    months only. Groups with an unknown demographic drop out, as in :func:`prevalence`.
+    """
+    people = patient.select("patient_id", age_bucket("age").alias("age_group"), "gender", "race").na.drop()
+    month = F.date_trunc("month", "recorded_date")
+    pairs = condition.select("patient_id", "condition_name", "recorded_date").withColumn("month", month).drop("recorded_date").distinct()
+    return sketches.sketch(
+        pairs.join(people, "patient_id"), F.col("month"), ["condition_name", *DEMOGRAPHICS], "patient_id")
+
+
+def estimated_prevalence(patients: DataFrame) -> DataFrame:
+    """The counts of :func:`prevalence` from :func:`patient_sketches` of any months, as estimates.
+
+    Their relative standard error is :func:`sketches.relative_error`.
+    """
+    sick = sketches.estimated(sketches.merged(patients, ["condition_name", *DEMOGRAPHICS]), "patients_with_condition")
+    groups = sketches.estimated(sketches.merged(patients, DEMOGRAPHICS), "total_group_patients")
+    return sick.join(groups, list(DEMOGRAPHICS)).select(
+        "condition_name", *DEMOGRAPHICS, "patients_with_condition", "total_group_patients")
+
+
 _VISIT_KEY = ["encounter_id", "patient_id"]
 
 
@@ -167,14 +192,16 @@ def length_of_stay(encounter: DataFrame, condition: DataFrame, unit: str = "minu
 
 
 def medication_patterns(medication: DataFrame, condition: DataFrame,
-                        top_k: int | None = None) -> DataFrame:
+                        top_k: int | None = None, crowded: bool = False) -> DataFrame:
     """Medications per condition by number of prescriptions, ranked with gaps on ties.
 
     Prescriptions count every pairing of a request with a condition of the same
     encounter and patient; unpaired requests form the NULL condition. Neither
     side is paired row by row: equal names within an encounter are counted
     first and the counts multiplied, so an encounter with very many rows brings
-    only its distinct names to the join.
+    only its distinct names to the join. Conditions are ranked by a window each, or
+    with ``crowded`` all together by :func:`rank_within`, which writes the counts once
+    and needs no task that holds a whole condition.
     """
     requests = _named_per_visit(medication, "medication_name", "_requests")
     diagnoses = _named_per_visit(condition, "condition_name", "_diagnoses")
@@ -182,8 +209,11 @@ def medication_patterns(medication: DataFrame, condition: DataFrame,
         F.count_distinct("patient_id").alias("patients_count"),
         F.sum(F.col("_requests") * F.coalesce("_diagnoses", F.lit(1))).alias("total_prescriptions"),
     )
-    order = Window.partitionBy("condition_name").orderBy(F.col("total_prescriptions").desc())
-    ranked = counts.withColumn("rn", F.rank().over(order).cast("bigint"))
+    if crowded:
+        ranked = rank_within(counts, "condition_name", "total_prescriptions")
+    else:
+        order = Window.partitionBy("condition_name").orderBy(F.col("total_prescriptions").desc())
+        ranked = counts.withColumn("rn", F.rank().over(order).cast("bigint"))
     return ranked if top_k is None else ranked.where(F.col("rn") <= top_k)
 
 
