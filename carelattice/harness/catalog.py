@@ -14,7 +14,7 @@ from carelattice import functions as fn
 from carelattice.operators import incremental, quality, sketches
 from carelattice.operators.flatten import flatten
 from carelattice.harness import bindings, bundle_text, oracle
-from carelattice.plans import checks, enrichment, marts, refresh
+from carelattice.plans import bucketed, checks, enrichment, marts, refresh
 from carelattice.schemas import TABLES
 from carelattice.session import work_path, written
 from carelattice.sources import bundles, landing, registry
@@ -58,6 +58,9 @@ for _name in TABLES:
 
 # ---- enrichment
 
+# Small tables need a small target to be split.
+_SMALL_TASKS = 2_000
+
 _ENRICHMENTS = {
     "condition_patient": (enrichment.condition_patient, "condition", "patient"),
     "encounter_claim": (enrichment.encounter_claim, "encounter", "claim", "procedure"),
@@ -76,6 +79,20 @@ for _name in _ENRICHMENTS:
     register(f"enrich_{_name}", oracle.rows_of(_name))(_enrich_query(_name))
 
 
+def _bucketed_query(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The model over staging tables laid out by visit."""
+        inputs = _ENRICHMENTS[name][1:]
+        laid = bucketed.by_visit(dict(zip(inputs, _staged(spark, sf_dir, *inputs))))
+        return bucketed.enriched(name, laid, rows_per_task=_SMALL_TASKS)
+
+    return query
+
+
+for _name in ("encounter_claim", "encounter_condition", "medication_condition"):
+    register(f"bucketed_{_name}", oracle.rows_of(_name))(_bucketed_query(_name))
+
+
 def _renumbered(df: DataFrame, number: str, cases: dict[str, str], columns: tuple[str, ...]) -> DataFrame:
     """``df`` with ``columns`` set to a value wherever a condition on ``number`` (called n) holds."""
     choice = F.expr("case " + " ".join(f"when {c} then '{v}'" for c, v in cases.items()) + " end")
@@ -84,8 +101,7 @@ def _renumbered(df: DataFrame, number: str, cases: dict[str, str], columns: tupl
 
 
 # A third of all claims, requests or visits on one encounter or patient, and a second
-# encounter with many rows on both sides. Small tables need a small target to be split.
-_SMALL_TASKS = 2_000
+# encounter with many rows on both sides.
 _FIRST_NUMBER = "cast(split({0}, '-')[0] as bigint)"
 
 

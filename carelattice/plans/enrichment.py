@@ -44,10 +44,16 @@ def _specs(s: Mapping[str, DataFrame]) -> dict[str, tuple[str, list[JoinSpec]]]:
     }
 
 
+def joins(name: str, staged: Mapping[str, DataFrame]) -> tuple[DataFrame, list[JoinSpec]]:
+    """The table a model starts from and what is joined to it."""
+    base, specs = _specs(staged)[name]
+    return staged[base], specs
+
+
 def model(name: str, staged: Mapping[str, DataFrame], **options) -> DataFrame:
     """One enriched model over the staged tables it needs."""
-    base, specs = _specs(staged)[name]
-    return enrich(staged[base], specs, **options)
+    base, specs = joins(name, staged)
+    return enrich(base, specs, **options)
 
 
 def fan_outs(base: str, staged: Mapping[str, DataFrame]) -> dict[str, list[JoinSpec]]:
