@@ -19,7 +19,7 @@ from carelattice.schemas import TABLES
 from carelattice.session import work_path, written
 from carelattice.sources import bundles, landing, registry
 from carelattice.sources.snapshots import SnapshotTable
-from carelattice.streaming import ingest
+from carelattice.streaming import ingest, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -685,6 +685,25 @@ def stream_readmission_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visits.read()
 
 
+@register("stream_readmission_state", oracle.READMISSION_FLAG)
+def stream_readmission_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encounters in three landings that are not ordered by date, some twice: flags from state per patient."""
+    root = work_path(spark, "stream")
+    encounter = bindings.raw(spark, sf_dir, "encounter")
+    n = F.col("encounter_id").cast("bigint")
+    visits = SnapshotTable(spark, f"{root}/state", "visits", "start_date", "year")
+    landings = (
+        encounter.where(n % 3 == 0),
+        encounter.where((n % 3 == 1) | (n % 50 == 0)),
+        encounter.where((n % 3 == 2) | (n % 17 == 0)),
+    )
+    for number, batch in enumerate(landings):
+        landing.land(batch, f"{root}/landed", "encounter", date(2024, 6, 7 + number), fmt="parquet")
+        stateful.flag_readmissions_with_state(
+            ingest.landed_stream(spark, f"{root}/landed", "encounter"), visits, f"{root}/checkpoint", bindings.AS_OF)
+    return visits.read()
+
+
 @register("stream_unique", oracle.STREAM_UNIQUE)
 def stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations that arrive newest first, most of them again: late first-seen keys are kept."""
