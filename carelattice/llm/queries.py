@@ -91,7 +91,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontaminate.contamination(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), unnamed=True)
     return judged.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
@@ -188,7 +188,7 @@ select conv_id, count(*) as n_turns,
     + length(regexp_replace(text, '\\|</?turn', '\\\0', 'g'))) as bigint) as formatted_chars
 from turns group by conv_id""",
     "op10_decontaminate": f"""
-with items as (select item_id, {_WORDS10} as w from benchmark where item_id is not null),
+with items as (select item_id, {_WORDS10} as w from benchmark),
 windows as (
   select distinct item_id, array_to_string(w[i:i + 12], ' ') as phrase, least(len(w), 13) as n
   from (select item_id, w, unnest(generate_series(1, greatest(len(w) - 12, 1))) as i from items where len(w) > 0)),
@@ -203,7 +203,7 @@ hit as (
   from (select doc_id, unnest(generate_series(i, i + n - 1)) as pos from found) group by 1),
 named as (
   select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
-  from (select distinct doc_id, cast(item_id as varchar) as id from found) group by 1)
+  from (select distinct doc_id, cast(item_id as varchar) as id from found where item_id is not null) group by 1)
 select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
   cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256,
   coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(d.w) as contaminated
