@@ -42,6 +42,17 @@ def test_cells_follow_the_product(sides):
     assert skew.heavy_cells(left, [right], ["k"]).count() == 0
 
 
+def test_cells_of_one_key_are_bounded(spark, sides, rows):
+    """A key with many rows on both sides: cells, and so the rows repeated in them, do not grow with their product."""
+    many = spark.range(3_000).select(F.lit("a").alias("k"))
+    found = skew.heavy_cells(many, [many], ["k"], 1).first()
+    assert 1_000 < found["_a1"] * found["_b1"] <= 1.1 * skew.MOST_CELLS
+    left, right = sides
+    cells = skew.heavy_cells(left, [right], ["k"], 1, most_cells=6)
+    assert max(r["_a1"] * r["_b1"] for r in cells.collect()) <= 12
+    assert rows(skew.balanced_left_join(left, right, ["k"], cells), "k", "l", "r") == rows(left.join(right, "k", "left"), "k", "l", "r")
+
+
 def test_enrich_chain_with_heavy_keys(sides, rows):
     left, right = sides[0].where("l < 90"), sides[1].where("r < 80")
     third = right.select("k", (F.col("r") * 2).alias("s")).where("s % 3 = 0")
