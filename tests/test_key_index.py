@@ -105,3 +105,28 @@ def test_no_key_is_missed(spark, kind):
     assert kind == "string" or key_index.may_hold(index, absent, "k") == set()
     assert key_index.may_hold(index, absent.limit(0), "k") == set()
     assert key_index.may_hold(index, spark.sql(f"select cast(null as {kind}) as k"), "k") == set()
+
+
+def test_keys_travel_to_their_blocks_not_filters(spark):
+    """Every task of the scan touches every block, but nothing of 4 KB per task and block is shuffled."""
+    held = spark.range(0, 400_000, 1, 16).select(F.col("id").cast("string").alias("k"), F.lit("p").alias("piece"))
+    index = key_index.build(held, "k", "piece")
+    rows = index.collect()
+    assert index.rdd.getNumPartitions() <= 2 and len({r["block"] for r in rows}) == rows[0]["blocks"] == 256
+    plan = index._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # The first lines are the last steps: the filter is made after the shuffle of keys.
+    assert 0 < plan.index("bitmap_construct_agg") < plan.index("REPARTITION_BY_NUM")
+    assert "partial_bitmap_construct_agg" not in plan[plan.index("REPARTITION_BY_NUM"):]
+
+
+def test_a_large_batch_is_probed_by_few_keys(spark, monkeypatch):
+    """All keys are looked up only in pieces that the first ones do not settle."""
+    held = spark.range(30_000).select(F.format_string("k%06d", "id").alias("k"), F.concat(F.lit("p"), F.col("id") % 3).alias("piece"))
+    alone = spark.createDataFrame([("k000000x", "q"), ("k029990x", "q")], "k string, piece string")
+    index = key_index.build(held.unionByName(alone), "k", "piece").localCheckpoint()
+    looked = []
+    hit = key_index._hit
+    monkeypatch.setattr(key_index, "_hit", lambda i, *a: looked.append({r[0] for r in i.select("piece").distinct().collect()}) or hit(i, *a))
+    keys = held.select("k").where("k < 'k029000'").unionByName(spark.createDataFrame([("k029990x",)], "k string"))
+    assert key_index.may_hold(index, keys, "k") == {"p0", "p1", "p2", "q"}
+    assert looked[0] == {"p0", "p1", "p2", "q"} and looked[1] <= {"q"}
