@@ -172,3 +172,16 @@ def test_landing_fewer_types_again_leaves_no_old_rows(resources, tmp_path):
     bundles.land_resources(resources, path)
     again = bundles.land_resources(resources.where("resource_type = 'Patient'"), path)
     assert {r[0] for r in again.select("resource_type").distinct().collect()} == {"Patient"}
+
+
+def test_landing_does_not_shuffle_resources(spark, tmp_path):
+    path = str(tmp_path / "resources")
+    claims = spark.range(0, 400, 1, 4).select(
+        F.spark_partition_id().cast("string").alias("bundle_id"), F.lit("p").alias("bundle_patient_id"),
+        F.col("id").cast("int").alias("position"), F.when(F.col("id") % 2 == 0, "Claim").otherwise("Patient").alias("resource_type"),
+        F.parse_json(F.lit("{}")).alias("resource"))
+    writers = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    landed = bundles.land_resources(claims, path)
+    makers = landed.groupBy(F.input_file_name()).agg(F.count_distinct("bundle_id"), F.count("*")).collect()
+    assert [(r[1], r[2]) for r in makers] == [(1, 50)] * 8
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == writers
