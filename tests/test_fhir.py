@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from carelattice.harness import bindings, catalog
 from carelattice.operators.flatten import flatten
 from carelattice.schemas import TABLES
 from carelattice.sources import bundles
@@ -185,3 +186,13 @@ def test_landing_does_not_shuffle_resources(spark, tmp_path):
     makers = landed.groupBy(F.input_file_name()).agg(F.count_distinct("bundle_id"), F.count("*")).collect()
     assert [(r[1], r[2]) for r in makers] == [(1, 50)] * 8
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == writers
+
+
+def test_files_of_one_bundle_are_compressed(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "work_path", lambda _, name: f"{tmp_path}/{name}")
+    found = catalog.fhir_files_roundtrip(spark, sf_dir)
+    files = [f for f in (tmp_path / "bundles").rglob("part-*") if f.is_file()]
+    assert files and all(f.name.endswith(".gz") for f in files)
+    read = bundles.read_bundles(spark, f"{tmp_path}/bundles/*", pattern="part-*")
+    assert read.count() == len(files) and bundles.quarantine(read).isEmpty()
+    assert found.where("table_name = 'claim'").count() == bindings.raw(spark, sf_dir, "claim").count()
