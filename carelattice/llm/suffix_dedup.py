@@ -155,7 +155,7 @@ def _anchor_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _bounds(ranges: int) -> np.ndarray:
-    """Smallest fingerprint of every range."""
+    """Smallest mixed fingerprint of every range."""
     return np.array([(i << 64) // ranges for i in range(ranges)], np.uint64)
 
 
@@ -229,7 +229,8 @@ def sorted_runs(texts: DataFrame, ranges: int, run_bytes: int) -> DataFrame:
                 wanted = lists[i].values.to_numpy()
                 for place, first, last, gram in anchors(text):
                     at = np.flatnonzero(np.isin(_signed(gram), wanted))
-                    for p, f, e, g in zip(place[at].tolist(), first[at].tolist(), last[at].tolist(), gram[at].tolist()):
+                    # Smallest fingerprints crowd near zero; mixed again, one to one, they fill all ranges.
+                    for p, f, e, g in zip(place[at].tolist(), first[at].tolist(), last[at].tolist(), _mix(gram[at]).tolist()):
                         held.add(text, owners[i], p, f, e, g)
                         if held.size > run_bytes:
                             yield _batch(list(held.pieces()))

@@ -114,3 +114,16 @@ def test_offsets_without_suffixes():
     low, high = np.array([3, 3, 9]), np.array([4, 4, 9])
     smallest, largest = suffix_dedup.repeated_offsets(order, order, low, high, np.zeros(3, bool))
     assert smallest.tolist() == [3, 3, 1] and largest.tolist() == [4, 4, 0]
+
+
+def test_ranges_are_about_equal(spark):
+    """Anchors have the smallest fingerprint of their window, which lie in a small part of all numbers."""
+    rng = Random(3)
+    texts = ["".join(rng.choices("abcdefgh ", k=4_000)) for _ in range(40)]
+    grams = [np.unique(np.concatenate([g for *_, g in suffix_dedup.anchors(t.encode())])).view(np.int64).tolist() for t in texts]
+    rows = [(bytes([i]) * 16, t, g) for i, (t, g) in enumerate(zip(texts, grams))]
+    runs = suffix_dedup.sorted_runs(spark.createDataFrame(rows, "key binary, text string, grams array<bigint>"), 16, 1 << 20)
+    sizes = Counter()
+    for r in runs.select("part", "low").collect():
+        sizes[r["part"]] += len(r["low"]) // 4
+    assert len(sizes) == 16 and max(sizes.values()) < 2 * sum(sizes.values()) / 16
