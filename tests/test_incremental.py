@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 
 from carelattice.operators import incremental
 from carelattice.plans import refresh
+from carelattice.session import small_splits
+from carelattice.sources import snapshots
 from carelattice.sources.snapshots import SnapshotTable
+from carelattice.streaming import ingest
 
 DDL = "k string, w timestamp_ntz, v int"
 
@@ -207,3 +210,33 @@ def test_load_increment_without_news_writes_nothing(spark, tmp_path):
     refresh.load_increment(table, claim, "claim")
     refresh.load_increment(table, claim, "claim")
     assert table.version == 1
+
+
+@pytest.fixture
+def many_row_groups(spark, tmp_path):
+    """One file of keyed rows in many row groups, which Spark's defaults read as one split."""
+    path = str(tmp_path / "source")
+    rows = spark.range(60_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("k"), F.lit(day(1)).cast("timestamp_ntz").alias("w"), F.col("id").cast("int").alias("v"))
+    rows.coalesce(1).write.option("parquet.block.size", 1 << 18).option("parquet.page.size", 1 << 14).parquet(path)
+    return path
+
+
+def test_a_merge_reads_small_splits(spark, many_row_groups, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "small_splits", lambda: small_splits("512k"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    table = SnapshotTable(spark, str(tmp_path), "t", dated_by="w")
+    source = spark.read.parquet(many_row_groups).withColumn("task", F.spark_partition_id())
+    table.merge(source, "k", incremental.newest_first("w", ["v"]))
+    assert table.read().count() == 60_000
+    assert table.read().select("task").distinct().count() > source.select("task").distinct().count()
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_a_stream_reads_small_splits(spark, many_row_groups, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "small_splits", lambda: small_splits("512k"))
+    found = []
+    stream = spark.readStream.schema(DDL).parquet(many_row_groups)
+    ingest.run_available(stream, lambda batch, _: found.append((batch.count(), batch.rdd.getNumPartitions())), str(tmp_path / "checkpoint"))
+    assert sum(n for n, _ in found) == 60_000
+    assert max(p for _, p in found) > spark.read.parquet(many_row_groups).rdd.getNumPartitions()
