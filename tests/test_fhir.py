@@ -196,3 +196,16 @@ def test_files_of_one_bundle_are_compressed(spark, sf_dir, tmp_path, monkeypatch
     read = bundles.read_bundles(spark, f"{tmp_path}/bundles/*", pattern="part-*")
     assert read.count() == len(files) and bundles.quarantine(read).isEmpty()
     assert found.where("table_name = 'claim'").count() == bindings.raw(spark, sf_dir, "claim").count()
+
+
+def test_bundles_of_one_split_are_parsed_by_many_tasks(spark, sf_dir):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        for name, tasks in (("patient", 4), ("encounter", 4)):
+            raw = bindings.raw(spark, sf_dir, name)
+            assert raw.rdd.getNumPartitions() == 1
+            assert catalog.QUERIES[f"fhir_{name}"](spark, sf_dir).rdd.getNumPartitions() == tasks
+    finally:
+        spark.conf.set(key, before)
