@@ -92,6 +92,18 @@ def test_medication_patterns_brute_force(spark, rows):
     assert rows(found, "medication_name", "condition_name", "patients_count", "total_prescriptions", "rn") == sorted(expected, key=repr)
 
 
+def test_medication_patterns_pairs_in_more_tasks(spark, rows, monkeypatch):
+    c = clinic(spark)
+    before = marts.medication_patterns(c["medication"], c["condition"])
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = c["medication"].count() + c["condition"].count()
+    monkeypatch.setattr(marts, "ROWS_PER_PAIRING_TASK", -(-n // (most + 3)))
+    after = marts.medication_patterns(c["medication"], c["condition"])
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (before, after)]
+    assert [p.count("REPARTITION_BY_NUM") for p in plans] == [0, 2]
+    assert rows(after) == rows(before)
+
+
 def test_length_of_stay_brute_force(spark):
     c = clinic(spark)
     stays = defaultdict(list)
