@@ -209,3 +209,35 @@ def test_bundles_of_one_split_are_parsed_by_many_tasks(spark, sf_dir):
             assert catalog.QUERIES[f"fhir_{name}"](spark, sf_dir).rdd.getNumPartitions() == tasks
     finally:
         spark.conf.set(key, before)
+
+
+ODD_BUNDLES = [
+    '{"entry":[{"resource":"text"},{"resource":7},{"resource":null},{},{"resource":{"resourceType":"Condition","id":"d1"}}]}',
+    '{"entry":[{"resource":{"resourceType":"Condition","id":"d2","id":"d3","code":{"text":["a"]}}},null,'
+    '{"resource":{"resourceType":"Patient","id":"p2"}}]}',
+    '{"entry":[5,{"resource":{"resourceType":"Claim","id":5,"total":{"value":12.50},"item":{}}}]}',
+    '{"entry":[{"resource":{"resourceType":"Patient","id":{"a":1.50}}},{"resource":{"resourceType":"Claim","id":"c2",'
+    '"total":{"value":"x"},"type":{"coding":"y"}}},{"resource":{"resourceType":["Claim"],"id":"c3"}}]}',
+    '{"entry":[{"resource":{"resourceType":"Observation","id":"o1","valueQuantity":{"value":0.0}}},'
+    '{"resource":{"resourceType":"Observation","id":"o2","code":{"coding":[null,{"code":"x"}]}}}]}',
+    '{"entry":{}}', '{"entry":[]}', "{}", "[1]", "no json", "", None,
+]
+
+
+def test_one_type_read_straight_from_bundles_is_the_same(spark, folder, rows):
+    """All types from one VARIANT per resource, and one type without it, give the same rows."""
+    odd = spark.createDataFrame([(f"odd{i}", text) for i, text in enumerate(ODD_BUNDLES)], "bundle_id string, value string")
+    text = bundles.read_bundles(spark, folder).unionByName(odd)
+    every = bundles.explode_bundles(text).cache()
+    where = ("bundle_id", "bundle_patient_id", "position", "resource_type")
+    for table, spec in TABLES.items():
+        one = bundles.explode_bundles(text, table)
+        assert one.schema["resource"].dataType.typeName() == "struct"
+        assert rows(one, *where) == rows(every.where(F.col("resource_type") == spec.resource_type), *where)
+        assert rows(flatten(one, table)) == rows(flatten(every, table)) != []
+
+
+def test_fhir_queries_build_no_variant_per_resource(spark, sf_dir):
+    for table in TABLES:
+        plan = catalog.QUERIES[f"fhir_{table}"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert "StructField(resource,StructType" in plan and "StructField(resource,VariantType" not in plan
