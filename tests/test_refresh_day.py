@@ -1,6 +1,7 @@
 """Refreshes driven by landed days."""
 
 from datetime import date
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,9 @@ from carelattice.harness import bindings
 from carelattice.operators.quality import QualityError
 from carelattice.plans import refresh
 from carelattice.schemas import TABLES
+from carelattice.session import side_by_side
 from carelattice.sources import landing
+from carelattice.sources.snapshots import SnapshotTable
 
 AS_OF = bindings.AS_OF
 REPEATED = tuple((f"raw_{t}", TABLES[t].key, "unique") for t in ("condition", "procedure", "medication_request"))
@@ -48,3 +51,31 @@ def test_a_day_without_its_visits_is_stopped(spark, raw, tmp_path):
     with pytest.raises(QualityError, match="claim.encounter_id"):
         refresh.refresh_day(spark, f"{root}/landed", f"{root}/clinic", date(2024, 6, 7), AS_OF, "year", REPEATED)
     assert not (tmp_path / "clinic" / "marts").exists()
+
+
+def test_tables_are_merged_side_by_side(spark, raw, tmp_path, monkeypatch):
+    """Merges of two tables meet while both run, and leave the session's settings as they were."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before, both, merge = spark.conf.get(key), Barrier(2, timeout=60), SnapshotTable.merge
+
+    def waiting(self, *args, **kwargs):
+        both.wait()
+        return merge(self, *args, **kwargs)
+
+    monkeypatch.setattr(SnapshotTable, "merge", waiting)
+    two = {n: raw[n] for n in ("encounter", "claim")}
+    staged = refresh.staging_layer(spark, two, str(tmp_path), AS_OF, "year")
+    assert {n: df.count() for n, df in staged.items()} == {n: df.count() for n, df in two.items()}
+    assert spark.conf.get(key) == before
+
+
+def test_an_error_in_one_piece_of_work_is_raised_after_all_ended(spark):
+    done = []
+
+    def fails():
+        raise ValueError("first")
+
+    with pytest.raises(ValueError, match="first"):
+        side_by_side(spark, {"a": fails, "b": lambda: done.append("b"), "c": lambda: done.append("c")}, most=1)
+    assert done == ["b", "c"]
+    assert side_by_side(spark, {"b": lambda: 2, "a": lambda: 1}) == {"b": 2, "a": 1} and side_by_side(spark, {}) == {}
