@@ -1,5 +1,6 @@
 """Refreshes driven by landed days."""
 
+import time
 from datetime import date
 from threading import Barrier
 
@@ -7,10 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelattice.harness import bindings
-from carelattice.operators.quality import QualityError
-from carelattice.plans import refresh
+from carelattice.operators.quality import QualityError, run_checks
+from carelattice.plans import checks, refresh
+from carelattice.plans.staging import stage
 from carelattice.schemas import TABLES
-from carelattice.session import side_by_side
+from carelattice.session import freed_shuffles, settings, side_by_side
 from carelattice.sources import landing
 from carelattice.sources.snapshots import SnapshotTable
 
@@ -79,3 +81,42 @@ def test_an_error_in_one_piece_of_work_is_raised_after_all_ended(spark):
         side_by_side(spark, {"a": fails, "b": lambda: done.append("b"), "c": lambda: done.append("c")}, most=1)
     assert done == ["b", "c"]
     assert side_by_side(spark, {"b": lambda: 2, "a": lambda: 1}) == {"b": 2, "a": 1} and side_by_side(spark, {}) == {}
+
+
+def _shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = manager.getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def _left(spark, before):
+    """Shuffle files made since ``before``; deleting them may take a moment."""
+    for _ in range(50):
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    return left
+
+
+def test_merge_frees_what_it_shuffled(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path), "t", "at", "year", indexed_by="id")
+    rows = spark.createDataFrame([(f"k{i % 40}", f"{2000 + i % 3}-01-01", i) for i in range(400)], "id string, at string, n int")
+    order = [F.col("n").desc()]
+    before = _shuffle_files(spark)
+    table.merge(rows, "id", order)
+    table.merge(rows.withColumn("n", F.col("n") + 1000), "id", order)
+    assert not _left(spark, before)
+    assert table.read().agg(F.count("*"), F.min("n")).first() == (40, 1360)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_scans_are_checked_apart_and_freed(spark, raw):
+    staged = {n: stage(df, n, AS_OF) for n, df in raw.items()}
+    wanted = checks.ALL_CHECKS + checks.RELATIONSHIPS
+    expected = sorted(run_checks(checks.layer_scans(raw, staged), wanted).collect())
+    before = _shuffle_files(spark)
+    with settings(spark, freed_shuffles()):
+        report = refresh.checked(raw, staged)
+    assert len(report.inputFiles()) >= 2 * len(TABLES) and not _left(spark, before)
+    assert sorted(report.collect()) == expected
