@@ -75,6 +75,27 @@ def test_landing_round_trip(spark, rows, tmp_path, fmt):
     assert rows(one, "claim_id", "payer", "service_desc") == sorted(expected, key=repr)
 
 
+def test_compressed_landing_round_trip(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "MAX_ROWS_PER_PACKED_FILE", 2)
+    day, claim = date(2024, 6, 7), awkward(spark).coalesce(1)
+    landing.land(claim, str(tmp_path / "plain"), "claim", day)
+    landing.land(claim, str(tmp_path / "packed"), "claim", day, compression="gzip")
+    files = [f.name for f in (tmp_path / "packed").rglob("part-*")]
+    assert len(files) == -(-claim.count() // 2) and all(f.endswith(".csv.gz") for f in files)
+    read = [rows(landing.read_landed(spark, str(tmp_path / k), "claim", day, multiline=True)) for k in ("plain", "packed")]
+    assert read[0] == read[1] and len(read[1]) == claim.count()
+
+
+def test_one_day_is_landed_compressed(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "work_path", lambda _, name: f"{tmp_path}/{name}")
+    monkeypatch.setattr(refresh, "refresh_day", lambda *a, **k: refresh.Refreshed({}, {"medication_patterns": None}, None))
+    catalog.refresh_one_day(spark, sf_dir)
+    files = [f.name for f in (tmp_path / "refresh-day" / "landed").rglob("part-*")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    landed = landing.read_landed(spark, f"{tmp_path}/refresh-day/landed", "condition")
+    assert landed.count() == bindings.raw(spark, sf_dir, "condition").count()
+
+
 def test_flat_files_skip_empty_tables(spark, tmp_path):
     claim = awkward(spark)
     written = landing.write_flat({"claim": claim, "nothing": claim.where("false")}, str(tmp_path))
