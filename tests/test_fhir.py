@@ -1,6 +1,7 @@
 """Hand-written bundles with the awkward cases."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -198,6 +199,40 @@ def test_files_of_one_bundle_are_compressed(spark, sf_dir, tmp_path, monkeypatch
     assert found.where("table_name = 'claim'").count() == bindings.raw(spark, sf_dir, "claim").count()
 
 
+def test_files_of_one_bundle_have_no_checksum_files_and_leave_no_shuffle(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "work_path", lambda _, name: f"{tmp_path}/{name}")
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    before = shuffled()
+    catalog.fhir_files_roundtrip(spark, sf_dir)
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+    names = [f.name for f in (tmp_path / "bundles").rglob("*") if f.is_file()]
+    assert any(n.startswith("part-") for n in names) and not any(n.startswith(".part-") for n in names)
+
+
+def test_shares_of_patients_are_landed_beside_each_other(spark, sf_dir, monkeypatch):
+    landings, land = [], bundles.land_resources
+
+    def recorded(resources, path, mode):
+        landings.append((mode, {r[0] for r in resources.select("bundle_patient_id").distinct().collect()}))
+        return land(resources, path, mode)
+
+    monkeypatch.setattr(bundles, "land_resources", recorded)
+    found = catalog.fhir_landed_resources(spark, sf_dir)
+    assert [mode for mode, _ in landings] == ["overwrite", "append"] and not landings[0][1] & landings[1][1]
+    assert min(len(ids) for _, ids in landings) > 40
+    for name in ("patient", "condition"):
+        assert found.where(F.col("table_name") == name).count() == bindings.raw(spark, sf_dir, name).count()
+
+
 def test_bundles_of_one_split_are_parsed_by_many_tasks(spark, sf_dir):
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     before = spark.conf.get(key)
