@@ -199,8 +199,8 @@ def test_files_of_one_bundle_are_compressed(spark, sf_dir, tmp_path, monkeypatch
     assert found.where("table_name = 'claim'").count() == bindings.raw(spark, sf_dir, "claim").count()
 
 
-def test_files_of_one_bundle_have_no_checksum_files_and_leave_no_shuffle(spark, sf_dir, tmp_path, monkeypatch):
-    monkeypatch.setattr(catalog, "work_path", lambda _, name: f"{tmp_path}/{name}")
+@pytest.mark.parametrize("query", ["fhir_files_roundtrip", "fhir_large_bundles"])
+def test_steps_leave_nothing_shuffled(spark, sf_dir, query):
     manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
     def shuffled():
@@ -208,12 +208,17 @@ def test_files_of_one_bundle_have_no_checksum_files_and_leave_no_shuffle(spark,
         return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
 
     before = shuffled()
-    catalog.fhir_files_roundtrip(spark, sf_dir)
+    catalog.QUERIES[query](spark, sf_dir)
     for _ in range(50):
         if shuffled() <= before:
             break
         time.sleep(0.1)
     assert shuffled() <= before
+
+
+def test_files_of_one_bundle_have_no_checksum_files(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "work_path", lambda _, name: f"{tmp_path}/{name}")
+    catalog.fhir_files_roundtrip(spark, sf_dir)
     names = [f.name for f in (tmp_path / "bundles").rglob("*") if f.is_file()]
     assert any(n.startswith("part-") for n in names) and not any(n.startswith(".part-") for n in names)
 
